@@ -53,9 +53,12 @@ def strip_carriage_return(value: Column) -> Column:
     ).otherwise(value)
 
 
-def utc_text(ts: Column) -> Column:
-    """``2024-01-02 03:04:05`` in UTC, with six more digits when there is a fraction."""
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
+def utc_text(ts: Column, zoned: bool = True) -> Column:
+    """``2024-01-02 03:04:05`` in UTC, with six more digits when there is a fraction.
+
+    ``zoned=False`` for zone-less timestamps, which are taken as UTC.
+    """
+    utc = F.to_utc_timestamp(ts, F.current_timezone()) if zoned else ts
     return F.when(
         F.date_format(utc, "SSSSSS") == "000000", F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
     ).otherwise(F.date_format(utc, "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-_SALTS = 64
+LINE_SALTS = 64
+"""Salts for lines: a file may hold a third of all of them."""
 
 
 @dataclass(frozen=True)
@@ -31,26 +33,37 @@ def measure(df: DataFrame) -> Size:
 
 
 def attach(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", size: Size | None = None
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    size: Size | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """``big`` joined with ``small`` on ``keys``; ``how`` is inner, left, left_semi or left_anti.
 
     ``small`` is broadcast if its measured size is within the bound. Beyond it both sides
-    are shuffled, ``big`` salted by its own partitions (the same on every retry) and
-    ``small`` repeated once per salt, so that a key with a third of all rows is spread
-    over many tasks.
+    are shuffled, where adaptive execution splits skewed partitions. ``salts`` splits hot
+    keys up front: ``big`` is salted by its own partitions (the same on every retry) and
+    ``small`` repeated once per salt; meant for a ``small`` that stays far behind ``big``.
     """
     keys = list(keys)
     if (size or measure(small)).fits:
         return big.join(F.broadcast(small), keys, how)
-    salted = big.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    if salts == 1:
+        return big.join(small, keys, how)
+    salted = big.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def pair_with_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every left row with every right row. ``right`` must be within the broadcast bound."""
-    size = measure(right)
+def beside_list(df: DataFrame, side: DataFrame, name: str = "side") -> DataFrame:
+    """Every row with the whole list of another frame's rows beside it.
+
+    The list becomes a constant of the plan, so it must be within the broadcast bound.
+    """
+    size = measure(side)
     if not size.fits:
-        raise ValueError(f"right side has {size.rows} rows, {size.bytes} bytes: too big to pair with all")
-    return left.crossJoin(F.broadcast(right))
+        raise ValueError(f"side frame has {size.rows} rows, {size.bytes} bytes: too big for a list")
+    texts = "[" + ",".join(side.toJSON().collect()) + "]"
+    return df.withColumn(name, F.from_json(F.lit(texts), T.ArrayType(side.schema)))

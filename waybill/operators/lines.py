@@ -12,7 +12,7 @@ from waybill import layouts
 from waybill.functions.casts import cast_text
 from waybill.functions.text import split_fields
 from waybill.layouts import Registry
-from waybill.operators.joins import Size, attach
+from waybill.operators.joins import LINE_SALTS, Size, attach
 from waybill.operators.messages import LINE_CONTEXT
 
 JUDGED_COLUMNS = ("message_id", "message_ts", "destination", "source_file", "layout", "line", "stacktrace")
@@ -24,7 +24,7 @@ def attach_messages(lines: DataFrame, bridge: DataFrame, size: Size | None = Non
     ``bridge`` has ``file_path`` and the message columns, one row per message and file.
     """
     context = bridge.select("file_path", *LINE_CONTEXT)
-    return attach(lines, context, ["file_path"], "inner", size).drop("file_path")
+    return attach(lines, context, ["file_path"], "inner", size, LINE_SALTS).drop("file_path")
 
 
 def _field(position: int) -> Column:

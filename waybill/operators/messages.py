@@ -90,6 +90,14 @@ def messages_frame(spark: SparkSession, messages: Iterable[Mapping]) -> DataFram
     )
 
 
+def with_text_time(messages: DataFrame) -> DataFrame:
+    """``message_ts`` as the text that the tables store; text given by the caller stays."""
+    kind = messages.schema["message_ts"].dataType
+    if kind == T.StringType():
+        return messages
+    return messages.withColumn("message_ts", utc_text(F.col("message_ts"), kind == T.TimestampType()))
+
+
 def layout_of(file_name: Column, registry: Registry) -> Column:
     """Prefix of the first layout that matches the start of a file name, or NULL."""
     choice = F.lit(None).cast("string")
@@ -133,8 +141,7 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
     if "message" not in messages.columns:
         fields = F.struct(*[F.col(n) for n in MESSAGE_SCHEMA.names])
         messages = messages.withColumn("message", F.to_json(fields))
-    if messages.schema["message_ts"].dataType != T.StringType():
-        messages = messages.withColumn("message_ts", utc_text(F.col("message_ts")))
+    messages = with_text_time(messages)
 
     key, bounds = F.col("partition_key"), F.col("partition_depth")
     messages = messages.withColumn("source_file", base_name(F.col("fileURL")))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from waybill import layouts
 from waybill.functions.text import list_text
 from waybill.layouts import MONITORING_SCHEMA, REJECT_SCHEMA, Registry
-from waybill.operators.joins import attach
+from waybill.operators.joins import LINE_SALTS, attach
 
 MESSAGE_KEY = ("message_id", "message_ts")
 
@@ -143,8 +143,7 @@ def apply_bad_row_limit(judged: DataFrame, over_limit: DataFrame) -> DataFrame:
     ``over_limit`` comes from ``files_over_limit`` and should be a stored frame, as it is
     measured before it is joined.
     """
-    marked = attach(
-        judged, over_limit.withColumn("_over", F.lit(True)), [*MESSAGE_KEY, "source_file"], "left"
-    )
+    marks = over_limit.withColumn("_over", F.lit(True))
+    marked = attach(judged, marks, [*MESSAGE_KEY, "source_file"], "left", salts=LINE_SALTS)
     reason = F.when(is_valid() & F.col("_over"), layouts.TOO_MANY_BAD_ROWS).otherwise(F.col("stacktrace"))
     return marked.withColumn("stacktrace", reason).select(*judged.columns)

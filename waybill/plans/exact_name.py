@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from waybill.functions.text import base_name
 from waybill.layouts import DEFAULT_EXACT_NAME, EXACT_NAME_LAYOUTS
-from waybill.operators.joins import attach
+from waybill.operators.joins import LINE_SALTS, attach
 from waybill.operators.lines import named_fields
 from waybill.operators.tables import LoadFolder, Targets, append
 from waybill.sources.files import match_files, matches_frame, read_lines
@@ -65,4 +65,4 @@ class ExactNameLoad:
             F.when(F.array_contains(names, F.col("file_name")), F.col("file_name")).otherwise(self.default),
         )
         lines = read_lines(self.spark, [m.status.path for m in matches], self.skip_header_lines)
-        return attach(lines, bridge, ["file_path"]).drop("file_path")
+        return attach(lines, bridge, ["file_path"], salts=LINE_SALTS).drop("file_path")

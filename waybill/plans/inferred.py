@@ -11,17 +11,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waybill import layouts
 from waybill.functions.payload import json_field, payload_text
-from waybill.functions.text import base_name, utc_text
+from waybill.functions.text import base_name
 from waybill.layouts import DEAD_LETTER_SCHEMA, REJECT_SCHEMA
-from waybill.operators.messages import is_valid_message
+from waybill.operators.messages import is_valid_message, with_text_time
 from waybill.operators.outputs import reject_records
 from waybill.operators.tables import LoadFolder, Targets, append, append_compatible
 from waybill.sources.files import match_files
-from waybill.sources.inferred import read_inferred
+from waybill.sources.inferred import read_delimited, typed_by_content
 
 
 def inferred_messages(envelopes: DataFrame) -> DataFrame:
@@ -29,12 +28,9 @@ def inferred_messages(envelopes: DataFrame) -> DataFrame:
     text = payload_text(F.col("value"))
     with_url_name = F.regexp_replace(text, '"address"\\s*:', '"fileURL":')
     aliased = F.when(json_field(text, "fileURL").isNull(), with_url_name).otherwise(text)
-    ts = F.col("message_ts")
-    if envelopes.schema["message_ts"].dataType != T.StringType():
-        ts = utc_text(ts)
-    return envelopes.select(
+    return with_text_time(envelopes).select(
         "message_id",
-        ts.alias("message_ts"),
+        "message_ts",
         text.alias("message"),
         json_field(aliased, "fileURL").alias("fileURL"),
         json_field(text, "destination").alias("destination"),
@@ -64,11 +60,11 @@ class InferredLoad:
         folder.once("dead_letters", lambda: self._dead_letters(messages.filter(F.col("problem") != "")))
         fine = messages.filter(F.col("problem") == "").drop("problem")
         for number, message in enumerate(fine.orderBy("message_ts", "message_id").toLocalIterator()):
-            folder.once(f"message-{number}", lambda m=message: self._load(m, load_id))
+            folder.once(f"message-{number}", lambda n=number, m=message: self._load(folder, n, m, load_id))
         folder.finish(("messages",))
         return load_id
 
-    def _load(self, message, load_id: str) -> None:
+    def _load(self, folder: LoadFolder, number: int, message, load_id: str) -> None:
         matches = match_files(self.spark, [message["fileURL"]])
         if not matches:
             row = self.spark.createDataFrame(
@@ -77,9 +73,11 @@ class InferredLoad:
             )
             self._dead_letters(row, ready=True)
             return
-        found = read_inferred(self.spark, [m.status.path for m in matches])
+        name = f"texts-{number}"
+        folder.store(read_delimited(self.spark, [m.status.path for m in matches]), name)
+        found = typed_by_content(self.spark.read.parquet(folder.at(name)))
         table = self.targets.result(message["destination"])
-        append_compatible(found.rows, table, self.targets.source, self.exact_schema)
+        append_compatible(found.rows, table, self.targets.source, self.exact_schema, load_id)
         rejects = found.rejects.select(
             F.lit(message["message_ts"]).alias("message_ts"),
             F.lit(layouts.WRONG_FIELD_COUNT).alias("stacktrace"),
@@ -89,6 +87,7 @@ class InferredLoad:
         )
         if not rejects.isEmpty():
             append(reject_records(rejects), self.targets.reject(message["destination"]), REJECT_SCHEMA)
+        folder.files.remove(folder.at(name))
 
     def _dead_letters(self, letters: DataFrame, ready: bool = False) -> None:
         if not ready:

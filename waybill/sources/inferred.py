@@ -86,21 +86,29 @@ def _value(name: str, kind: str) -> Column:
     return value.alias(name)
 
 
-def read_inferred(spark: SparkSession, paths: Sequence[str]) -> InferredFile:
-    """Rows of files that share one header, keyed and typed by it."""
+def read_delimited(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files that share one header as text columns named by it, plus ``_corrupt_line``:
+    the line, if it has another number of fields than the header."""
     paths = list(paths)
     options = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
     names = spark.read.options(**options).csv(paths[0]).columns
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    lines = (
-        spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=False)
-        .schema(texts)
-        .csv(paths)
-    )
-    good = lines.filter(F.col(CORRUPT).isNull()).select(*[F.col(f"`{n}`") for n in names])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    options.update(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=False)
+    return spark.read.options(**options).schema(schema).csv(paths)
+
+
+def typed_by_content(texts: DataFrame) -> InferredFile:
+    """``read_delimited`` output, stored in the meantime, as typed rows and rejects.
+
+    (It must be stored: Spark does not query corrupt lines alone straight from a file, and
+    three reads of a stored column are cheaper than three parses of the file.)
+    """
+    names = [n for n in texts.columns if n != CORRUPT]
+    corrupt = F.col(CORRUPT)
+    good = texts.filter(corrupt.isNull()).select(*[F.col(f"`{n}`") for n in names])
     kinds = infer_kinds(good)
     return InferredFile(
         rows=good.select(*[_value(n, kinds[n]) for n in names]),
-        rejects=lines.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), *names),
+        rejects=texts.filter(corrupt.isNotNull()).select(corrupt.alias("line")),
         schema=T.StructType([T.StructField(n, SPARK_TYPES[kinds[n]]) for n in names]),
     )
