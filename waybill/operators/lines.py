@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
-from waybill.functions.casts import cast_text
+from waybill.functions.casts import cast_text, to_float, to_integer
 from waybill.functions.text import split_fields
 from waybill.layouts import Registry
 from waybill.operators.joins import LINE_SALTS, Size, attach
@@ -31,63 +32,51 @@ def _field(position: int) -> Column:
     return F.get("fields", F.lit(position))
 
 
-def _for_layout(registry: Registry, value) -> Column:
-    """CASE over the layouts: ``value(layout)`` or NULL."""
-    choice = F.lit(None)
-    for layout in reversed(registry.sources):
-        choice = F.when(F.col("layout") == layout.prefix, value(layout)).otherwise(choice)
-    return choice
-
-
 def _bad_cast(registry: Registry) -> Column:
     """True where some declared field does not cast."""
-    tests = []
+    layouts_with = defaultdict(list)
     for layout in registry.sources:
         for i, column in enumerate(layout.schema.fields):
-            kind = layouts.kind_of(column.dataType)
-            if kind != "STRING":
-                tests.append((F.col("layout") == layout.prefix) & cast_text(_field(i), kind).isNull())
+            layouts_with[i, layouts.kind_of(column.dataType)].append(layout.prefix)
+    tests = [
+        F.col("layout").isin(prefixes) & cast_text(_field(i), kind).isNull()
+        for (i, kind), prefixes in layouts_with.items()
+        if kind != "STRING"
+    ]
     return reduce(Column.__or__, tests, F.lit(False))
 
 
-def _key_value(registry: Registry, kind: str) -> Column:
-    """The predicate column's value on this line, for predicate columns of one kind."""
-    choice = F.lit(None).cast(layouts.SPARK_TYPES[kind])
-    for layout in registry.sources:
-        for i, column in enumerate(layout.schema.fields):
-            if layouts.kind_of(column.dataType) == kind:
-                hit = (F.col("layout") == layout.prefix) & (F.col("partition_key") == column.name)
-                choice = F.when(hit, cast_text(_field(i), kind)).otherwise(choice)
-    return choice
-
-
 def outside(key: Column, lower: Column, upper: Column) -> Column:
     """True where the key is not strictly between the bounds. A NULL bound excludes
     nothing; NaN on either side never excludes."""
     return F.coalesce(lower >= key, F.lit(False)) | F.coalesce(upper <= key, F.lit(False))
 
 
-def _out_of_range(registry: Registry) -> Column:
-    floating = _key_value(registry, "FLOAT")
-    lower, upper = F.col("lower_double"), F.col("upper_double")
+def _out_of_range() -> Column:
+    """The predicate of the message, on the key values of ``_with_key``."""
+    floating = F.col("_key_double")
     return (
-        F.when(
-            F.col("key_kind") == "INTEGER",
-            outside(_key_value(registry, "INTEGER"), F.col("lower_long"), F.col("upper_long")),
-        )
+        F.when(F.col("key_kind") == "INTEGER", outside(F.col("_key_long"), F.col("lower_long"), F.col("upper_long")))
         .when(
             F.col("key_kind") == "FLOAT",
-            ~F.isnan(floating)
-            & outside(floating, F.when(~F.isnan(lower), lower), F.when(~F.isnan(upper), upper)),
-        )
-        .when(
-            F.col("key_kind") == "STRING",
-            outside(_key_value(registry, "STRING"), F.col("lower"), F.col("upper")),
+            ~F.isnan(floating) & outside(floating, F.col("lower_double"), F.col("upper_double")),
         )
+        .when(F.col("key_kind") == "STRING", outside(F.col("_key"), F.col("lower"), F.col("upper")))
         .otherwise(F.lit(False))
     )
 
 
+def _with_key(lines: DataFrame) -> DataFrame:
+    """The line's value of the predicate column; which field that is, the message knows."""
+    key = F.get("fields", F.col("key_position"))
+    return lines.withColumn("_key", key).withColumns(
+        {
+            "_key_long": F.when(F.col("key_kind") == "INTEGER", to_integer(F.col("_key"))),
+            "_key_double": F.when(F.col("key_kind") == "FLOAT", to_float(F.col("_key"))),
+        }
+    )
+
+
 def judge_lines(lines: DataFrame, registry: Registry, on_cast_error: str = "reject") -> DataFrame:
     """Adds ``stacktrace``: the first reason against the line, ``""`` if there is none.
 
@@ -101,16 +90,18 @@ def judge_lines(lines: DataFrame, registry: Registry, on_cast_error: str = "reje
         bad_cast = F.raise_error(
             F.concat(F.lit("value does not cast in "), "source_file", F.lit(": "), "line")
         ).cast("string")
-    expected = _for_layout(registry, lambda layout: F.lit(len(layout.schema.fields)))
     reason = (
-        F.when(F.size("fields") != expected, F.lit(layouts.WRONG_FIELD_COUNT))
+        F.when(F.size("fields") != F.col("n_fields"), F.lit(layouts.WRONG_FIELD_COUNT))
         .when(_bad_cast(registry), bad_cast)
-        .when(_out_of_range(registry), F.lit(layouts.OUT_OF_RANGE))
+        .when(_out_of_range(), F.lit(layouts.OUT_OF_RANGE))
         .otherwise(F.lit(""))
     )
     return (
         lines.withColumn("fields", split_fields(F.col("line")))
-        .withColumn("stacktrace", reason)
+        .transform(_with_key)
+        # The one-element explode keeps later filters on the reason above it. Pushed below,
+        # the reason would be worked out twice, splitting the line again for every field.
+        .withColumn("stacktrace", F.explode(F.array(reason)))
         .select(*JUDGED_COLUMNS)
     )
 

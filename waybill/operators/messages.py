@@ -6,7 +6,7 @@ Frames of messages carry ``message_id``, ``message_ts``, the message fields and
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 import pyarrow as pa
@@ -19,7 +19,7 @@ from waybill import layouts
 from waybill.functions.casts import to_float
 from waybill.functions.payload import CORRUPT, has_only_keys, is_json_string, parse_json, payload_text
 from waybill.functions.text import base_name, utc_text
-from waybill.layouts import MESSAGE_SCHEMA, Registry
+from waybill.layouts import MESSAGE_SCHEMA, Registry, SourceLayout
 
 REQUIRED_KEYS = ("fileURL", "destination")
 PREDICATE_KEYS = ("partition_depth", "partition_key")
@@ -106,13 +106,21 @@ def layout_of(file_name: Column, registry: Registry) -> Column:
     return choice
 
 
-def _key_kind(layout: Column, key: Column, registry: Registry) -> Column:
-    """Kind of the predicate column in the file's layout, NULL if there is no such column."""
-    choice = F.lit(None).cast("string")
+def _per_layout(layout: Column, registry: Registry, value: Callable[[SourceLayout], object]) -> Column:
+    """A value of the message's layout, NULL without a layout."""
+    choice = F.lit(None)
     for source in registry.sources:
-        for column in source.schema.fields:
-            hit = (layout == source.prefix) & (key == column.name)
-            choice = F.when(hit, F.lit(layouts.kind_of(column.dataType))).otherwise(choice)
+        choice = F.when(layout == source.prefix, F.lit(value(source))).otherwise(choice)
+    return choice
+
+
+def _per_key(layout: Column, key: Column, registry: Registry, value: Callable[[T.StructType, int], object]) -> Column:
+    """A value of the predicate column, NULL if the layout has no such column."""
+    choice = F.lit(None)
+    for source in registry.sources:
+        for i, column in enumerate(source.schema.names):
+            hit = (layout == source.prefix) & (key == column)
+            choice = F.when(hit, F.lit(value(source.schema, i))).otherwise(choice)
     return choice
 
 
@@ -146,14 +154,18 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
     key, bounds = F.col("partition_key"), F.col("partition_depth")
     messages = messages.withColumn("source_file", base_name(F.col("fileURL")))
     messages = messages.withColumn("layout", layout_of(F.col("source_file"), registry))
+    has_predicate = key.isNotNull() & bounds.isNotNull()
+    layout = F.col("layout")
+    key_kind = _per_key(layout, key, registry, lambda schema, i: layouts.kind_of(schema[i].dataType))
     messages = messages.withColumns(
         {
-            "lower": F.when(key.isNotNull(), F.get(bounds, F.lit(0))),
-            "upper": F.when(key.isNotNull(), F.get(bounds, F.lit(1))),
-            "key_kind": F.when(bounds.isNotNull(), _key_kind(F.col("layout"), key, registry)),
+            "n_fields": _per_layout(layout, registry, lambda source: len(source.schema.names)),
+            "key_kind": F.when(has_predicate, key_kind),
+            "key_position": F.when(has_predicate, _per_key(layout, key, registry, lambda _, i: i)),
+            "lower": F.when(has_predicate, F.get(bounds, F.lit(0))),
+            "upper": F.when(has_predicate, F.get(bounds, F.lit(1))),
         }
     )
-    has_predicate = key.isNotNull() & bounds.isNotNull()
     lower, upper, kind = F.col("lower"), F.col("upper"), F.col("key_kind")
     bad_bounds = lower.isNull() | upper.isNull() | (
         (kind != "STRING") & (to_float(lower).isNull() | to_float(upper).isNull())
@@ -161,7 +173,7 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
     known_tables = F.array(*[F.lit(t) for t in registry.tables]).cast("array<string>")
     problem = (
         F.when(F.col("problem") != "", F.col("problem"))
-        .when(F.col("layout").isNull(), layouts.NO_LAYOUT)
+        .when(layout.isNull(), layouts.NO_LAYOUT)
         .when(~F.array_contains(known_tables, F.col("destination")), layouts.UNKNOWN_DESTINATION)
         .when(has_predicate & kind.isNull(), layouts.UNKNOWN_KEY)
         .when(has_predicate & bad_bounds, layouts.INVALID_BOUNDS)
@@ -172,8 +184,8 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
             "problem": problem,
             "lower_long": F.when(kind == "INTEGER", _lower_long(lower)),
             "upper_long": F.when(kind == "INTEGER", _upper_long(upper)),
-            "lower_double": F.when(kind == "FLOAT", to_float(lower)),
-            "upper_double": F.when(kind == "FLOAT", to_float(upper)),
+            "lower_double": F.when((kind == "FLOAT") & ~F.isnan(to_float(lower)), to_float(lower)),
+            "upper_double": F.when((kind == "FLOAT") & ~F.isnan(to_float(upper)), to_float(upper)),
         }
     )
 
@@ -184,7 +196,8 @@ LINE_CONTEXT = (
     "source_file",
     "destination",
     "layout",
-    "partition_key",
+    "n_fields",
+    "key_position",
     "key_kind",
     "lower",
     "upper",

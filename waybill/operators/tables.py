@@ -158,10 +158,14 @@ class LoadFolder:
             action()
             self.files.mark(marker)
 
-    def store(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
-        """Writes a frame unless it has been written completely before."""
-        if not self.files.exists(self.at(f"{name}/_SUCCESS")):
+    def stored(self, name: str) -> bool:
+        return self.files.exists(self.at(f"{name}/_SUCCESS"))
+
+    def store(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Writes a frame unless it has been written completely before, and reads it back."""
+        if not self.stored(name):
             df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.at(name))
+        return df.sparkSession.read.schema(df.schema).parquet(self.at(name))
 
     @property
     def complete(self) -> bool:

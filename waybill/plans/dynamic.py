@@ -48,11 +48,8 @@ class JsonRouting:
             return load_id
         lost = F.col("problem") != ""
         rows = rows.withColumn("target", F.when(~lost, F.col("target"))).withColumn("lost", lost)
-        folder.store(rows.hint("rebalance", "target"), "rows", ("lost", "target"))
+        stored = folder.store(rows.hint("rebalance", "target"), "rows", ("lost", "target"))
         columns = [f for f in rows.schema.fields if f.name not in ("target", "problem", "message", "lost")]
-        stored = self.spark.read.schema(
-            T.StructType([*rows.schema.fields])
-        ).parquet(folder.at("rows"))
         good = stored.filter(~F.col("lost"))
         table_schema = T.StructType(columns)
 

@@ -21,9 +21,6 @@ from waybill.operators.lines import named_fields
 from waybill.operators.tables import LoadFolder, Targets, append
 from waybill.sources.files import match_files, matches_frame, read_lines
 
-_STORED = "message_id string, file_name string, line string, destination string, file_layout string"
-
-
 @dataclass
 class ExactNameLoad:
     spark: SparkSession
@@ -38,8 +35,7 @@ class ExactNameLoad:
         folder = LoadFolder(self.spark, load_id)
         if folder.complete:
             return load_id
-        folder.store(self._lines(messages), "lines", ("destination", "file_layout"))
-        lines = self.spark.read.schema(_STORED).parquet(folder.at("lines"))
+        lines = folder.store(self._lines(messages), "lines", ("destination", "file_layout"))
         for destination, name in lines.select("destination", "file_layout").distinct().toLocalIterator():
             part = lines.filter((F.col("destination") == destination) & (F.col("file_layout") == name))
             rows = named_fields(part.select("file_name", "line"), F.lit(name), self.by_name, self.default, name)

@@ -55,8 +55,7 @@ class InferredLoad:
         folder = LoadFolder(self.spark, load_id)
         if folder.complete:
             return load_id
-        folder.store(inferred_messages(envelopes), "messages")
-        messages = self.spark.read.parquet(folder.at("messages"))
+        messages = folder.store(inferred_messages(envelopes), "messages")
         folder.once("dead_letters", lambda: self._dead_letters(messages.filter(F.col("problem") != "")))
         fine = messages.filter(F.col("problem") == "").drop("problem")
         for number, message in enumerate(fine.orderBy("message_ts", "message_id").toLocalIterator()):
@@ -74,10 +73,10 @@ class InferredLoad:
             self._dead_letters(row, ready=True)
             return
         name = f"texts-{number}"
-        folder.store(read_delimited(self.spark, [m.status.path for m in matches]), name)
-        found = typed_by_content(self.spark.read.parquet(folder.at(name)))
+        texts = folder.store(read_delimited(self.spark, [m.status.path for m in matches]), name)
+        found = typed_by_content(texts)
         table = self.targets.result(message["destination"])
-        append_compatible(found.rows, table, self.targets.source, self.exact_schema, load_id)
+        append_compatible(found.rows, table, self.targets.source, self.exact_schema, f"{load_id}-{number}")
         rejects = found.rejects.select(
             F.lit(message["message_ts"]).alias("message_ts"),
             F.lit(layouts.WRONG_FIELD_COUNT).alias("stacktrace"),

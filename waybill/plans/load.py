@@ -11,18 +11,19 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
 from waybill.layouts import DEAD_LETTER_SCHEMA, DEFAULT_REGISTRY, MONITORING_SCHEMA, REJECT_SCHEMA, Registry
-from waybill.operators.joins import attach
+from waybill.operators.joins import Size, attach
 from waybill.operators.lines import attach_messages, judge_lines, typed_columns
-from waybill.operators.messages import messages_frame, prepare_messages
+from waybill.operators.messages import LINE_CONTEXT, messages_frame, prepare_messages
 from waybill.operators.outputs import (
     MESSAGE_KEY,
     apply_bad_row_limit,
@@ -36,7 +37,7 @@ from waybill.operators.outputs import (
     start_records,
 )
 from waybill.operators.tables import LoadFolder, Targets, append
-from waybill.sources.files import MATCH_SCHEMA, match_files, matches_frame, read_lines
+from waybill.sources.files import URL_SCHEMA, MatchedFile, match_files, matches_frame, read_lines, url_frame
 
 VALID, REJECTED = "valid", "rejected"
 
@@ -53,6 +54,25 @@ _STORED_LINES = T.StructType(
 )
 
 
+def _url_sizes(messages: DataFrame) -> DataFrame:
+    """``fileURL``, its messages and their bytes."""
+    context = F.octet_length(F.to_json(F.struct(*LINE_CONTEXT)))
+    return messages.groupBy("fileURL").agg(F.count("*").alias("rows"), F.sum(context).alias("bytes"))
+
+
+def _match_size(matches: list[MatchedFile]) -> Size:
+    return Size(len(matches), sum(len(m.url) + len(m.file_path) + 8 for m in matches))
+
+
+def _bridge_size(urls: list[Row], matches: list[MatchedFile]) -> Size:
+    """Size of messages joined with their files."""
+    by_url = {row["fileURL"]: row for row in urls}
+    return Size(
+        sum(by_url[m.url]["rows"] for m in matches),
+        sum(by_url[m.url]["bytes"] + by_url[m.url]["rows"] * len(m.file_path) for m in matches),
+    )
+
+
 def judged_lines(
     spark: SparkSession,
     messages: DataFrame,
@@ -87,7 +107,7 @@ class FileLoad:
     """Write an end record for files without data lines as well."""
     urls_per_slice: int = 20_000
     """URLs whose files are listed and scanned in one go."""
-    parallel_writes: int = 4
+    parallel_writes: int = 8
     keep_stored_frames: bool = False
 
     def run(self, messages: DataFrame, load_id: str | None = None) -> str:
@@ -96,73 +116,85 @@ class FileLoad:
         folder = LoadFolder(self.spark, load_id)
         if folder.complete:
             return load_id
-        folder.store(prepare_messages(messages, self.registry), "messages")
-        stored = self.spark.read.parquet(folder.at("messages"))
-        well_formed = stored.filter(F.col("problem") != layouts.INVALID_MESSAGE)
-        folder.once(
-            "start",
-            lambda: self._append(well_formed.transform(start_records).transform(as_monitoring),
-                                 self.targets.monitoring, MONITORING_SCHEMA),
-        )
-        slices = self._store_lines(folder, stored.filter(F.col("problem") == ""))
-        self._publish(folder, stored, load_id, slices)
-        folder.finish(() if self.keep_stored_frames else ("messages", "files", "lines", "over_limit"))
+        stored = folder.store(prepare_messages(messages, self.registry), "messages")
+        with ThreadPoolExecutor(self.parallel_writes) as pool:
+            start = pool.submit(folder.once, "start", lambda: self._write_starts(stored))
+            slices, missing = self._store_lines(folder, stored.filter(F.col("problem") == ""))
+            start.result()
+            steps = self._steps(folder, stored, load_id, slices, missing)
+            for done in [pool.submit(folder.once, step, action) for step, action in steps.items()]:
+                done.result()
+            if slices:
+                folder.once("end", lambda: self._write_ends(folder, stored))
+        folder.finish(() if self.keep_stored_frames else ("messages", "missing", "lines", "over_limit"))
         return load_id
 
     # --- reading -----------------------------------------------------------------
 
-    def _store_lines(self, folder: LoadFolder, messages: DataFrame) -> int:
-        """Reads all files, a bounded number of URLs at a time, into the judged store."""
-        urls = messages.select("fileURL").distinct().count()
-        slices = math.ceil(urls / self.urls_per_slice)
+    def _store_lines(self, folder: LoadFolder, messages: DataFrame) -> tuple[int, bool]:
+        """Reads all files, a bounded number of URLs at a time, into the judged store.
+        Gives back the number of slices and whether some URL has no file."""
+        urls = _url_sizes(messages)
+        some = urls.limit(self.urls_per_slice + 1).collect()
+        if not some:
+            return 0, False
+        if len(some) <= self.urls_per_slice:
+            return 1, self._store_slice(folder, messages, some, 0)
+        slices = math.ceil(urls.count() / self.urls_per_slice)
+        missing = False
         for number in range(slices):
-            part = messages.filter(F.pmod(F.xxhash64("fileURL"), F.lit(slices)) == number)
-            self._store_slice(folder, part, number)
-        return slices
-
-    def _store_slice(self, folder: LoadFolder, messages: DataFrame, number: int) -> None:
-        if folder.files.exists(folder.at(f"lines/slice={number}/_SUCCESS")):
-            return
-        urls = [row[0] for row in messages.select("fileURL").distinct().toLocalIterator()]
-        matches = match_files(self.spark, urls)
-        folder.store(matches_frame(self.spark, matches), f"files/slice={number}")
-        files = self.spark.read.schema(MATCH_SCHEMA).parquet(folder.at(f"files/slice={number}"))
-        bridge = attach(messages, files.select("fileURL", "file_path"), ["fileURL"])
-        lines = read_lines(self.spark, [m.status.path for m in matches], self.skip_header_lines)
-        judged = judge_lines(attach_messages(lines, bridge), self.registry, self.on_cast_error)
-        outcome = F.when(F.col("stacktrace") == "", VALID).otherwise(REJECTED)
-        folder.store(
-            judged.withColumn("outcome", outcome), f"lines/slice={number}", ("destination", "outcome")
-        )
+            own = F.pmod(F.xxhash64("fileURL"), F.lit(slices)) == number
+            missing |= self._store_slice(folder, messages.filter(own), urls.filter(own).collect(), number)
+        return slices, missing
+
+    def _store_slice(self, folder: LoadFolder, messages: DataFrame, urls: list[Row], number: int) -> bool:
+        matches = match_files(self.spark, [row["fileURL"] for row in urls])
+        missing = {row["fileURL"] for row in urls} - {m.url for m in matches}
+        if missing:
+            folder.store(url_frame(self.spark, sorted(missing)), f"missing/slice={number}")
+        if not folder.stored(f"lines/slice={number}"):
+            found = matches_frame(self.spark, matches)
+            bridge = attach(messages, found.select("fileURL", "file_path"), ["fileURL"], size=_match_size(matches))
+            lines = read_lines(self.spark, [m.status.path for m in matches], self.skip_header_lines)
+            lines = attach_messages(lines, bridge, _bridge_size(urls, matches))
+            judged = judge_lines(lines, self.registry, self.on_cast_error)
+            outcome = F.when(F.col("stacktrace") == "", VALID).otherwise(REJECTED)
+            folder.store(
+                judged.withColumn("outcome", outcome), f"lines/slice={number}", ("destination", "outcome")
+            )
+        return bool(missing)
 
     # --- writing -----------------------------------------------------------------
 
     def _append(self, df: DataFrame, table: str, schema: T.StructType, load_id: str | None = None) -> None:
         append(df, table, schema if self.targets.create else None, self.targets.source, load_id=load_id)
 
-    def _publish(self, folder: LoadFolder, messages: DataFrame, load_id: str, slices: int) -> None:
-        steps = {"dead_letters": lambda: self._write_dead_letters(folder, messages, slices)}
+    def _write_starts(self, messages: DataFrame) -> None:
+        well_formed = messages.filter(F.col("problem") != layouts.INVALID_MESSAGE)
+        records = well_formed.transform(start_records).transform(as_monitoring)
+        self._append(records, self.targets.monitoring, MONITORING_SCHEMA)
+
+    def _steps(
+        self, folder: LoadFolder, messages: DataFrame, load_id: str, slices: int, missing: bool
+    ) -> dict[str, Callable[[], None]]:
+        """The appends that can run side by side, by name."""
+        steps = {"dead_letters": lambda: self._write_dead_letters(folder, messages, missing)}
         if slices:
-            lines = self.spark.read.schema(_STORED_LINES).parquet(folder.at("lines"))
-            if self.limit_bad_rows:
-                lines = self._limited(folder, lines)
+            lines = self._lines(folder)
             names = messages.filter(F.col("problem") == "").select("destination").distinct()
             # Destinations are names of registry tables, so there are few.
             for name in [row[0] for row in names.collect()]:
                 steps[f"results-{name}"] = self._result_step(folder, lines, name, load_id)
                 steps[f"rejects-{name}"] = self._reject_step(folder, lines, name, load_id)
-            steps["end"] = lambda: self._write_ends(lines, messages)
-        end = steps.pop("end", None)
-        with ThreadPoolExecutor(self.parallel_writes) as pool:
-            for done in [pool.submit(folder.once, step, action) for step, action in steps.items()]:
-                done.result()
-        if end:
-            folder.once("end", end)
+        return steps
+
+    def _lines(self, folder: LoadFolder) -> DataFrame:
+        lines = self.spark.read.schema(_STORED_LINES).parquet(folder.at("lines"))
+        return self._limited(folder, lines) if self.limit_bad_rows else lines
 
     def _limited(self, folder: LoadFolder, lines: DataFrame) -> DataFrame:
-        folder.store(files_over_limit(lines.filter(F.col("outcome") == REJECTED), self.registry), "over_limit")
-        over = self.spark.read.parquet(folder.at("over_limit"))
-        return apply_bad_row_limit(lines, over)
+        rejected = lines.filter(F.col("outcome") == REJECTED)
+        return apply_bad_row_limit(lines, folder.store(files_over_limit(rejected, self.registry), "over_limit"))
 
     def _has_stored(self, folder: LoadFolder, destination: str, outcome: str) -> bool:
         return bool(folder.files.glob(folder.at(f"lines/slice=*/destination={destination}/outcome={outcome}")))
@@ -189,9 +221,9 @@ class FileLoad:
 
         return write
 
-    def _write_ends(self, lines: DataFrame, messages: DataFrame) -> None:
+    def _write_ends(self, folder: LoadFolder, messages: DataFrame) -> None:
         # Reads the message key and the reason; the text of the lines stays unread.
-        counts = count_lines(lines)
+        counts = count_lines(self._lines(folder))
         if self.emit_empty_end:
             loaded = messages.filter(F.col("problem") == "").select(*MESSAGE_KEY).distinct()
             zero = F.lit(0).cast("bigint")
@@ -202,16 +234,14 @@ class FileLoad:
             )
         self._append(as_monitoring(end_records(counts)), self.targets.monitoring, MONITORING_SCHEMA)
 
-    def _write_dead_letters(self, folder: LoadFolder, messages: DataFrame, slices: int) -> None:
-        letters = messages
-        if slices:
-            found = self.spark.read.schema(MATCH_SCHEMA).parquet(folder.at("files")).select("fileURL").distinct()
-            fine = messages.filter(F.col("problem") == "")
-            lost = attach(fine, found, ["fileURL"], "left_anti")
-            lost = lost.withColumn("problem", F.lit(layouts.FILE_NOT_FOUND))
-            letters = messages.filter(F.col("problem") != "").unionByName(lost)
+    def _write_dead_letters(self, folder: LoadFolder, messages: DataFrame, missing: bool) -> None:
+        letters = messages.filter(F.col("problem") != "")
+        if missing:
+            urls = self.spark.read.schema(URL_SCHEMA).parquet(folder.at("missing"))
+            lost = attach(messages.filter(F.col("problem") == ""), urls, ["fileURL"], "left_semi")
+            letters = letters.unionByName(lost.withColumn("problem", F.lit(layouts.FILE_NOT_FOUND)))
         letters = dead_letters(letters)
-        if not letters.isEmpty():
+        if missing or not letters.isEmpty():
             self._append(conform(letters, DEAD_LETTER_SCHEMA), self.targets.dead_letters, DEAD_LETTER_SCHEMA)
 
 

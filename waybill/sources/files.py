@@ -28,6 +28,8 @@ MATCH_SCHEMA = T.StructType(
     ]
 )
 
+URL_SCHEMA = T.StructType([T.StructField("fileURL", T.StringType(), False)])
+
 _MATCH_THREADS = 16
 _ROW_BITS = 33  # monotonically_increasing_id(): row number within the task
 
@@ -77,6 +79,10 @@ def matches_frame(spark: SparkSession, matches: Sequence[MatchedFile]) -> DataFr
     return spark.createDataFrame(pa.table(columns), MATCH_SCHEMA)
 
 
+def url_frame(spark: SparkSession, urls: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame(pa.table({"fileURL": pa.array(urls, pa.string())}), URL_SCHEMA)
+
+
 def _file_path() -> Column:
     """Local paths come with one or three slashes: always one here."""
     path = F.col("_metadata.file_path")
