@@ -1,0 +1,192 @@
+"""Appends, repeated loads, inferred schemas, routed rows."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from waybill import (
+    DEFAULT_REGISTRY,
+    ExactNameLoad,
+    FileLoad,
+    InferredLoad,
+    JsonRouting,
+    SchemaMismatch,
+    Targets,
+    create_load_tables,
+    messages_frame,
+    struct,
+)
+from waybill.operators.tables import LoadFolder, append, append_compatible, create_table, schema_gaps
+from waybill.sources.inferred import infer_kinds
+from waybill.storage import SharedFiles
+
+
+def rows(spark, table):
+    return sorted((tuple(r) for r in spark.table(table).collect()), key=repr)
+
+
+def test_dispositions(spark, targets):
+    frame = spark.sql("SELECT 'x' AS name, 1 AS extra")
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        append(frame, targets.result("t"))
+    append(frame, targets.result("t"), create_as=struct(NAME="STRING", n="INTEGER"))
+    append(frame, targets.result("t"))
+    assert rows(spark, targets.result("t")) == [("x", None), ("x", None)]
+    with pytest.raises(ValueError, match="extra"):
+        append(frame, targets.result("t"), unknown="reject")
+
+
+def test_tables_by_load_replace_their_part(spark, targets):
+    table = targets.result("t")
+    create_table(spark, table, struct(a="INTEGER"), by_load=True)
+    append(spark.sql("SELECT 1 AS a"), table, load_id="one")
+    append(spark.sql("SELECT 2 AS a"), table, load_id="two")
+    append(spark.sql("SELECT 3 AS a"), table, load_id="one")
+    assert rows(spark, table) == [(2, "two"), (3, "one")]
+
+
+def test_schema_gaps():
+    table, file = struct(a="INTEGER", b="STRING"), struct(b="STRING", a="INTEGER", c="FLOAT")
+    assert schema_gaps(table, file) == []
+    assert schema_gaps(table, file, exact=True) == ["c: not in the table"]
+    assert schema_gaps(file, table) == ["c: not in the file"]
+    assert schema_gaps(table, struct(a="FLOAT", b="STRING")) == ["a: FLOAT in the file, INTEGER in the table"]
+
+
+def test_append_compatible(spark, targets):
+    table = targets.result("t")
+    append_compatible(spark.sql("SELECT 1L AS a, 'x' AS b"), table)
+    append_compatible(spark.sql("SELECT 'y' AS b, 2L AS a, 1.5D AS c"), table)
+    assert rows(spark, table) == [(1, "x"), (2, "y")]
+    with pytest.raises(SchemaMismatch, match="a: FLOAT"):
+        append_compatible(spark.sql("SELECT 1.5D AS a, 'x' AS b"), table)
+
+
+class Broken(Exception):
+    pass
+
+
+def test_a_broken_load_continues(spark, targets, tmp_path, monkeypatch):
+    """A failure half-way, the source file gone, and a second run with the same id."""
+    create_load_tables(spark, targets, DEFAULT_REGISTRY, by_load=True)
+    (tmp_path / "client1.csv").write_text("NAME,AGE\nAnn,20\nBob\n")
+    frame = messages_frame(
+        spark, [{"fileURL": f"{tmp_path}/client1.csv", "destination": "age", "id": "m", "timestamp": "t"}]
+    )
+    load = FileLoad(spark, targets)
+
+    def broken(*_):
+        raise Broken
+
+    monkeypatch.setattr(load, "_write_ends", broken)
+    with pytest.raises(Broken):
+        load.run(frame, f"broken-{targets.results}")
+    monkeypatch.undo()
+    (tmp_path / "client1.csv").write_text("NAME,AGE\nother,1\n")
+    load.run(frame, f"broken-{targets.results}")
+    load.run(frame, f"broken-{targets.results}")
+    assert [r[:2] for r in rows(spark, targets.result("age"))] == [("Ann", 20)]
+    assert spark.table(targets.reject("age")).count() == 1
+    assert rows(spark, targets.monitoring) == [("t", "START", 0, 0), ("t", "WARNING", 1, 1)]
+    folder = LoadFolder(spark, f"broken-{targets.results}")
+    assert [s.name for s in SharedFiles(spark).children(folder.path)] == ["done"]
+
+
+KINDS = {
+    ("1", "2", "-3"): "INTEGER",
+    ("1", "", "3"): "FLOAT",
+    ("1", "NA", "2.5"): "FLOAT",
+    ("", "", "NaN"): "FLOAT",
+    ("1", "x", "3"): "STRING",
+    ("1_0", "2", "3"): "STRING",
+    ("true", "x", "false"): "STRING",
+    ("2024-01-01", "2024-01-02", "2024-01-03"): "STRING",
+    ("1e3", "inf", "2"): "FLOAT",
+}
+
+
+def test_inferred_kinds(spark):
+    columns = [f"c{i}" for i in range(len(KINDS))]
+    frame = spark.createDataFrame(list(zip(*KINDS)), columns)
+    assert infer_kinds(frame) == dict(zip(columns, KINDS.values()))
+    assert infer_kinds(frame.limit(0)) == dict.fromkeys(columns, "STRING")
+    with pytest.raises(ValueError, match="truth"):
+        infer_kinds(spark.createDataFrame([("True",), ("false",)], ["b"]))
+
+
+def envelope(spark, *messages):
+    data = [(json.dumps(m) if isinstance(m, dict) else m, str(i), "t") for i, m in enumerate(messages)]
+    return spark.createDataFrame(data, "value string, message_id string, message_ts string")
+
+
+def test_inferred_load(spark, targets, tmp_path):
+    made = Targets(targets.results, targets.rejects, create=True)
+    (tmp_path / "a.csv").write_bytes(b'name,age,height\r\nAnn,20,1.5\r\n"Bob, jr",30,\r\nshort,1\r\nlong,1,2,3\r\n\r\n')
+    (tmp_path / "b.csv").write_text("age,name,height,more\n40,Cid,2.0,x\n")
+    load = InferredLoad(spark, made)
+    load.run(
+        envelope(
+            spark,
+            {"fileURL": f"{tmp_path}/a.csv", "destination": "people"},
+            {"address": f"{tmp_path}/b.csv", "destination": "people"},
+            {"fileURL": f"{tmp_path}/none.csv", "destination": "people"},
+            {"fileURL": f"{tmp_path}/b.csv", "destination": "people", "extra": 1},
+            "{",
+        )
+    )
+    assert rows(spark, made.result("people")) == [("Ann", 20, 1.5), ("Bob, jr", 30, None), ("Cid", 40, 2.0)]
+    rejected = {(r["stacktrace"], r["raw_data"]) for r in spark.table(made.reject("people")).collect()}
+    assert rejected == {("error_line_index", "['short', '1']"), ("error_line_index", "['long', '1', '2', '3']")}
+    reasons = sorted((r["message_id"], r["reason"]) for r in spark.table(made.dead_letters).collect())
+    assert reasons == [("2", "file_not_found"), ("3", "invalid_message_format"), ("4", "invalid_message_format")]
+    (tmp_path / "c.csv").write_text("name,age,height\nDan,x,1\n")
+    with pytest.raises(SchemaMismatch, match="age: STRING"):
+        load.run(envelope(spark, {"fileURL": f"{tmp_path}/c.csv", "destination": "people"}))
+
+
+def test_exact_name_load(spark, targets, tmp_path):
+    made = Targets(targets.results, targets.rejects, create=True)
+    (tmp_path / "tabledata2.csv").write_text("h\nAnn,20,red,extra\n")
+    (tmp_path / "else.csv").write_text("h\nBob,30,1.75\n")
+    messages = spark.createDataFrame(
+        [("1", f"{tmp_path}/tabledata2.csv", "colors"), ("2", f"{tmp_path}/else.csv", "heights")],
+        "message_id string, fileURL string, destination string",
+    )
+    ExactNameLoad(spark, made).run(messages)
+    assert rows(spark, made.result("colors")) == [("Ann", 20, "red")]
+    assert rows(spark, made.result("heights")) == [("Bob", 30, 1.75)]
+
+
+def log(spark, *payloads):
+    data = [(p, topic, str(i)) for i, (topic, p) in enumerate(payloads)]
+    frame = spark.createDataFrame(data, "value string, topic string, message_id string")
+    return frame.withColumn("message_ts", F.current_timestamp())
+
+
+def test_json_routing(spark, targets):
+    made = Targets(targets.results, targets.rejects, create=True)
+    payloads = [f'{{"name":"n{i}","age":{i},"height":{i}.5,"target_table":"out{i % 40}"}}' for i in range(80)]
+    JsonRouting(spark, made).run(log(spark, *[("t", p) for p in [*payloads, "{", '{"name":"x"}']]))
+    assert rows(spark, made.result("out3")) == [("n3", 3, 3.5), ("n43", 43, 43.5)]
+    assert spark.sql(f"SHOW TABLES IN {made.results}").count() == 40
+    assert spark.table(made.dead_letters).count() == 2
+
+
+def test_json_routing_keeps_the_field_and_never_creates(spark, targets):
+    payload = ("t", '{"name":"J","age":62,"height":1.66,"target_table":"out1"}')
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        JsonRouting(spark, targets).run(log(spark, payload))
+    made = Targets(targets.results, targets.rejects, create=True)
+    JsonRouting(spark, made, keep_table_field=True).run(log(spark, payload))
+    assert rows(spark, made.result("out1")) == [("J", 62, 1.66, "out1")]
+
+
+def test_roads(spark, targets):
+    made = Targets(targets.results, targets.rejects, create=True)
+    body = '{"name":"J","age":1,"height":2}'
+    frame = log(spark, ("t1", body), ("t2", body), ("t2", body), ("t9", body), ("t3", "{"))
+    JsonRouting(spark, made).run_roads(frame, {"t1": "output1", "t2": "output2", "t3": "output3"})
+    assert rows(spark, made.result("output1")) == [("J", 1, 2.0)]
+    assert len(rows(spark, made.result("output2"))) == 2
+    assert spark.table(made.dead_letters).count() == 1
