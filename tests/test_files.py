@@ -5,6 +5,7 @@ import gzip
 
 import pytest
 
+from waybill.sources import files
 from waybill import DEFAULT_REGISTRY, FileLoad, create_load_tables, messages_frame
 from waybill.sources.files import file_sizes, match_files, read_lines, read_paths, read_text_file
 
@@ -59,9 +60,31 @@ def test_compressed(spark, small_splits, tmp_path):
     expected = sorted(f"line{i}" for i in range(200))
     assert lines_of(read_text_file(spark, f"{tmp_path}/a.csv.gz")) == expected
     assert lines_of(read_text_file(spark, f"{tmp_path}/b.csv.bz2")) == expected
-    spread = read_lines(spark, [f"{tmp_path}/a.csv.gz"], 1, redistribute=4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert lines_of(spread) == expected
+
+
+def test_big_compressed_files_are_spread(spark, small_splits, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "SPREAD_BYTES", 1)
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
+        f.write("h\n" + "".join(f"line{i}\n" for i in range(2000)))
+    frame = read_text_file(spark, f"{tmp_path}/a.csv.gz")
+    assert frame.rdd.getNumPartitions() > 8
+    assert lines_of(frame) == sorted(f"line{i}" for i in range(2000))
+
+
+@pytest.mark.parametrize("skip", [0, 1, 2])
+def test_small_files_share_tasks(spark, tmp_path, skip):
+    expected = []
+    for i in range(90):
+        rows = [f"{i},{j}" for j in range(i % 4)]
+        end = "\r\n" if i % 2 else "\n"
+        text = end.join(rows) + (end if rows and i % 3 else "")
+        (tmp_path / f"f{i}.csv").write_text(text, newline="")
+        expected += rows[skip:]
+    (tmp_path / "blank.csv").write_text("h\n\n\nx\n\n")
+    expected += ["h", "", "", "x", ""][skip:]
+    frame = read_text_file(spark, f"{tmp_path}/*.csv", skip)
+    assert frame.rdd.getNumPartitions() < 91
+    assert lines_of(frame) == sorted(expected)
 
 
 def test_odd_names_and_overlapping_globs(spark, tmp_path):
@@ -69,7 +92,7 @@ def test_odd_names_and_overlapping_globs(spark, tmp_path):
         (tmp_path / name).write_text(f"h\n{name}\n")
     found = match_files(spark, [f"{tmp_path}/*.csv", f"{tmp_path}/a*.csv"])
     assert len(found) == 6
-    frame = read_lines(spark, [m.status.path for m in found])
+    frame = read_lines(spark, found)
     rows = {r["file_path"]: r["line"] for r in frame.collect()}
     assert frame.count() == 5
     assert {m.file_path: m.status.name for m in found} == rows

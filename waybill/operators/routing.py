@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 from waybill import layouts
 from waybill.functions.payload import CORRUPT, decode_event, json_field, parse_json, payload_text
 from waybill.layouts import BATCH_SIZE_THRESHOLD, JSON_LOG_SCHEMA, MESSAGE_SCHEMA
-from waybill.operators.joins import attach
 
 STREAM, BATCH = "stream", "batch"
-_TABLE_NAME = "^[A-Za-z0-9_]+$"
+TABLE_NAME = "^[A-Za-z0-9_]+$"
 
 
 def size_route(length: Column, threshold: int = BATCH_SIZE_THRESHOLD) -> Column:
@@ -26,10 +25,11 @@ def route_by_size(messages: DataFrame, sizes: DataFrame, threshold: int = BATCH_
     """Messages with ``length`` and ``route``; the whole message is kept on both routes.
 
     ``sizes`` has ``fileURL, length``, one row per file; a URL with several files counts
-    with their sum, and one without a file has NULL in both columns.
+    with their sum, and one without a file has NULL in both columns. The sums arrive
+    partitioned by URL, and adaptive execution broadcasts them if they turn out small.
     """
     total = sizes.groupBy("fileURL").agg(F.sum("length").alias("length"))
-    routed = attach(messages, total, ["fileURL"], "left")
+    routed = messages.join(total, ["fileURL"], "left")
     return routed.withColumn("route", F.when(F.col("length").isNotNull(), size_route(F.col("length"), threshold)))
 
 
@@ -68,7 +68,7 @@ def rows_with_target(
     )
     problem = (
         F.when(F.col(f"_r.{CORRUPT}").isNotNull() | F.col("_target").isNull(), layouts.INVALID_MESSAGE)
-        .when(~F.col("_target").rlike(_TABLE_NAME), layouts.INVALID_TABLE_NAME)
+        .when(~F.col("_target").rlike(TABLE_NAME), layouts.INVALID_TABLE_NAME)
         .otherwise("")
     )
     return parsed.select(

@@ -60,5 +60,5 @@ class ExactNameLoad:
             "file_layout",
             F.when(F.array_contains(names, F.col("file_name")), F.col("file_name")).otherwise(self.default),
         )
-        lines = read_lines(self.spark, [m.status.path for m in matches], self.skip_header_lines)
+        lines = read_lines(self.spark, matches, self.skip_header_lines)
         return attach(lines, bridge, ["file_path"], salts=LINE_SALTS).drop("file_path")

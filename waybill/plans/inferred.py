@@ -7,9 +7,11 @@ columns in the same types.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import layouts
@@ -18,6 +20,7 @@ from waybill.functions.text import base_name
 from waybill.layouts import DEAD_LETTER_SCHEMA, REJECT_SCHEMA
 from waybill.operators.messages import is_valid_message, with_text_time
 from waybill.operators.outputs import reject_records
+from waybill.operators.routing import TABLE_NAME
 from waybill.operators.tables import LoadFolder, Targets, append, append_compatible
 from waybill.sources.files import match_files
 from waybill.sources.inferred import read_delimited, typed_by_content
@@ -34,7 +37,10 @@ def inferred_messages(envelopes: DataFrame) -> DataFrame:
         text.alias("message"),
         json_field(aliased, "fileURL").alias("fileURL"),
         json_field(text, "destination").alias("destination"),
-        F.when(is_valid_message(aliased), "").otherwise(layouts.INVALID_MESSAGE).alias("problem"),
+        F.when(~is_valid_message(aliased), layouts.INVALID_MESSAGE)
+        .when(~json_field(text, "destination").rlike(TABLE_NAME), layouts.INVALID_TABLE_NAME)
+        .otherwise("")
+        .alias("problem"),
     )
 
 
@@ -49,6 +55,7 @@ class InferredLoad:
     spark: SparkSession
     targets: Targets = field(default_factory=lambda: Targets(create=True))
     exact_schema: bool = False
+    parallel_tables: int = 4
 
     def run(self, envelopes: DataFrame, load_id: str | None = None) -> str:
         load_id = load_id or uuid.uuid4().hex
@@ -57,13 +64,22 @@ class InferredLoad:
             return load_id
         messages = folder.store(inferred_messages(envelopes), "messages")
         folder.once("dead_letters", lambda: self._dead_letters(messages.filter(F.col("problem") != "")))
-        fine = messages.filter(F.col("problem") == "").drop("problem")
-        for number, message in enumerate(fine.orderBy("message_ts", "message_id").toLocalIterator()):
-            folder.once(f"message-{number}", lambda n=number, m=message: self._load(folder, n, m, load_id))
+        fine = messages.filter(F.col("problem") == "").withColumn("table", F.lower("destination"))
+        names = (row[0] for row in fine.select("table").distinct().toLocalIterator())
+        with ThreadPoolExecutor(self.parallel_tables) as pool:
+            while some := list(islice(names, 256)):
+                list(pool.map(lambda name: self._load_table(folder, name, fine, load_id), some))
         folder.finish(("messages",))
         return load_id
 
-    def _load(self, folder: LoadFolder, number: int, message, load_id: str) -> None:
+    def _load_table(self, folder: LoadFolder, table: str, messages: DataFrame, load_id: str) -> None:
+        """The messages of one table, one after the other: the first may make the table."""
+        own = messages.filter(F.col("table") == table).orderBy("message_ts", "message_id")
+        for number, message in enumerate(own.toLocalIterator()):
+            step = f"{table}-{number}"
+            folder.once(step, lambda s=step, m=message: self._load(folder, s, m, load_id))
+
+    def _load(self, folder: LoadFolder, step: str, message: Row, load_id: str) -> None:
         matches = match_files(self.spark, [message["fileURL"]])
         if not matches:
             row = self.spark.createDataFrame(
@@ -72,11 +88,11 @@ class InferredLoad:
             )
             self._dead_letters(row, ready=True)
             return
-        name = f"texts-{number}"
+        name = f"texts-{step}"
         texts = folder.store(read_delimited(self.spark, [m.status.path for m in matches]), name)
         found = typed_by_content(texts)
         table = self.targets.result(message["destination"])
-        append_compatible(found.rows, table, self.targets.source, self.exact_schema, f"{load_id}-{number}")
+        append_compatible(found.rows, table, self.targets.source, self.exact_schema, f"{load_id}-{step}")
         rejects = found.rejects.select(
             F.lit(message["message_ts"]).alias("message_ts"),
             F.lit(layouts.WRONG_FIELD_COUNT).alias("stacktrace"),

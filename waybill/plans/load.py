@@ -88,7 +88,7 @@ def judged_lines(
     urls = [row[0] for row in ready.select("fileURL").distinct().toLocalIterator()]
     matches = match_files(spark, urls)
     bridge = ready.join(matches_frame(spark, matches), "fileURL")
-    lines = read_lines(spark, [m.status.path for m in matches], skip_header_lines)
+    lines = read_lines(spark, matches, skip_header_lines)
     return judge_lines(attach_messages(lines, bridge), registry, on_cast_error)
 
 
@@ -155,7 +155,7 @@ class FileLoad:
         if not folder.stored(f"lines/slice={number}"):
             found = matches_frame(self.spark, matches)
             bridge = attach(messages, found.select("fileURL", "file_path"), ["fileURL"], size=_match_size(matches))
-            lines = read_lines(self.spark, [m.status.path for m in matches], self.skip_header_lines)
+            lines = read_lines(self.spark, matches, self.skip_header_lines)
             lines = attach_messages(lines, bridge, _bridge_size(urls, matches))
             judged = judge_lines(lines, self.registry, self.on_cast_error)
             outcome = F.when(F.col("stacktrace") == "", VALID).otherwise(REJECTED)

@@ -7,10 +7,12 @@ lengths only, as it does for every Spark file scan.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +32,15 @@ MATCH_SCHEMA = T.StructType(
 
 URL_SCHEMA = T.StructType([T.StructField("fileURL", T.StringType(), False)])
 
+# Files up to this size are packed into shared tasks, if there are more than a few.
+SMALL_BYTES = 4 * 1024 * 1024
+FEW_FILES = 64
+# Extensions of files that only one task can read; bzip2 files can be split.
+COMPRESSED = (".gz", ".zst", ".snappy", ".lz4", ".deflate")
+SPREAD_BYTES = 64 * 1024 * 1024
+UNPACKED = 4
+"""Unpacked bytes per compressed byte, for choosing a number of tasks."""
+
 _MATCH_THREADS = 16
 _ROW_BITS = 33  # monotonically_increasing_id(): row number within the task
 
@@ -115,48 +126,79 @@ def _header_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def _text(session: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return session.read.option("lineSep", "\n").text([_literal(p) for p in paths])
+def _text(session: SparkSession, files: Sequence[MatchedFile], **options) -> DataFrame:
+    paths = [_literal(f.status.path) for f in files]
+    return session.read.text(paths, **options).select(_file_path().alias("file_path"), "value", "_metadata")
+
+
+def _packed_lines(spark: SparkSession, files: Sequence[MatchedFile], skip: int) -> DataFrame:
+    """Lines of small files, each read as one value so that many of them share a task."""
+    lines = F.split("value", "\n")
+    # What follows the last line end is a line only if there is something.
+    ends = F.endswith("value", F.lit("\n")) | (F.col("value") == "")
+    n = F.size(lines) - ends.cast("int") - skip
+    data = F.slice(lines, F.lit(skip + 1), F.greatest(n, F.lit(0)))
+    return _text(spark, files, wholetext=True).select("file_path", F.explode(data).alias("value"))
+
+
+def _split_lines(spark: SparkSession, files: Sequence[MatchedFile], skip: int) -> DataFrame:
+    """Lines of files read in splits."""
+    if skip == 0:
+        return _text(spark, files, lineSep="\n").select("file_path", "value")
+    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (
+        _text(_header_session(spark), files, lineSep="\n")
+        .select(
+            "file_path",
+            "value",
+            F.col("_metadata.file_block_start").alias("_split_start"),
+            row_in_task.alias("_row"),
+        )
+        .filter((F.col("_split_start") > 0) | (F.col("_row") >= skip))
+        .select("file_path", "value")
+    )
+
 
+def _spread(spark: SparkSession, lines: DataFrame, files: Sequence[MatchedFile]) -> DataFrame:
+    """Lines of compressed files over as many tasks as their unpacked bytes deserve."""
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    split_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split)
+    return lines.repartition(max(2, math.ceil(sum(f.status.length for f in files) * UNPACKED / split_bytes)))
 
-def read_lines(
-    spark: SparkSession,
-    paths: Iterable[str],
-    skip_header_lines: int = 1,
-    redistribute: int | None = None,
-) -> DataFrame:
+
+def read_lines(spark: SparkSession, files: Iterable[MatchedFile], skip_header_lines: int = 1) -> DataFrame:
     """``file_path, line`` of every data line; blank lines are lines.
 
-    ``paths`` are plain paths of existing files. Lines end at ``\\n`` or ``\\r\\n``.
-    Compressed files are recognised by their extension and read as one split.
+    Every file is read once, however often it was matched. Lines end at ``\\n`` or
+    ``\\r\\n``. Compressed files are recognised by their extension and read as one split;
+    the lines of big ones are spread over more tasks afterwards.
 
     The first ``skip_header_lines`` lines of *each file* are dropped in the same single
     scan, without a shuffle: with one split per task, the row number within the task is
     the line number within the split, and a header stands at the start of the split at
-    offset 0. (Header lines before the last must fit in that one split.)
-
-    ``redistribute`` spreads the lines over that many tasks afterwards, for big files
-    that cannot be split.
+    offset 0. (Header lines before the last must fit in that one split.) Small files, of
+    which there may be very many, are packed into tasks instead.
     """
-    distinct = sorted(set(paths))
-    if not distinct:
+    skip = max(skip_header_lines, 0)
+    small, big, packed = [], [], []
+    for file in {f.status.path: f for f in files}.values():
+        if file.status.name.lower().endswith(COMPRESSED):
+            (packed if file.status.length >= SPREAD_BYTES else big).append(file)
+        else:
+            (small if file.status.length <= SMALL_BYTES else big).append(file)
+    if len(small) <= FEW_FILES:
+        small, big = [], small + big
+    parts = []
+    if small:
+        parts.append(_packed_lines(spark, small, skip))
+    if big:
+        parts.append(_split_lines(spark, big, skip))
+    if packed:
+        parts.append(_spread(spark, _split_lines(spark, packed, skip), packed))
+    if not parts:
         return spark.createDataFrame([], "file_path string, line string")
-    if skip_header_lines <= 0:
-        lines = _text(spark, distinct).select(_file_path().alias("file_path"), "value")
-    else:
-        row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-        lines = (
-            _text(_header_session(spark), distinct)
-            .select(
-                _file_path().alias("file_path"),
-                "value",
-                F.col("_metadata.file_block_start").alias("_split_start"),
-                row_in_task.alias("_row"),
-            )
-            .filter((F.col("_split_start") > 0) | (F.col("_row") >= skip_header_lines))
-        )
-    lines = lines.select("file_path", strip_carriage_return(F.col("value")).alias("line"))
-    return lines.repartition(redistribute) if redistribute else lines
+    lines = reduce(DataFrame.unionByName, parts)
+    return lines.select("file_path", strip_carriage_return(F.col("value")).alias("line"))
 
 
 def read_text_file(spark: SparkSession, url: str, skip_header_lines: int = 1) -> DataFrame:
@@ -164,11 +206,11 @@ def read_text_file(spark: SparkSession, url: str, skip_header_lines: int = 1) ->
     matches = match_files(spark, [url])
     if not matches:
         raise FileNotFoundError(url)
-    return read_lines(spark, [m.status.path for m in matches], skip_header_lines)
+    return read_lines(spark, matches, skip_header_lines)
 
 
 def read_paths(spark: SparkSession, urls: DataFrame, skip_header_lines: int = 1) -> DataFrame:
     """``file_path, line`` of every file named in the first column of a frame."""
     column = urls.columns[0]
     named = (row[0] for row in urls.select(column).distinct().toLocalIterator())
-    return read_lines(spark, [m.status.path for m in match_files(spark, named)], skip_header_lines)
+    return read_lines(spark, match_files(spark, named), skip_header_lines)
