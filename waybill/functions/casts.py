@@ -7,17 +7,25 @@ pattern, and it takes number syntax (``1.5d``, ``0x1p3``) that the kinds do not
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # 19 digits are the most that can fit.
-_INTEGER = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
+_INTEGER = r"^\s*[+-]?0*[0-9]{1,19}\s*\z"
 _FLOAT = (
-    r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-    r"|^\s*([+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+    r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+    r"|^\s*([+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*\z"
 )
 # Digits may be grouped by single underscores.
-_STRAY_UNDERSCORE = r"(^|[^0-9])_|_([^0-9]|$)"
+_STRAY_UNDERSCORE = r"(^|[^0-9])_|_([^0-9]|\z)"
+
+# Texts that cast for certain; others may cast as well.
+_PLAIN = {
+    "INTEGER": r"\s*[+-]?[0-9]{1,18}\s*",
+    "FLOAT": r"\s*[+-]?[0-9]{1,15}(?:\.[0-9]{0,15})?\s*",
+}
 
 
 def _matching(text: Column, pattern: str, spark_type: str) -> Column:
@@ -45,3 +53,9 @@ def cast_text(text: Column, kind: str) -> Column:
     if kind == "STRING":
         return text
     raise ValueError(f"unknown kind {kind!r}")
+
+
+def plain_line(kinds: Sequence[str], separator: str = ",") -> str:
+    """Pattern of lines with exactly these fields, all of which cast for certain."""
+    anything = f"[^{separator}]*"
+    return "^" + separator.join(_PLAIN.get(kind, anything) for kind in kinds) + r"\z"

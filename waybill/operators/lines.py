@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
-from waybill.functions.casts import cast_text, to_float, to_integer
-from waybill.functions.text import split_fields
+from waybill.functions.casts import cast_text, plain_line, to_float, to_integer
+from waybill.functions.text import SEPARATOR, split_fields
 from waybill.layouts import Registry
 from waybill.operators.joins import LINE_SALTS, Size, attach
 from waybill.operators.messages import LINE_CONTEXT
@@ -32,6 +32,22 @@ def _field(position: int) -> Column:
     return F.get("fields", F.lit(position))
 
 
+def _is_plain(registry: Registry) -> Column:
+    """True for lines with the right number of fields that all cast, where one pattern per
+    line can tell without taking it apart. False decides nothing.
+
+    It does not pay where the fields are needed anyway (there is a predicate) or where
+    counting them is enough (all of them are text).
+    """
+    plain = F.lit(False)
+    for layout in registry.sources:
+        kinds = [layouts.kind_of(column.dataType) for column in layout.schema.fields]
+        if set(kinds) != {"STRING"}:
+            pattern = plain_line(kinds, SEPARATOR)
+            plain |= (F.col("layout") == layout.prefix) & F.col("line").rlike(pattern)
+    return F.col("key_position").isNull() & plain
+
+
 def _bad_cast(registry: Registry) -> Column:
     """True where some declared field does not cast."""
     layouts_with = defaultdict(list)
@@ -90,14 +106,16 @@ def judge_lines(lines: DataFrame, registry: Registry, on_cast_error: str = "reje
         bad_cast = F.raise_error(
             F.concat(F.lit("value does not cast in "), "source_file", F.lit(": "), "line")
         ).cast("string")
+    unsettled = ~F.col("_plain")
     reason = (
-        F.when(F.size("fields") != F.col("n_fields"), F.lit(layouts.WRONG_FIELD_COUNT))
-        .when(_bad_cast(registry), bad_cast)
+        F.when(unsettled & (F.size("fields") != F.col("n_fields")), F.lit(layouts.WRONG_FIELD_COUNT))
+        .when(unsettled & _bad_cast(registry), bad_cast)
         .when(_out_of_range(), F.lit(layouts.OUT_OF_RANGE))
         .otherwise(F.lit(""))
     )
     return (
-        lines.withColumn("fields", split_fields(F.col("line")))
+        lines.withColumn("_plain", _is_plain(registry))
+        .withColumn("fields", F.when(unsettled, split_fields(F.col("line"))))
         .transform(_with_key)
         # The one-element explode keeps later filters on the reason above it. Pushed below,
         # the reason would be worked out twice, splitting the line again for every field.
@@ -106,8 +124,14 @@ def judge_lines(lines: DataFrame, registry: Registry, on_cast_error: str = "reje
     )
 
 
-def typed_columns(judged: DataFrame, schema: T.StructType, registry: Registry) -> DataFrame:
-    """Judged (valid) lines as the columns of a target table.
+def _known_to_cast(text: Column, kind: str) -> Column:
+    if kind == "STRING":
+        return text
+    return F.coalesce(text.try_cast(layouts.SPARK_TYPES[kind]), cast_text(text, kind))
+
+
+def typed_columns(valid: DataFrame, schema: T.StructType, registry: Registry) -> DataFrame:
+    """Valid lines as the columns of a target table.
 
     Columns are found by name, whatever the case, in the layout of the line; fields the
     table does not know are dropped and columns the file does not have are NULL.
@@ -118,10 +142,10 @@ def typed_columns(judged: DataFrame, schema: T.StructType, registry: Registry) -
         for layout in reversed(registry.sources):
             for i, source in enumerate(layout.schema.fields):
                 if source.name.lower() == target.name.lower():
-                    typed = cast_text(_field(i), layouts.kind_of(source.dataType)).cast(target.dataType)
+                    typed = _known_to_cast(_field(i), layouts.kind_of(source.dataType)).cast(target.dataType)
                     value = F.when(F.col("layout") == layout.prefix, typed).otherwise(value)
         columns.append(value.alias(target.name))
-    return judged.withColumn("fields", split_fields(F.col("line"))).select(*columns)
+    return valid.withColumn("fields", split_fields(F.col("line"))).select(*columns)
 
 
 def named_fields(

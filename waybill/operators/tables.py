@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -161,10 +161,17 @@ class LoadFolder:
     def stored(self, name: str) -> bool:
         return self.files.exists(self.at(f"{name}/_SUCCESS"))
 
-    def store(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def store(
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: tuple[str, ...] = (),
+        options: Mapping[str, str] | None = None,
+    ) -> DataFrame:
         """Writes a frame unless it has been written completely before, and reads it back."""
         if not self.stored(name):
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.at(name))
+            writer = df.write.mode("overwrite").options(**(options or {}))
+            writer.partitionBy(*partition_by).parquet(self.at(name))
         return df.sparkSession.read.schema(df.schema).parquet(self.at(name))
 
     @property

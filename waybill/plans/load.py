@@ -61,15 +61,16 @@ def _url_sizes(messages: DataFrame) -> DataFrame:
 
 
 def _match_size(matches: list[MatchedFile]) -> Size:
-    return Size(len(matches), sum(len(m.url) + len(m.file_path) + 8 for m in matches))
+    pairs = [(m.url, form) for m in matches for form in m.forms]
+    return Size(len(pairs), sum(len(url) + len(form) for url, form in pairs))
 
 
 def _bridge_size(urls: list[Row], matches: list[MatchedFile]) -> Size:
     """Size of messages joined with their files."""
     by_url = {row["fileURL"]: row for row in urls}
+    pairs = [(by_url[m.url], form) for m in matches for form in m.forms]
     return Size(
-        sum(by_url[m.url]["rows"] for m in matches),
-        sum(by_url[m.url]["bytes"] + by_url[m.url]["rows"] * len(m.file_path) for m in matches),
+        sum(url["rows"] for url, _ in pairs), sum(url["bytes"] + url["rows"] * len(form) for url, form in pairs)
     )
 
 
@@ -154,13 +155,17 @@ class FileLoad:
             folder.store(url_frame(self.spark, sorted(missing)), f"missing/slice={number}")
         if not folder.stored(f"lines/slice={number}"):
             found = matches_frame(self.spark, matches)
-            bridge = attach(messages, found.select("fileURL", "file_path"), ["fileURL"], size=_match_size(matches))
+            bridge = attach(messages, found, ["fileURL"], size=_match_size(matches))
             lines = read_lines(self.spark, matches, self.skip_header_lines)
             lines = attach_messages(lines, bridge, _bridge_size(urls, matches))
             judged = judge_lines(lines, self.registry, self.on_cast_error)
             outcome = F.when(F.col("stacktrace") == "", VALID).otherwise(REJECTED)
             folder.store(
-                judged.withColumn("outcome", outcome), f"lines/slice={number}", ("destination", "outcome")
+                judged.withColumn("outcome", outcome),
+                f"lines/slice={number}",
+                ("destination", "outcome"),
+                # Lines hardly repeat: a dictionary of them would be built in vain.
+                {"parquet.enable.dictionary#line": "false"},
             )
         return bool(missing)
 

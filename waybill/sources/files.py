@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +26,9 @@ MATCH_SCHEMA = T.StructType(
     [
         T.StructField("fileURL", T.StringType(), False),
         T.StructField("file_path", T.StringType(), False),
-        T.StructField("length", T.LongType(), False),
     ]
 )
+SIZE_SCHEMA = T.StructType([*MATCH_SCHEMA.fields, T.StructField("length", T.LongType(), False)])
 
 URL_SCHEMA = T.StructType([T.StructField("fileURL", T.StringType(), False)])
 
@@ -41,6 +41,8 @@ SPREAD_BYTES = 64 * 1024 * 1024
 UNPACKED = 4
 """Unpacked bytes per compressed byte, for choosing a number of tasks."""
 
+OPEN_WRITERS = 16
+
 _MATCH_THREADS = 16
 _ROW_BITS = 33  # monotonically_increasing_id(): row number within the task
 
@@ -53,9 +55,14 @@ class MatchedFile:
     status: FileStatus
 
     @property
-    def file_path(self) -> str:
-        """The path as ``read_lines`` shows it."""
-        return re.sub("^file:/+", "file:/", self.status.uri)
+    def forms(self) -> list[str]:
+        """The path as ``_metadata.file_path`` may show it: local paths come with one or
+        with three slashes."""
+        uri = self.status.uri
+        if not uri.startswith("file:"):
+            return [uri]
+        path = "/" + uri.removeprefix("file:").lstrip("/")
+        return ["file:" + path, "file://" + path]
 
 
 def _is_hidden(status: FileStatus) -> bool:
@@ -81,11 +88,12 @@ def match_files(spark: SparkSession, urls: Iterable[str]) -> list[MatchedFile]:
 
 
 def matches_frame(spark: SparkSession, matches: Sequence[MatchedFile]) -> DataFrame:
-    """``fileURL, file_path, length``; file_path as ``read_lines`` shows it."""
+    """``fileURL, file_path`` to join lines with; local files have a row per form of their
+    path, of which the lines show one."""
+    pairs = [(m.url, form) for m in matches for form in m.forms]
     columns = {
-        "fileURL": pa.array([m.url for m in matches], pa.string()),
-        "file_path": pa.array([m.file_path for m in matches], pa.string()),
-        "length": pa.array([m.status.length for m in matches], pa.int64()),
+        "fileURL": pa.array([url for url, _ in pairs], pa.string()),
+        "file_path": pa.array([form for _, form in pairs], pa.string()),
     }
     return spark.createDataFrame(pa.table(columns), MATCH_SCHEMA)
 
@@ -94,16 +102,15 @@ def url_frame(spark: SparkSession, urls: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(pa.table({"fileURL": pa.array(urls, pa.string())}), URL_SCHEMA)
 
 
-def _file_path() -> Column:
-    """Local paths come with one or three slashes: always one here."""
-    path = F.col("_metadata.file_path")
-    rest = F.substring(path, len("file:///") + 1, 2**31 - 1)
-    return F.when(F.startswith(path, F.lit("file:///")), F.concat(F.lit("file:/"), rest)).otherwise(path)
-
-
 def file_sizes(spark: SparkSession, urls: Iterable[str]) -> DataFrame:
-    """``fileURL, file_path, length`` from file status alone; no content is read."""
-    return matches_frame(spark, match_files(spark, urls))
+    """``fileURL, file_path, length`` per file from its status; no content is read."""
+    matches = match_files(spark, urls)
+    columns = {
+        "fileURL": pa.array([m.url for m in matches], pa.string()),
+        "file_path": pa.array([m.status.uri for m in matches], pa.string()),
+        "length": pa.array([m.status.length for m in matches], pa.int64()),
+    }
+    return spark.createDataFrame(pa.table(columns), SIZE_SCHEMA)
 
 
 def _literal(path: str) -> str:
@@ -111,24 +118,30 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _header_session(spark: SparkSession) -> SparkSession:
-    """A session whose scans put every file split into a task of its own.
+def _scan_session(spark: SparkSession, split_per_task: bool) -> SparkSession:
+    """A session for file scans, like the caller's but for the settings made here.
 
-    A file's scan settings are those of the session that made the reader, so the caller's
+    A scan's settings are those of the session that made its reader, so the caller's
     session is left alone.
     """
     session = spark.newSession()
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    session.conf.set("spark.sql.files.maxPartitionBytes", split)
-    # A file counts as a full task before its own length is added: nothing is packed.
-    session.conf.set("spark.sql.files.openCostInBytes", split)
-    session.conf.set("spark.sql.files.maxPartitionNum", str(2**31 - 1))
+    known = session.conf.getAll
+    for key, value in spark.conf.getAll.items():
+        if known.get(key) != value:
+            session.conf.set(key, value)
+    # Writes that split their rows over a few folders need no sort for it.
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_WRITERS))
+    if split_per_task:
+        # A file counts as a full task before its own length is added: nothing is packed.
+        split = session.conf.get("spark.sql.files.maxPartitionBytes")
+        session.conf.set("spark.sql.files.openCostInBytes", split)
+        session.conf.set("spark.sql.files.maxPartitionNum", str(2**31 - 1))
     return session
 
 
 def _text(session: SparkSession, files: Sequence[MatchedFile], **options) -> DataFrame:
     paths = [_literal(f.status.path) for f in files]
-    return session.read.text(paths, **options).select(_file_path().alias("file_path"), "value", "_metadata")
+    return session.read.text(paths, **options).select(F.col("_metadata.file_path").alias("file_path"), "value", "_metadata")
 
 
 def _packed_lines(spark: SparkSession, files: Sequence[MatchedFile], skip: int) -> DataFrame:
@@ -138,16 +151,16 @@ def _packed_lines(spark: SparkSession, files: Sequence[MatchedFile], skip: int)
     ends = F.endswith("value", F.lit("\n")) | (F.col("value") == "")
     n = F.size(lines) - ends.cast("int") - skip
     data = F.slice(lines, F.lit(skip + 1), F.greatest(n, F.lit(0)))
-    return _text(spark, files, wholetext=True).select("file_path", F.explode(data).alias("value"))
+    return _text(_scan_session(spark, False), files, wholetext=True).select("file_path", F.explode(data).alias("value"))
 
 
 def _split_lines(spark: SparkSession, files: Sequence[MatchedFile], skip: int) -> DataFrame:
     """Lines of files read in splits."""
     if skip == 0:
-        return _text(spark, files, lineSep="\n").select("file_path", "value")
+        return _text(_scan_session(spark, False), files, lineSep="\n").select("file_path", "value")
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        _text(_header_session(spark), files, lineSep="\n")
+        _text(_scan_session(spark, True), files, lineSep="\n")
         .select(
             "file_path",
             "value",
