@@ -35,6 +35,7 @@ HEADLINE = (
     "size_router",
     "header_skip",
     "batch_load_monitoring",
+    "lineitem_file_load",
     "stream_load_monitoring",
     "dynamic_route_tables",
     "inferred_schema_load",

@@ -73,40 +73,62 @@ def judged_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_lines(attach_messages(lines, bridge.withColumn("file_path", F.col("source_file"))), DEFAULT_REGISTRY)
 
 
-def judged_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as lines of one file per return flag, judged; half of the rows have flag N."""
-    lines = table(spark, sf_dir, "lineitem").selectExpr(
-        "concat('lineitem_', l_returnflag, '.csv') AS file_path",
+def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``flag, line``: lineitem as CSV lines, a tenth too short and a tenth with a bad number."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_returnflag AS flag",
         """CASE WHEN l_orderkey % 10 = 7 THEN concat_ws(',', l_orderkey, l_partkey, l_linenumber)
                 WHEN l_orderkey % 10 = 8 THEN
                      concat_ws(',', l_orderkey, concat('p', l_partkey), l_linenumber, l_returnflag, l_linestatus)
                 ELSE concat_ws(',', l_orderkey, l_partkey, l_linenumber, l_returnflag, l_linestatus) END AS line""",
     )
-    messages = messages_frame(
+
+
+def lineitem_messages(spark: SparkSession, folder: str = "") -> DataFrame:
+    """One message per return flag, with a range of line numbers."""
+    return messages_frame(
         spark,
         [
-            {"fileURL": f"/lineitem_{flag}.csv", "destination": "lineitem", "id": flag, "timestamp": TIMESTAMP,
+            {"fileURL": f"{folder}/lineitem_{flag}.csv", "destination": "lineitem", "id": flag, "timestamp": TIMESTAMP,
              "partition_key": "linenumber", "partition_depth": [1, 5.5]}
             for flag in ("A", "N", "R")
         ],
     )
-    bridge = prepare_messages(messages, LINEITEM_REGISTRY)
+
+
+def judged_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as lines of one file per return flag, judged; one flag has most of the rows."""
+    lines = lineitem_lines(spark, sf_dir).select(
+        F.concat(F.lit("lineitem_"), "flag", F.lit(".csv")).alias("file_path"), "line"
+    )
+    bridge = prepare_messages(lineitem_messages(spark), LINEITEM_REGISTRY)
     bridge = bridge.withColumn("file_path", F.col("source_file"))
     return judge_lines(attach_messages(lines, bridge), LINEITEM_REGISTRY)
 
 
+def write_lineitem_files(spark: SparkSession, sf_dir: str) -> str:
+    """The lines as one CSV file (a folder of part files) per return flag."""
+    folder = fresh_folder(spark, "lineitem")
+    lines = lineitem_lines(spark, sf_dir)
+    for flag in ("A", "N", "R"):
+        part = lines.filter(F.col("flag") == flag).select(F.col("line").alias("orderkey,partkey,linenumber,flag,status"))
+        write_raw(part, f"{folder}/lineitem_{flag}.csv")
+    return folder
+
+
+def write_raw(lines: DataFrame, path: str, header: bool = True) -> None:
+    """A one-column frame as lines: one column needs no separator, and nothing is quoted.
+    The name of the column is the header of each part file."""
+    lines.write.options(header=header, sep="\u0001", quote="", escape="", emptyValue="").csv(path)
+
+
 def write_feed_files(spark: SparkSession, sf_dir: str, header: bool = True) -> str:
     """The feed as three CSV files (folders of part files) with a header line in each part."""
     folder = fresh_folder(spark, "feed")
     lines = feed(spark, sf_dir)
     for name, message in FEED_FILES.items():
-        (
-            lines.filter(F.col("source_file") == name)
-            .select(F.col("line").alias(message["header"]))
-            # One column, so the separator never shows; no quoting either.
-            .write.options(header=header, sep="\u0001", quote="", escape="", emptyValue="")
-            .csv(f"{folder}/{name}")
-        )
+        part = lines.filter(F.col("source_file") == name).select(F.col("line").alias(message["header"]))
+        write_raw(part, f"{folder}/{name}", header)
     return folder
 
 

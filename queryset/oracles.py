@@ -48,6 +48,17 @@ WITH lines AS (
   FROM lineitem)
 """
 
+_LINES_MONITORING = (
+    _LINES
+    + """SELECT '2024-01-01 00:00:00' AS "timestamp", 'START' AS event,
+      CAST(0 AS BIGINT) AS number_inserted_rows, CAST(0 AS BIGINT) AS number_rejected_rows
+    FROM lines GROUP BY message_id
+    UNION ALL SELECT '2024-01-01 00:00:00',
+      CASE WHEN count(*) FILTER (WHERE stacktrace <> '') <> 0 THEN 'WARNING' ELSE 'SUCCESS' END,
+      count(*) FILTER (WHERE stacktrace = ''), count(*) FILTER (WHERE stacktrace <> '')
+    FROM lines GROUP BY message_id"""
+)
+
 _MONITORING = (
     _FEED
     + """SELECT "timestamp", event, number_inserted_rows, number_rejected_rows FROM starts
@@ -191,6 +202,7 @@ SELECT CAST(event_id AS VARCHAR) AS message_id, decode(from_base64(to_base64(enc
     UNION ALL SELECT destination || '_rejects', count(*) FILTER (WHERE stacktrace <> '')
       FROM names JOIN checked USING (id) GROUP BY destination
     UNION ALL SELECT 'monitoring', count(DISTINCT id) * 2 FROM checked""",
+    "lineitem_file_load": _LINES_MONITORING,
     "batch_load_limited": _FEED
     + """, bad AS (SELECT id, count(*) FILTER (WHERE stacktrace <> '') AS n_bad, count(*) AS n_all FROM checked GROUP BY id)
     SELECT "timestamp", event, number_inserted_rows, number_rejected_rows FROM starts

@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from queryset.feeds import (
     FEED_FILES,
+    LINEITEM_REGISTRY,
     TIMESTAMP,
     event_payloads,
     feed,
     feed_messages,
     judged_feed,
     judged_lineitem,
+    lineitem_messages,
     scratch_targets,
     table,
     write_feed_files,
+    write_lineitem_files,
+    write_raw,
 )
 from waybill import DEFAULT_REGISTRY, ExactNameLoad, FileLoad, InferredLoad, JsonRouting, parse_messages, struct
 from waybill.functions.casts import to_integer
@@ -337,6 +341,14 @@ def load_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+def lineitem_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring table after a load of the biggest table from files, by its own layouts."""
+    folder = write_lineitem_files(spark, sf_dir)
+    targets = scratch_targets(spark, LINEITEM_REGISTRY)
+    FileLoad(spark, targets, LINEITEM_REGISTRY).run(lineitem_messages(spark, folder))
+    return spark.table(targets.monitoring)
+
+
 def batch_load_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monitoring table of a load that rejects files with too many bad rows."""
     return spark.table(_load_feed(spark, sf_dir, limit_bad_rows=True).monitoring)
@@ -459,7 +471,7 @@ def exact_name_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     lines = customers.select(F.concat_ws(",", "c_name", "c_nationkey", "c_custkey", "c_mktsegment").alias("h"))
     for name in ("tabledata2.csv", "other.csv"):
-        lines.write.options(header=True, sep="\u0001", quote="", escape="").csv(f"{folder}/{name}")
+        write_raw(lines, f"{folder}/{name}")
     targets = scratch_targets(spark)
     messages = spark.createDataFrame(
         [("1", f"{folder}/tabledata2.csv", "colors"), ("2", f"{folder}/other.csv", "heights")],
@@ -487,7 +499,7 @@ QUERIES = {
         unknown_columns, positional_untyped, positional_untyped_exact, json_payload_parse, message_validation,
         file_struct_lookup, base64_event, url_parts, size_router, dynamic_route_counts, three_roads,
         tumbling_1s, tumbling_60s, header_skip, path_collection_lines, feed_file_sizes, batch_load_monitoring,
-        batch_load_rows, batch_load_rejects, load_table_counts, batch_load_limited, stream_load_monitoring,
+        batch_load_rows, batch_load_rejects, load_table_counts, lineitem_file_load, batch_load_limited, stream_load_monitoring,
         dynamic_route_tables, three_road_tables, stream_tumbling_1s, append_create_if_needed,
         append_create_never, inferred_schema_load, schema_checked_append, exact_name_load,
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
-from waybill.functions.payload import CORRUPT, decode_event, json_field, parse_json, payload_text
+from waybill.functions.payload import CORRUPT, decode_event, parse_json, payload_text
 from waybill.layouts import BATCH_SIZE_THRESHOLD, JSON_LOG_SCHEMA, MESSAGE_SCHEMA
 
 STREAM, BATCH = "stream", "batch"
@@ -61,19 +61,17 @@ def rows_with_target(
     Tables are told apart like the catalog does, whatever the case of their names.
     """
     text = payload_text(F.col("value"))
-    columns = T.StructType([*schema.fields, *([T.StructField(field, T.StringType())] if keep_field else [])])
-    target = json_field(text, field)
-    parsed = envelopes.select(
-        text.alias("message"), parse_json(text, columns).alias("_r"), target.alias("_target")
-    )
+    with_target = T.StructType([*schema.fields, T.StructField(field, T.StringType())])
+    parsed = envelopes.select(text.alias("message"), parse_json(text, with_target).alias("_r"))
+    target = F.col(f"_r.{field}")
     problem = (
-        F.when(F.col(f"_r.{CORRUPT}").isNotNull() | F.col("_target").isNull(), layouts.INVALID_MESSAGE)
-        .when(~F.col("_target").rlike(TABLE_NAME), layouts.INVALID_TABLE_NAME)
+        F.when(F.col(f"_r.{CORRUPT}").isNotNull() | target.isNull(), layouts.INVALID_MESSAGE)
+        .when(~target.rlike(TABLE_NAME), layouts.INVALID_TABLE_NAME)
         .otherwise("")
     )
     return parsed.select(
-        *[F.col(f"_r.{n}").alias(n) for n in columns.names],
-        F.lower("_target").alias("target"),
+        *[F.col(f"_r.{n}").alias(n) for n in (with_target if keep_field else schema).names],
+        F.lower(target).alias("target"),
         "message",
         problem.alias("problem"),
     )
