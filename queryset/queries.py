@@ -132,7 +132,10 @@ def bad_file_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("stacktrace"),
         )
     )
-    limited = outputs.apply_bad_row_limit(judged, outputs.files_over_limit(judged, DEFAULT_REGISTRY))
+    over = outputs.files_over_limit(judged, DEFAULT_REGISTRY)
+    path = fresh_folder(spark, "over_limit")
+    over.write.parquet(path)
+    limited = outputs.apply_bad_row_limit(judged, spark.read.schema(over.schema).parquet(path))
     return limited.groupBy("source_file", "stacktrace").agg(F.count("*").alias("n"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,10 @@ from waybill.layouts import DEFAULT_EXACT_NAME, EXACT_NAME_LAYOUTS
 from waybill.operators.joins import LINE_SALTS, attach
 from waybill.operators.lines import named_fields
 from waybill.operators.tables import LoadFolder, Targets, append
-from waybill.sources.files import match_files, matches_frame, read_lines
+from waybill.plans.load import bridge_of, url_slices
+from waybill.sources.files import match_files, read_lines
+_STORED = "message_id string, file_name string, line string, slice int, destination string, file_layout string"
+
 
 @dataclass
 class ExactNameLoad:
@@ -28,6 +31,7 @@ class ExactNameLoad:
     by_name: dict[str, T.StructType] = field(default_factory=lambda: dict(EXACT_NAME_LAYOUTS))
     default: str = DEFAULT_EXACT_NAME
     skip_header_lines: int = 1
+    urls_per_slice: int = 20_000
 
     def run(self, messages: DataFrame, load_id: str | None = None) -> str:
         """``messages``: ``message_id, fileURL, destination``."""
@@ -35,7 +39,15 @@ class ExactNameLoad:
         folder = LoadFolder(self.spark, load_id)
         if folder.complete:
             return load_id
-        lines = folder.store(self._lines(messages), "lines", ("destination", "file_layout"))
+        stored = folder.store(messages.select("message_id", "fileURL", "destination"), "messages")
+        slices = 0
+        for number, part, urls in url_slices(stored, self.urls_per_slice):
+            folder.store(self._lines(part, urls), f"lines/slice={number}", ("destination", "file_layout"))
+            slices += 1
+        if slices == 0:
+            folder.finish(("messages",))
+            return load_id
+        lines = self.spark.read.schema(_STORED).parquet(folder.at("lines"))
         for destination, name in lines.select("destination", "file_layout").distinct().toLocalIterator():
             part = lines.filter((F.col("destination") == destination) & (F.col("file_layout") == name))
             rows = named_fields(part.select("file_name", "line"), F.lit(name), self.by_name, self.default, name)
@@ -46,19 +58,19 @@ class ExactNameLoad:
                     rows, self.targets.result(destination), schema if self.targets.create else None
                 ),
             )
-        folder.finish(("lines",))
+        folder.finish(("messages", "lines"))
         return load_id
 
-    def _lines(self, messages: DataFrame) -> DataFrame:
-        urls = [row[0] for row in messages.select("fileURL").distinct().toLocalIterator()]
-        matches = match_files(self.spark, urls)
-        names = F.array(*[F.lit(n) for n in self.by_name])
-        bridge = messages.join(matches_frame(self.spark, matches), "fileURL").select(
-            "message_id", "destination", "file_path", base_name(F.col("fileURL")).alias("file_name")
-        )
-        bridge = bridge.withColumn(
-            "file_layout",
-            F.when(F.array_contains(names, F.col("file_name")), F.col("file_name")).otherwise(self.default),
+    def _lines(self, messages: DataFrame, urls: list[Row]) -> DataFrame:
+        matches = match_files(self.spark, [row["fileURL"] for row in urls])
+        bridge, size = bridge_of(self.spark, messages, urls, matches)
+        name, names = base_name(F.col("fileURL")), F.array(*[F.lit(n) for n in self.by_name])
+        bridge = bridge.select(
+            "file_path",
+            "message_id",
+            "destination",
+            name.alias("file_name"),
+            F.when(F.array_contains(names, name), name).otherwise(self.default).alias("file_layout"),
         )
         lines = read_lines(self.spark, matches, self.skip_header_lines)
-        return attach(lines, bridge, ["file_path"], salts=LINE_SALTS).drop("file_path")
+        return attach(lines, bridge, ["file_path"], size=size, salts=LINE_SALTS).drop("file_path")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -23,7 +23,7 @@ from waybill import layouts
 from waybill.layouts import DEAD_LETTER_SCHEMA, DEFAULT_REGISTRY, MONITORING_SCHEMA, REJECT_SCHEMA, Registry
 from waybill.operators.joins import Size, attach
 from waybill.operators.lines import attach_messages, judge_lines, typed_columns
-from waybill.operators.messages import LINE_CONTEXT, messages_frame, prepare_messages
+from waybill.operators.messages import messages_frame, prepare_messages
 from waybill.operators.outputs import (
     MESSAGE_KEY,
     apply_bad_row_limit,
@@ -54,22 +54,35 @@ _STORED_LINES = T.StructType(
 )
 
 
-def _url_sizes(messages: DataFrame) -> DataFrame:
-    """``fileURL``, its messages and their bytes."""
-    context = F.octet_length(F.to_json(F.struct(*LINE_CONTEXT)))
-    return messages.groupBy("fileURL").agg(F.count("*").alias("rows"), F.sum(context).alias("bytes"))
+def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int, DataFrame, list[Row]]]:
+    """Messages by slices of their URLs, so that the driver lists a bounded number at a
+    time: slice number, its messages, and ``fileURL, rows, bytes`` per URL of the slice.
 
-
-def _match_size(matches: list[MatchedFile]) -> Size:
-    pairs = [(m.url, form) for m in matches for form in m.forms]
-    return Size(len(pairs), sum(len(url) + len(form) for url, form in pairs))
-
-
-def _bridge_size(urls: list[Row], matches: list[MatchedFile]) -> Size:
-    """Size of messages joined with their files."""
+    All messages of a URL are in one slice. ``messages`` should be a stored frame.
+    """
+    row = F.octet_length(F.to_json(F.struct("*")))
+    sized = messages.select("fileURL", row.alias("row"))
+    urls = sized.groupBy("fileURL").agg(F.count("*").alias("rows"), F.sum("row").alias("bytes"))
+    some = urls.limit(urls_per_slice + 1).collect()
+    if len(some) <= urls_per_slice:
+        if some:
+            yield 0, messages, some
+        return
+    slices = math.ceil(urls.count() / urls_per_slice)
+    for number in range(slices):
+        own = F.pmod(F.xxhash64("fileURL"), F.lit(slices)) == number
+        yield number, messages.filter(own), urls.filter(own).collect()
+
+
+def bridge_of(
+    spark: SparkSession, messages: DataFrame, urls: list[Row], matches: list[MatchedFile]
+) -> tuple[DataFrame, Size]:
+    """Messages with the ``file_path`` of each of their files, and the size of that."""
     by_url = {row["fileURL"]: row for row in urls}
     pairs = [(by_url[m.url], form) for m in matches for form in m.forms]
-    return Size(
+    found = Size(len(pairs), sum(len(url["fileURL"]) + len(form) for url, form in pairs))
+    bridge = attach(messages, matches_frame(spark, matches), ["fileURL"], size=found)
+    return bridge, Size(
         sum(url["rows"] for url, _ in pairs), sum(url["bytes"] + url["rows"] * len(form) for url, form in pairs)
     )
 
@@ -135,17 +148,10 @@ class FileLoad:
     def _store_lines(self, folder: LoadFolder, messages: DataFrame) -> tuple[int, bool]:
         """Reads all files, a bounded number of URLs at a time, into the judged store.
         Gives back the number of slices and whether some URL has no file."""
-        urls = _url_sizes(messages)
-        some = urls.limit(self.urls_per_slice + 1).collect()
-        if not some:
-            return 0, False
-        if len(some) <= self.urls_per_slice:
-            return 1, self._store_slice(folder, messages, some, 0)
-        slices = math.ceil(urls.count() / self.urls_per_slice)
-        missing = False
-        for number in range(slices):
-            own = F.pmod(F.xxhash64("fileURL"), F.lit(slices)) == number
-            missing |= self._store_slice(folder, messages.filter(own), urls.filter(own).collect(), number)
+        slices, missing = 0, False
+        for number, part, urls in url_slices(messages, self.urls_per_slice):
+            missing |= self._store_slice(folder, part, urls, number)
+            slices += 1
         return slices, missing
 
     def _store_slice(self, folder: LoadFolder, messages: DataFrame, urls: list[Row], number: int) -> bool:
@@ -154,10 +160,9 @@ class FileLoad:
         if missing:
             folder.store(url_frame(self.spark, sorted(missing)), f"missing/slice={number}")
         if not folder.stored(f"lines/slice={number}"):
-            found = matches_frame(self.spark, matches)
-            bridge = attach(messages, found, ["fileURL"], size=_match_size(matches))
+            bridge, size = bridge_of(self.spark, messages, urls, matches)
             lines = read_lines(self.spark, matches, self.skip_header_lines)
-            lines = attach_messages(lines, bridge, _bridge_size(urls, matches))
+            lines = attach_messages(lines, bridge, size)
             judged = judge_lines(lines, self.registry, self.on_cast_error)
             outcome = F.when(F.col("stacktrace") == "", VALID).otherwise(REJECTED)
             folder.store(
