@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from waybill import DEFAULT_REGISTRY, FileLoad, JsonRouting, Targets, create_load_tables, struct
+from waybill import DEFAULT_REGISTRY, FileLoad, JsonRouting, Targets, create_load_tables, dispatch, struct
+from waybill.operators.routing import event_messages
 from waybill.sources.topics import folder_topics, publish_file_to_folder, publish_to_folder, union_topics
 from waybill.streaming.loader import run_per_batch, start_file_loads, start_json_routing, start_roads, stored_batches
 from waybill.streaming.windows import latest_counts, start_windowed_counts, windowed_counts
@@ -114,3 +115,31 @@ def test_windows_allow_lateness(spark, tmp_path):
         start_windowed_counts(counted, counts, checkpoint, "lateness").awaitTermination()
     got = {str(r["window_start"])[-8:]: r["n"] for r in latest_counts(spark, counts).collect()}
     assert got == {"00:00:00": 2, "00:01:00": 1}
+
+
+def test_dispatch_by_size(spark, targets, tmp_path):
+    create_load_tables(spark, targets, DEFAULT_REGISTRY)
+    (tmp_path / "client1.csv").write_text("NAME,AGE\nsmall,1\n")
+    (tmp_path / "client2.csv").write_text("NAME,AGE\n" + "big,20\n" * 50 + "big,99\n")
+    bodies = [
+        json.dumps({"fileURL": f"{tmp_path}/client1.csv", "destination": "age"}),
+        json.dumps({"fileURL": f"{tmp_path}/client2.csv", "destination": "age",
+                    "partition_depth": [12, 25], "partition_key": "AGE"}),
+        json.dumps({"fileURL": f"{tmp_path}/client3.csv", "destination": "age"}),
+        "{",
+    ]
+    events = spark.createDataFrame([(b, str(i)) for i, b in enumerate(bodies)], "body string, message_id string")
+    events = events.select("message_id", F.base64(F.col("body").cast("binary")).alias("data"), F.current_timestamp().alias("message_ts"))
+    load = FileLoad(spark, targets)
+    topic = f"{tmp_path}/topic"
+    for _ in range(2):  # the second time, everything is done already
+        dispatch(event_messages(events), lambda rows: publish_to_folder(rows, "small", topic), load, 100, targets.results)
+    assert spark.table(targets.result("age")).count() == 50
+    assert spark.table(targets.reject("age")).count() == 1
+    reasons = sorted(r["reason"] for r in spark.table(targets.dead_letters).collect())
+    assert reasons == ["file_not_found", "invalid_message_format"]
+    start_file_loads(
+        folder_topics(spark, topic), load, f"small_{targets.results}", f"{tmp_path}/cp"
+    ).awaitTermination()
+    assert spark.table(targets.result("age")).filter("NAME = 'small'").count() == 1
+    assert spark.table(targets.result("age")).count() == 51

@@ -7,6 +7,7 @@ from waybill.plans.dynamic import JsonRouting
 from waybill.plans.exact_name import ExactNameLoad
 from waybill.plans.inferred import InferredLoad
 from waybill.plans.load import FileLoad, judged_lines, load_file
+from waybill.plans.router import dispatch
 
 __all__ = [
     "DEFAULT_REGISTRY",
@@ -19,6 +20,7 @@ __all__ = [
     "SourceLayout",
     "Targets",
     "create_load_tables",
+    "dispatch",
     "judged_lines",
     "load_file",
     "messages_frame",
