@@ -46,6 +46,22 @@ def test_caller_settings_are_left_alone(spark, tmp_path):
     assert before == {k: spark.conf.get(k) for k in before}
 
 
+def test_scans_have_the_callers_settings(spark):
+    spark.conf.set("fs.custom.key", "x")
+    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
+    # Like a builder that meets a running session: it may leave core settings there.
+    spark._jsparkSession.sessionState().conf().setConfString("spark.driver.memory", "3g")
+    try:
+        conf = files._scan_session(spark, True).conf
+        assert conf.get("fs.custom.key") == "x"
+        assert conf.get("spark.sql.parquet.compression.codec") == "zstd"
+        assert conf.get("spark.sql.files.openCostInBytes") == conf.get("spark.sql.files.maxPartitionBytes")
+    finally:
+        spark.conf.unset("fs.custom.key")
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+        spark._jsparkSession.sessionState().conf().unsetConf("spark.driver.memory")
+
+
 def test_line_ends(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"h\r\na\r\nb\r\r\nc\rd\n\r\n\ne")
     assert lines_of(read_text_file(spark, f"{tmp_path}/a.csv")) == sorted(["a", "b\r", "c\rd", "", "", "e"])

@@ -127,7 +127,8 @@ def _scan_session(spark: SparkSession, split_per_task: bool) -> SparkSession:
     session = spark.newSession()
     known = session.conf.getAll
     for key, value in spark.conf.getAll.items():
-        if known.get(key) != value:
+        # Settings of file systems have names of their own; others must be open to change.
+        if known.get(key) != value and (not key.startswith("spark.") or spark.conf.isModifiable(key)):
             session.conf.set(key, value)
     # Writes that split their rows over a few folders need no sort for it.
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_WRITERS))
