@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.frames import repeated, texts_of
+from waybill.llm.frames import repeated, stored, texts_of
 
 SALTS = 32
 
@@ -38,6 +38,13 @@ def global_winners(salted: DataFrame) -> DataFrame:
     )
 
 
+def _by_text(rows: DataFrame) -> DataFrame:
+    """Members of the groups of equal texts where the digest alone doesn't tell them apart."""
+    winners = global_winners(salt_winners(rows)).drop("clash")
+    members = rows.groupBy("digest", "salt", "text", "doc_id").agg(F.count("*").alias("repeats"))
+    return members.join(winners, ["digest", "salt", "text"]).drop("text")
+
+
 def exact_groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", salts: int = SALTS
 ) -> DataFrame:
@@ -54,20 +61,15 @@ def exact_groups(
         F.unhex(F.sha2("text", 256)).alias("digest"),
         F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
     )
-    winners = global_winners(salt_winners(rows))
-    # Where a digest has one content, as the winners have shown, it stands for the text.
-    sure = winners.where(~F.col("clash")).drop("text", "clash")
-    clashing = winners.where("clash").drop("clash")
+    # Where a digest has one content, as the winners have shown, it stands for the text from here on.
+    winners = stored(global_winners(salt_winners(rows)).drop("text"), "salt-winners")
     members = rows.groupBy("digest", "salt", "doc_id").agg(F.count("*").alias("repeats"))
-    found = members.join(sure, ["digest", "salt"])
-    members_by_text = (
-        rows.join(clashing.select("digest").distinct(), "digest", "left_semi")
-        .groupBy("digest", "salt", "doc_id", "text")
-        .agg(F.count("*").alias("repeats"))
-    )
-    rest = members_by_text.join(clashing, ["digest", "salt", "text"]).drop("text")
+    found = members.join(winners.where(~F.col("clash")).drop("clash"), ["digest", "salt"])
+    clashing = winners.where("clash").select("digest").distinct()
+    if not clashing.isEmpty():
+        found = found.unionByName(_by_text(rows.join(clashing, "digest", "left_semi")))
     return (
-        repeated(found.unionByName(rest))
+        repeated(found)
         .select(
             "doc_id",
             "keep_id",
