@@ -82,7 +82,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
-    return texts_of(docs).join(known, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    # At most ``limit`` rows of two numbers: small enough to broadcast by its bound.
+    return texts_of(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "label")
 
 
 def repeated(frame: DataFrame, repeats: str = "repeats", block: int = 100_000) -> DataFrame:
