@@ -11,7 +11,7 @@ from waybill.llm.frames import repeated, stored, texts_of
 from waybill.llm.words import mix
 
 ROUNDS = 6
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 20_000
 
 
 def feistel(values: np.ndarray, half_bits: int, seed: int, backwards: bool = False) -> np.ndarray:
@@ -63,14 +63,20 @@ def row_numbers(
     """Numbers from 0 for all rows (``row``), by content alone, and the count of rows.
 
     ``keys`` has one row per distinct content with its count of ``repeats``, which takes so many
-    numbers from ``row`` on. Rows are dealt to buckets by hash, numbered inside each bucket, and the
+    numbers from ``row`` on. ``first`` names columns of few values (at most some thousands, none of them
+    null). Rows are dealt to buckets by hash, numbered inside each bucket, and the
     buckets' sums (one row each) shift them; numbers rise with the columns ``first``. No sampling
     decides anything, so another cluster or partitioning gives the same numbers.
     """
     columns = [c for c in keys.columns if c != "repeats"]
-    total = keys.agg(F.sum("repeats"), F.count("*")).first()
-    count, buckets = total[0] or 0, (total[1] or 0) // rows_per_bucket + 1
-    keys = keys.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)))
+    count = keys.agg(F.sum("repeats")).first()[0] or 0
+    # As many buckets for each value of ``first`` as its rows fill, so that bucket sums stay few.
+    size = keys.groupBy(*[F.col(c).alias(f"_{c}") for c in first]).agg(F.count("*").alias("distinct"))
+    same = F.lit(True)
+    for c in first:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    bucket = F.pmod(F.xxhash64(*columns), F.expr(f"distinct div {rows_per_bucket} + 1"))
+    keys = keys.join(F.broadcast(size), same).select(*keys.columns, bucket.alias("bucket"))
     group = [*first, "bucket"]
     sums = keys.groupBy(*group).agg(F.sum("repeats").alias("rows"))
     before = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from waybill.llm.frames import by_batch, held_out, texts_of, training_rows
 
 SAMPLE = 6000
-MIN_SUPPORT = 6
+MIN_SUPPORT = 5
 MIN_WEIGHT = 3.0
 MAX_ENTRIES = 5000
 STEM_LENGTHS = range(4, 13)
@@ -141,7 +141,7 @@ def words_seen(training: DataFrame) -> DataFrame:
 
 
 def candidates(training: DataFrame, min_support: int, min_weight: float, limit: int) -> dict[str, int]:
-    """Entries of toxic texts by the number of different words seen before them.
+    """Entries of toxic texts by the number of texts, told apart by the word before the entry.
 
     Copies of one text show an entry after the same word, so that they count once. Entries that are
     about as frequent in other texts are left out. Of entries with the same support the longest
@@ -149,7 +149,8 @@ def candidates(training: DataFrame, min_support: int, min_weight: float, limit:
     """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        pairs = {p for text in batch.column("text") for p in entries_of(fold(text.as_py()).split())}
+        # One word before per text and entry, so that a long text counts once as well.
+        pairs = {p for text in batch.column("text") for p in dict(entries_of(fold(text.as_py()).split())).items()}
         yield pa.RecordBatch.from_arrays(
             [pa.array([e for e, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string())],
             names=["entry", "before"],
