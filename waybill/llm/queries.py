@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from waybill.llm.exact import exact_groups
 from waybill.llm.frames import table
 from waybill.llm.packing import pack
+from waybill.llm.quality import learnt_machine, quality_scores
 from waybill.llm.shard import shard_rows
+from waybill.llm.toxicity import learnt_lexicon, toxicity_scores
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,16 +20,28 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, learnt_lexicon(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, learnt_machine(docs, table(spark, sf_dir, "labels"), ("n_chars",)), ("n_chars",))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op2_exact_dedup,
         op4_sharding,
+        op6_toxicity,
         op8_best_fit_packing,
+        op10_quality_classifier,
     )
 }
 
