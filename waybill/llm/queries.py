@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waybill.llm.exact import exact_groups
 from waybill.llm.frames import table
+from waybill.llm.labelled_pages import labelled_pages
+from waybill.llm.main_text import LABELLED_PAGES, learnt_model, main_texts
 from waybill.llm.packing import pack
 from waybill.llm.quality import learnt_machine, quality_scores
 from waybill.llm.shard import shard_rows
@@ -20,6 +22,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"), learnt_model(labelled_pages(spark, LABELLED_PAGES)))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity_scores(docs, learnt_lexicon(docs, table(spark, sf_dir, "labels")))
@@ -39,6 +45,7 @@ QUERIES = {
     for f in (
         op2_exact_dedup,
         op4_sharding,
+        op5_html_extraction,
         op6_toxicity,
         op8_best_fit_packing,
         op10_quality_classifier,
