@@ -54,9 +54,9 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 
 
 def by_batch(
-    frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
+    frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """``work`` over every Arrow batch of every partition."""
+    """``work`` over every Arrow batch of every partition; ``schema``: the result's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from waybill.llm.contamination import contained_items
 from waybill.llm.exact import exact_groups
 from waybill.llm.frames import table
+from waybill.llm.jaccard import similar_documents
 from waybill.llm.labelled_pages import labelled_pages
 from waybill.llm.main_text import LABELLED_PAGES, learnt_model, main_texts
 from waybill.llm.packing import pack
@@ -18,6 +20,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, learnt_lexicon(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -44,9 +54,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_exact_dedup,
+        op3_benchmark_decontamination,
         op4_sharding,
         op5_html_extraction,
         op6_toxicity,
+        op7_ngram_jaccard_join,
         op8_best_fit_packing,
         op10_quality_classifier,
     )
