@@ -13,9 +13,14 @@ from waybill.llm.main_text import LABELLED_PAGES, learnt_model, main_texts
 from waybill.llm.packing import pack
 from waybill.llm.quality import learnt_machine, quality_scores
 from waybill.llm.shard import shard_rows
+from waybill.llm.suffixes import repeated_passages
 from waybill.llm.toxicity import learnt_lexicon, toxicity_scores
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_array_dedup,
         op2_exact_dedup,
         op3_benchmark_decontamination,
         op4_sharding,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm.frames import by_batch, ship, stored, texts_of
 from waybill.llm.neighbours import neighbours
-from waybill.llm.words import SHINGLE, Words, rolling, run_hashes, words_of
+from waybill.llm.words import SHINGLE, Words, mix, rolling, run_hashes, words_of
 
 MIN_WORDS = 50
 WINDOW = 11
@@ -61,7 +61,7 @@ def suffixes(texts: DataFrame, shared: int = SHARED) -> DataFrame:
             if not len(at):
                 continue
             key = run_hashes(words.hashes, at, shared)
-            _, once = np.unique(np.stack([text.astype(np.uint64), key]), axis=1, return_index=True) if len(at) else (0, at)
+            _, once = np.unique(mix(key ^ mix(text.astype(np.uint64) + np.uint64(1))), return_index=True)
             once.sort()
             at, text, end, key = at[once], text[once], end[once], key[once]
             following = run_hashes(words.hashes, at + shared, np.minimum(FOLLOWING, end - at - shared))
