@@ -11,6 +11,7 @@ from waybill.llm.jaccard import similar_documents
 from waybill.llm.labelled_pages import labelled_pages
 from waybill.llm.main_text import LABELLED_PAGES, learnt_model, main_texts
 from waybill.llm.packing import pack
+from waybill.llm.passages import near_repeated_passages
 from waybill.llm.quality import learnt_machine, quality_scores
 from waybill.llm.shard import shard_rows
 from waybill.llm.suffixes import repeated_passages
@@ -50,6 +51,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_scores(docs, learnt_machine(docs, table(spark, sf_dir, "labels"), ("n_chars",)), ("n_chars",))
@@ -66,6 +71,7 @@ QUERIES = {
         op6_toxicity,
         op7_ngram_jaccard_join,
         op8_best_fit_packing,
+        op9_substring_dedup,
         op10_quality_classifier,
     )
 }
