@@ -21,8 +21,8 @@ from waybill.llm.graph import components
 from waybill.llm.words import SHINGLE, mix, words_of
 
 PERCENT = 80
-COMMON = 64
-MAX_COMMON = 100_000
+MAX_COMMON = 4_000_000
+LOOKED_THROUGH = 1.5
 LARGEST_SMALL = 64
 PIVOT_ROUNDS = 3
 BROADCAST_BYTES = 32 << 20
@@ -59,22 +59,22 @@ def members(texts: DataFrame) -> DataFrame:
 
 
 def statistics(texts: DataFrame) -> DataFrame:
-    """What the order and the boundary are chosen by: shingles that are often among a set's first ones
-    (``kind`` 0), and by size the sets, their list entries and the entries they would be compared with
-    (kinds 1 to 3). Counted within each batch and summed."""
+    """What the order and the boundary are chosen by: the shingles that are among several sets' first
+    ones (``kind`` 0; ``LOOKED_THROUGH`` times as many as are used, as those that come later move up),
+    and by size the sets, their list entries and, within a batch, the entries they would be compared
+    with (kinds 1 to 3)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sizes, parts = [], []
         for _, shingles in sets_of(batch):
             if len(shingles):
                 sizes.append(len(shingles))
-                parts.append(shingles[: len(shingles) - needed(len(shingles)) + 1])
+                parts.append(shingles[: int(LOOKED_THROUGH * (len(shingles) - needed(len(shingles)) + 1))])
         out = [np.zeros((3, 0), np.int64)]
         if parts:
             entries = np.array([len(p) for p in parts])
             shingles, place, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-            often = counts > 3
-            out.append(np.stack([np.zeros(often.sum(), np.int64), shingles[often].view(np.int64), counts[often]]))
+            out.append(np.stack([np.zeros(len(counts), np.int64), shingles.view(np.int64), counts]))
             others = np.add.reduceat(counts[place] - 1, np.concatenate([[0], np.cumsum(entries)[:-1]]))
             size = np.minimum(sizes, LARGEST_SMALL)
             for kind, weight in ((1, np.ones(len(size))), (2, entries), (3, others)):
@@ -83,7 +83,8 @@ def statistics(texts: DataFrame) -> DataFrame:
         kind, value, n = np.concatenate(out, axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(value), pa.array(n)], names=["kind", "value", "n"])
 
-    return by_batch(texts.select("text"), work, "kind long, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    counts = by_batch(texts.select("text"), work, "kind long, value long, n long")
+    return counts.groupBy("kind", "value").agg(F.sum("n").alias("n")).where("kind > 0 OR n > 1")
 
 
 def boundary(sets: np.ndarray, entries: np.ndarray, others: np.ndarray) -> int:
@@ -97,11 +98,17 @@ def boundary(sets: np.ndarray, entries: np.ndarray, others: np.ndarray) -> int:
     return 4 + int(np.argmin(costs)) if costs else 4
 
 
-def keyed_sets(texts: DataFrame, common: np.ndarray, small_below: int) -> DataFrame:
+def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_below: int) -> DataFrame:
     """One row per distinct set: ``node`` (a number of its own), ``digest, first_id, n, keys``.
 
-    ``common`` (sorted) are the shingles that come last in the order; the others are ordered by hash.
+    Of the documents with equal sets (``known``: see ``members``) the one with the smallest id stands
+    for all. ``common`` (sorted) are the shingles that come last in the order; the others are ordered
+    by hash.
     """
+    firsts = known.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    others = known.join(firsts, "digest").where("doc_id > first_id").select("doc_id", "digest").distinct()
+    if others.count() * 24 <= BROADCAST_BYTES:
+        others = F.broadcast(others)
 
     shared = texts.sparkSession.sparkContext.broadcast(common)  # at most MAX_COMMON numbers
 
@@ -139,9 +146,44 @@ def keyed_sets(texts: DataFrame, common: np.ndarray, small_below: int) -> DataFr
         )
 
     rows = by_batch(texts, work, "doc_id long, digest binary, n long, keys array<long>")
-    distinct = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    # Numbers are made when the table is written and read from it ever after.
-    return stored(distinct.where("first_id IS NOT NULL").withColumn("node", F.monotonically_increasing_id()), "keyed-sets")
+    distinct = rows.where("doc_id IS NOT NULL").join(others, ["doc_id", "digest"], "left_anti")
+    # Numbers are made when the table is written and read from it ever after. A row that repeats id
+    # and text gets a number of its own, which is linked like any equal set.
+    return stored(
+        distinct.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("doc_id").alias("first_id"), "n", "keys"),
+        "keyed-sets",
+    )
+
+
+def shared_lists(keyed: DataFrame) -> DataFrame:
+    """The lists (``key, node, n``) of keys that several sets have.
+
+    Entries are sorted by key, dealt out by range and node, so that long lists go to many tasks, and
+    each task drops those that differ from both neighbours. At the ends of a partition, where a
+    neighbour may be elsewhere, entries stay.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, matched = None, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            keys = rows.column("key").to_numpy()
+            same = keys[1:] == keys[:-1]
+            keep = np.append(same, False)
+            keep[1:] |= same
+            keep[0] |= matched
+            held, matched = rows.slice(rows.num_rows - 1), bool(keep[-1])
+            yield from rows.slice(0, rows.num_rows - 1).filter(pa.array(keep[:-1])).to_batches()
+        if held is not None:
+            yield from held.to_batches()
+
+    entries = keyed.select(F.explode("keys").alias("key"), "node", "n")
+    ranged = entries.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    return stored(ranged.mapInArrow(work, "key long, node long, n long"), "lists")
 
 
 def candidate_sets(texts: DataFrame, keyed: DataFrame, lists: DataFrame) -> DataFrame:
@@ -246,22 +288,21 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """
     ship(docs.sparkSession)
     texts = texts_of(docs, id_column, text_column)
+    known = stored(members(texts), "members")
     counted = stored(statistics(texts), "statistics")
-    common = counted.where(f"kind = 0 AND n >= {COMMON}").orderBy(F.desc("n"), "value").limit(MAX_COMMON).select("value").toPandas()
+    common = counted.where("kind = 0").orderBy(F.desc("n"), "value").limit(MAX_COMMON).select("value").toPandas()
     by_size = np.zeros((4, LARGEST_SMALL + 1), np.int64)
     for row in counted.where("kind > 0").collect():
         by_size[row.kind, row.value] = row.n
-    keyed = keyed_sets(texts, np.sort(common["value"].to_numpy(np.int64).view(np.uint64)), boundary(*by_size[1:]))
-    entries = keyed.select(F.explode("keys").alias("key"), "node", "n")
-    shared = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    lists = stored(entries.join(shared, "key"), "lists")
+    keyed = keyed_sets(texts, known, np.sort(common["value"].to_numpy(np.int64).view(np.uint64)), boundary(*by_size[1:]))
+    lists = shared_lists(keyed)
     linked = node_components(lists, candidate_sets(texts, keyed, lists))
     ids = keyed.select("digest", "node", "first_id").join(linked, "node", "left")
     ids = ids.select("digest", "first_id", F.coalesce("component", "node").alias("component"))
     lowest = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_digest = ids.join(lowest, "component").select("digest", "component_id")
+    by_digest = ids.join(lowest, "component").select("digest", "component_id").distinct()
     # Without shingles each document stands alone: all share one digest, but no link.
-    return members(texts).join(by_digest, "digest", "left").select(
+    return known.join(by_digest, "digest", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
