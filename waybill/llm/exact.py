@@ -78,3 +78,20 @@ def exact_groups(
             F.lower(F.hex("digest")).alias("text_sha256"),
         )
     )
+
+
+def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns. Of rows that repeat both id and text one stays."""
+    groups = exact_groups(docs, id_column, text_column).groupBy(
+        F.col("doc_id").alias("_own_id"), F.col("text_sha256").alias("_own_text")
+    )
+    rows = stored(groups.agg(F.max("kept").alias("stays"), F.count("*").alias("rows")), "stays")
+    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
+    same = docs[id_column].cast("long").eqNullSafe(F.col("_own_id")) & (F.sha2(text, 256) == F.col("_own_text"))
+    repeated_rows = rows.where("stays AND rows > 1")
+    kept = docs.join(rows.where("NOT stays OR rows > 1"), same, "left_anti")
+    if not repeated_rows.isEmpty():
+        one = Window.partitionBy("_own_id", "_own_text").orderBy(F.lit(1))
+        again = docs.join(repeated_rows, same).withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+        kept = kept.unionByName(again.select(*[again[c] for c in docs.columns]))
+    return kept

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.llm.frames import by_batch, ship, stored, texts_of
 from waybill.llm.graph import components
@@ -307,3 +308,25 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose id is the smallest of their component; rows without an
+    id stay if they are equal to no document that has one."""
+    groups = stored(similar_documents(docs, id_column, text_column), "components")
+    lost = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_lost")).distinct()
+    kept = docs.join(lost, docs[id_column].cast("long") == F.col("_lost"), "left_anti")
+    if groups.where("doc_id IS NULL AND component_id IS NOT NULL").isEmpty():
+        return kept
+    equal = members(texts_of(docs, id_column, text_column).where("doc_id IS NOT NULL")).where("n > 0").select("digest").distinct()
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = batch.column(batch.schema.get_field_index(text_column)).cast(pa.string()).fill_null("")
+        rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+        digests = pa.array([digest_of(s) for _, s in sets_of(rows)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*batch.schema.names, "_digest"])
+
+    nameless = docs.where(docs[id_column].isNull())
+    schema = T.StructType([*docs.schema.fields, T.StructField("_digest", T.BinaryType())])
+    alone = by_batch(nameless, work, schema).join(equal.withColumnRenamed("digest", "_digest"), "_digest", "left_anti")
+    return kept.where(docs[id_column].isNotNull()).unionByName(alone.select(*docs.columns))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.frames import by_batch, held_out, texts_of, training_rows
+from waybill.llm.frames import by_batch, held_out, ship, texts_of, training_rows
 
 SAMPLE = 6000
 MIN_SUPPORT = 5
@@ -322,3 +322,17 @@ def toxicity_scores(
         .withColumn("score", score)
         .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
     )
+
+
+def without_toxic(docs: DataFrame, lexicon: Lexicon, text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, that are not predicted to be toxic."""
+    ship(docs.sparkSession)
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        machine, clean = lexicon.automaton(), []
+        for text in batch.column(batch.schema.get_field_index(text_column)):
+            folded = fold(str(text.as_py() or ""))
+            clean.append(lexicon.score(matched(machine, folded), len(folded.split())) < 0.5)
+        yield batch.filter(pa.array(clean))
+
+    return by_batch(docs, work, docs.schema)
