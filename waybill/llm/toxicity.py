@@ -57,12 +57,12 @@ _SWAP = str.maketrans(DIGITS)
 
 def _letters(match: re.Match) -> str:
     word = match[0]
-    return word.translate(_SWAP) if sum(c.isalpha() for c in word) * 2 >= len(word) else word
+    return word.translate(_SWAP) if sum(c.isalpha() for c in word) * 5 >= 2 * len(word) else word
 
 
 def fold(text: str) -> str:
     """Words in lower case between single characters of space; digits and signs that stand for letters
-    inside a word of mostly letters become those letters. Spaces at both ends."""
+    inside a word of two fifths letters or more become those letters. Spaces at both ends."""
     if _MIXED.search(text):
         text = _MIXED_WORD.sub(_letters, text)
     return f" {text.translate(FOLD)} "
