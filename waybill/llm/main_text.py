@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from waybill.llm.frames import by_batch, ship
 
 STRUCTURE, CONTENT, REST = range(3)
-LABELLED_PAGES = 1500
+LABELLED_PAGES = 1000
+ROUNDS = 60
 
 # How HTML elements behave.
 BLOCKS = frozenset(
@@ -103,7 +104,7 @@ def parsed(html: str) -> Page:
                 ends = "sentence" if _LAST_SENTENCE.search(text) else "open"
                 page.add(
                     open_nodes[-1],
-                    [f"length {_size_class(len(text))}", f"links {share}", f"end {ends}", f"in {open_tags[-1]}"],
+                    [f"length {_size_class(len(text))}", f"links {share}", f"end {ends}", f"in {open_tags[-1]}", f"in {open_tags[-1]} links {share}"],
                     text,
                     min(linked, len(text)),
                 )
@@ -196,7 +197,7 @@ def subtree_features(trees: Forest) -> list[list[str]]:
     share = np.minimum(4, 5 * text // np.maximum(whole, 1)).tolist()
     links = np.minimum(4, 5 * linked // np.maximum(text, 1)).tolist()
     return [
-        f if r is not None else [*f, f"share {s}", f"linked {n}" if w else "empty"]
+        f if r is not None else [*f, f"share {s}", f"{f[0]} linked {n}" if w else "empty"]
         for f, r, s, n, w in zip(own, runs, share, links, text.tolist())
     ]
 
@@ -211,32 +212,42 @@ class Model:
     rows: dict[str, int]
     emission: np.ndarray
 
-    def marginals(self, trees: Forest) -> np.ndarray:
-        """Each node's probabilities of the three states."""
-        known, owner = [], []
-        for node, features in enumerate(subtree_features(trees)):
-            for feature in features:
-                row = self.rows.get(feature)
-                if row is not None:
-                    known.append(row)
-                    owner.append(node)
-        local = np.zeros((len(trees.parent), 3))
-        np.add.at(local, np.array(owner, np.int64), self.emission[np.array(known, np.int64)])
+    def known(self, trees: Forest) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, rows of ``emission``) of all features that the model knows."""
+        pairs = [
+            (node, row)
+            for node, features in enumerate(subtree_features(trees))
+            for feature in features
+            if (row := self.rows.get(feature)) is not None
+        ]
+        return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
+
+    def beliefs(self, trees: Forest, known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Each node's probabilities of the three states, and those of its parent's and its own together."""
+        nodes, rows = known
+        up = np.column_stack([np.bincount(nodes, self.emission[rows, s], len(trees.parent)) for s in range(3)])
         # Upward: what a node's subtree says about it, and what that says about its parent.
-        up = local.copy()
         message = np.zeros_like(up)
         for level in reversed(trees.levels[1:]):
             message[level] = _log_sum(up[level][:, None, :] + self.edge[None, :, :])
             np.add.at(up, trees.parent[level], message[level])
         # Downward: the rest of the tree.
-        belief = up.copy()
+        belief, both = up.copy(), np.zeros((len(up), 3, 3))
         belief[trees.levels[0]] += self.root
         for level in trees.levels[1:]:
             rest = belief[trees.parent[level]] - message[level]
-            belief[level] = up[level] + _log_sum(rest[:, :, None] + self.edge[None, :, :], axis=1)
-        belief -= belief.max(axis=1, keepdims=True)
-        belief = np.exp(belief)
-        return belief / belief.sum(axis=1, keepdims=True)
+            joint = rest[:, :, None] + self.edge[None, :, :]
+            belief[level] = up[level] + _log_sum(joint, axis=1)
+            both[level] = joint + up[level][:, None, :]
+        return _probabilities(belief), _probabilities(both.reshape(-1, 9)).reshape(-1, 3, 3)
+
+    def marginals(self, trees: Forest) -> np.ndarray:
+        return self.beliefs(trees, self.known(trees))[0]
+
+
+def _probabilities(logs: np.ndarray) -> np.ndarray:
+    out = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return out / out.sum(axis=1, keepdims=True)
 
 
 def _log_sum(values: np.ndarray, axis: int = 2) -> np.ndarray:
@@ -261,51 +272,44 @@ def states(page: Page, main_text: str) -> np.ndarray:
     return state
 
 
-def learnt_model(labelled: DataFrame, html_column: str = "html", text_column: str = "text") -> Model:
-    """Potentials from counts over pages with their main text (its blocks joined by line ends)."""
-
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        pages = [parsed(h or "") for h in batch.column("html").to_pylist()]
-        trees = forest(pages)
-        state = np.concatenate([states(p, t or "") for p, t in zip(pages, batch.column("text").to_pylist())])
-        counts: Counter = Counter()
-        for features, s in zip(subtree_features(trees), state.tolist()):
-            counts["state", "", s] += 1
-            counts.update(("feature", f, s) for f in features)
-        for node, parent in enumerate(trees.parent.tolist()):
-            kind = ("edge", str(state[parent])) if node not in trees.first[:-1] else ("root", "")
-            counts[(*kind, int(state[node]))] += 1
-        kinds, values, of = zip(*counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds), pa.array(values), pa.array(of, pa.int32()), pa.array(list(counts.values()), pa.int64())],
-            names=["kind", "value", "state", "n"],
-        )
+def learnt_model(
+    labelled: DataFrame, html_column: str = "html", text_column: str = "text", sample: int = LABELLED_PAGES, rounds: int = ROUNDS
+) -> Model:
+    """Potentials from at most ``sample`` pages with their main text (its blocks joined by line ends).
 
+    They start as logarithms of counts and climb the likelihood of the pages' states: observed minus
+    expected counts, the latter from the same sum-product messages that label pages later.
+    """
     ship(labelled.sparkSession)
-    columns = labelled.select(labelled[html_column].alias("html"), labelled[text_column].alias("text"))
-    counts = (
-        by_batch(columns, work, "kind string, value string, state int, n long")
-        .groupBy("kind", "value", "state")
-        .agg(F.sum("n").alias("n"))
-        .collect()
-    )
-    total, root, edge = np.ones(3), np.ones(3), np.ones((3, 3))
-    emission: dict[str, np.ndarray] = {}
-    for row in sorted(counts, key=lambda r: (r.kind, r.value, r.state)):
-        if row.kind == "state":
-            total[row.state] += row.n
-        elif row.kind == "root":
-            root[row.state] += row.n
-        elif row.kind == "edge":
-            edge[int(row.value), row.state] += row.n
-        else:
-            emission.setdefault(row.value, np.full(3, 0.5))[row.state] += row.n
-    return Model(
-        np.log(root / root.sum()),
-        np.log(edge / edge.sum(axis=1, keepdims=True)),
-        {name: i for i, name in enumerate(emission)},
-        np.log(np.array(list(emission.values())).reshape(-1, 3) / total),
-    )
+    rows = labelled.select(labelled[html_column].alias("html"), labelled[text_column].alias("text"))
+    rows = rows.orderBy(F.xxhash64("html"), "html").limit(sample).toArrow()
+    pages = [parsed(h or "") for h in rows.column("html").to_pylist()]
+    if not pages:
+        return Model(np.zeros(3), np.zeros((3, 3)), {}, np.zeros((0, 3)))
+    trees = forest(pages)
+    state = np.concatenate([states(p, t or "") for p, t in zip(pages, rows.column("text").to_pylist())])
+    names = Counter(f for features in subtree_features(trees) for f in features)
+    model = Model(np.zeros(3), np.zeros((3, 3)), {f: i for i, f in enumerate(sorted(f for f, n in names.items() if n > 4))}, np.zeros((0, 3)))
+    nodes, row = model.known(trees)
+    inner = np.concatenate(trees.levels[1:]) if len(trees.levels) > 1 else np.zeros(0, np.int64)
+    seen = np.zeros((len(model.rows), 3))
+    np.add.at(seen, (row, state[nodes]), 1)
+    edges = np.zeros((3, 3))
+    np.add.at(edges, (state[trees.parent[inner]], state[inner]), 1)
+    roots = np.bincount(state[trees.levels[0]], minlength=3)
+    model.root = np.log((roots + 1) / (roots + 1).sum())
+    model.edge = np.log((edges + 1) / (edges + 1).sum(axis=1, keepdims=True))
+    # Features of a node overlap, so that the counts' logarithms start at a part of their weight.
+    model.emission = 0.4 * (np.log(seen + 0.5) - np.log(np.bincount(state, minlength=3) + 1))
+    sizes = [np.full(model.emission.shape, 1e-6), np.full((3, 3), 1e-6)]
+    for _ in range(rounds):
+        single, pair = model.beliefs(trees, (nodes, row))
+        expected = np.column_stack([np.bincount(row, single[nodes, s], len(seen)) for s in range(3)])
+        slopes = (seen - expected - 0.5 * model.emission, edges - pair[inner].sum(axis=0) - 0.5 * model.edge)
+        for potential, slope, size in zip((model.emission, model.edge), slopes, sizes):
+            size += slope**2
+            potential += 0.3 * slope / np.sqrt(size)
+    return model
 
 
 def main_texts(
