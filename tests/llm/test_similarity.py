@@ -48,7 +48,7 @@ def test_no_boundary_and_no_order_loses_links(spark, small_below):
     texts = frame(spark, rows).fillna("", ["text"])
     known = members(texts)
     first = {r.digest: r.doc_id for r in sorted(known.collect(), key=lambda r: -r.doc_id)}
-    for common in (np.zeros(0, np.uint64), np.sort(np.random.Generator(np.random.PCG64(1)).integers(0, 2**63, 50, dtype=np.uint64))):
+    for common in (np.zeros(1 << 23, np.uint8), np.random.Generator(np.random.PCG64(1)).integers(0, 256, 1 << 23, dtype=np.uint8)):
         keyed = keyed_sets(texts, known, common, small_below)
         from waybill.llm.jaccard import candidate_sets
 

@@ -22,7 +22,9 @@ from waybill.llm.graph import components
 from waybill.llm.words import SHINGLE, mix, words_of
 
 PERCENT = 80
-MAX_COMMON = 4_000_000
+MAX_COMMON = 1 << 22
+BITS = 26
+BLOCK_BITS = 16
 LOOKED_THROUGH = 1.5
 LARGEST_SMALL = 64
 PIVOT_ROUNDS = 3
@@ -99,19 +101,56 @@ def boundary(sets: np.ndarray, entries: np.ndarray, others: np.ndarray) -> int:
     return 4 + int(np.argmin(costs)) if costs else 4
 
 
+def bit_of(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def common_bits(counted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (``2 ** BITS`` bits) of the shingles that several sets have among their
+    first; of more than ``MAX_COMMON`` those that most sets have. It only serves the order: a bit that
+    two shingles share, or a shingle without one, changes which come last and no result."""
+    left, least = MAX_COMMON, 2
+    frequencies = counted.where("kind = 0").groupBy("n").agg(F.count("*").alias("shingles")).orderBy(F.desc("n"))
+    for row in frequencies.toLocalIterator():
+        left -= row.shingles
+        if left < 0:
+            least = row.n + 1
+            break
+
+    def places(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bits = bit_of(batch.column(0).to_numpy().view(np.uint64))
+        columns = [pa.array((bits >> BLOCK_BITS).astype(np.int32)), pa.array((bits & ((1 << BLOCK_BITS) - 1)).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "place"])
+
+    def packed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        out = []
+        for block in batch.column("places"):
+            bits = np.zeros(1 << BLOCK_BITS, bool)
+            bits[block.values.to_numpy()] = True
+            out.append(np.packbits(bits, bitorder="little").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["block", "bits"])
+
+    chosen = by_batch(counted.where((F.col("kind") == 0) & (F.col("n") >= least)).select("value"), places, "block int, place int")
+    blocks = chosen.groupBy("block").agg(F.collect_set("place").alias("places"))  # at most 2 ** BLOCK_BITS places
+    bitmap = np.zeros((1 << (BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    table = by_batch(blocks, packed, "block int, bits binary").toArrow()
+    for block, bits in zip(table.column("block").to_pylist(), table.column("bits").to_pylist()):
+        bitmap[block] = np.frombuffer(bits, np.uint8)
+    return bitmap.ravel()
+
+
 def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_below: int) -> DataFrame:
     """One row per distinct set: ``node`` (a number of its own), ``digest, first_id, n, keys``.
 
     Of the documents with equal sets (``known``: see ``members``) the one with the smallest id stands
-    for all. ``common`` (sorted) are the shingles that come last in the order; the others are ordered
-    by hash.
+    for all. Shingles in the bitmap ``common`` come last in the order, before and after it goes by hash.
     """
     firsts = known.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
     others = known.join(firsts, "digest").where("doc_id > first_id").select("doc_id", "digest").distinct()
     if others.count() * 24 <= BROADCAST_BYTES:
         others = F.broadcast(others)
 
-    shared = texts.sparkSession.sparkContext.broadcast(common)  # at most MAX_COMMON numbers
+    shared = texts.sparkSession.sparkContext.broadcast(common)  # of fixed size
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         digests, sizes, keys = [], [], []
@@ -123,9 +162,9 @@ def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_bel
             if n < 4:  # similar to nothing but an equal set
                 keys.append(np.zeros(0, np.int64))
                 continue
-            if len(last):
-                is_common = last[np.minimum(np.searchsorted(last, shingles), len(last) - 1)] == shingles
-                shingles = np.concatenate([shingles[~is_common], shingles[is_common]])
+            bits = bit_of(shingles)
+            is_common = (last[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
+            shingles = np.concatenate([shingles[~is_common], shingles[is_common]])
             first = n - needed(n) + 1
             found = []
             if n < small_below:
@@ -291,11 +330,10 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     texts = texts_of(docs, id_column, text_column)
     known = stored(members(texts), "members")
     counted = stored(statistics(texts), "statistics")
-    common = counted.where("kind = 0").orderBy(F.desc("n"), "value").limit(MAX_COMMON).select("value").toPandas()
     by_size = np.zeros((4, LARGEST_SMALL + 1), np.int64)
     for row in counted.where("kind > 0").collect():
         by_size[row.kind, row.value] = row.n
-    keyed = keyed_sets(texts, known, np.sort(common["value"].to_numpy(np.int64).view(np.uint64)), boundary(*by_size[1:]))
+    keyed = keyed_sets(texts, known, common_bits(counted), boundary(*by_size[1:]))
     lists = shared_lists(keyed)
     linked = node_components(lists, candidate_sets(texts, keyed, lists))
     ids = keyed.select("digest", "node", "first_id").join(linked, "node", "left")
