@@ -127,7 +127,7 @@ SELECT layout || CAST(no AS VARCHAR) || '.csv' AS source_file,
 FROM files JOIN bad USING (no) GROUP BY 1, 2""",
     "cogroup_counts": _FEED
     + """, v AS (SELECT id, count(*) AS n FROM checked WHERE stacktrace = '' GROUP BY id),
-    r AS (SELECT id, count(*) AS n FROM checked WHERE stacktrace = 'not in queried partition' GROUP BY id)
+    r AS (SELECT id, count(*) AS n FROM checked WHERE stacktrace <> '' GROUP BY id)
     SELECT coalesce(v.id, r.id) AS message_id, coalesce(v.n, 0) AS number_inserted_rows,
       coalesce(r.n, 0) AS number_rejected_rows
     FROM v FULL OUTER JOIN r ON v.id = r.id""",

@@ -140,10 +140,9 @@ def bad_file_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cogroup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid lines and lines out of range counted apart and brought together; not every
-    message has the latter."""
+    """Valid and rejected lines, whatever the reason, counted apart and brought together."""
     judged = judged_feed(spark, sf_dir)
-    rejected = judged.filter(F.col("stacktrace") == OUT_OF_RANGE)
+    rejected = judged.filter(F.col("stacktrace") != "")
     return outputs.cogroup_counts(outputs.valid_lines(judged), rejected, ["message_id"])
 
 

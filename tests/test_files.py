@@ -193,3 +193,36 @@ def test_bad_row_limit(spark, targets, tmp_path):
     assert spark.table(targets.result("address")).count() == 0
     reasons = [r["stacktrace"] for r in spark.table(targets.reject("address")).collect()]
     assert sorted(reasons) == ["error_line_index"] + ["too_many_invalid_rows_in_file"] * 5
+
+
+def test_hidden_files_are_no_match_and_folders_are_read_whole(spark, tmp_path):
+    from waybill.sources.files import match_files
+
+    for name in ("_a.csv", "b.csv", "in/c.csv", "in/.d.csv", "in/deep/e.csv", "_skip/f.csv"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("h\n1\n")
+    found = {m.status.path.rsplit("/", 1)[-1] for m in match_files(spark, [str(tmp_path)])}
+    assert found == {"b.csv", "c.csv", "e.csv"}
+    assert not match_files(spark, [f"{tmp_path}/_a.csv"])
+
+
+def test_a_continued_load_keeps_its_slices(spark, targets, tmp_path, monkeypatch):
+    import json
+
+    from waybill import DEFAULT_REGISTRY, FileLoad, parse_messages
+    from waybill.operators.tables import create_load_tables
+
+    create_load_tables(spark, targets, DEFAULT_REGISTRY)
+    messages = []
+    for n in range(6):
+        (tmp_path / f"client{n}.csv").write_text(f"NAME,AGE\nn{n},20\n")
+        messages.append((json.dumps({"fileURL": f"{tmp_path}/client{n}.csv", "destination": "age"}), f"m{n}"))
+    frame = spark.createDataFrame(messages, "value string, message_id string").selectExpr("*", "current_timestamp() AS message_ts")
+    load_id = f"continued_{targets.results}"
+    with monkeypatch.context() as broken:
+        broken.setattr(FileLoad, "_steps", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            FileLoad(spark, targets, urls_per_slice=2).run(parse_messages(frame), load_id)
+    FileLoad(spark, targets, urls_per_slice=100).run(parse_messages(frame), load_id)
+    assert sorted(r[0] for r in spark.table(targets.result("age")).select("NAME").collect()) == [f"n{n}" for n in range(6)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from waybill import DEFAULT_REGISTRY, FileLoad, JsonRouting, Targets, create_load_tables, dispatch, struct
 from waybill.operators.routing import event_messages
 from waybill.sources.topics import folder_topics, publish_file_to_folder, publish_to_folder, union_topics
-from waybill.streaming.loader import run_per_batch, start_file_loads, start_json_routing, start_roads, stored_batches
+from waybill.streaming.loader import query_id, run_per_batch, start_file_loads, start_json_routing, start_roads, stored_batches
 from waybill.streaming.windows import latest_counts, start_windowed_counts, windowed_counts
 
 
@@ -20,7 +20,8 @@ def test_published_lines_come_back(spark, tmp_path):
         lambda batch, load_id: got.extend((load_id, r["value"], r["topic"]) for r in batch.collect()),
     )
     query.awaitTermination()
-    assert sorted(got) == [("published-0", '{"a":1}', "t1"), ("published-0", '{"a":2}', "t1")]
+    load_id = f"published-{query_id(spark, f'{tmp_path}/cp')}-0"
+    assert sorted(got) == [(load_id, '{"a":1}', "t1"), (load_id, '{"a":2}', "t1")]
 
 
 def test_several_batches_load_once(spark, targets, tmp_path):
@@ -42,16 +43,35 @@ def test_several_batches_load_once(spark, targets, tmp_path):
     assert len(stored_batches(spark, name)) <= 2
 
 
-def test_a_repeated_batch_is_not_loaded_twice(spark, targets, tmp_path):
+def one_line_files(tmp_path, numbers):
+    for n in numbers:
+        (tmp_path / f"client{n}.csv").write_text(f"NAME,AGE\nn{n},20\n")
+    return [json.dumps({"fileURL": f"{tmp_path}/client{n}.csv", "destination": "age"}) for n in numbers]
+
+
+def run_file_loads(spark, targets, topic, name, checkpoint):
+    start_file_loads(folder_topics(spark, topic), FileLoad(spark, targets), name, checkpoint).awaitTermination()
+
+
+def test_same_name_new_checkpoint_and_new_messages_loads_them(spark, targets, tmp_path):
     create_load_tables(spark, targets, DEFAULT_REGISTRY)
-    (tmp_path / "client1.csv").write_text("NAME,AGE\nAnn,20\n")
-    message = json.dumps({"fileURL": f"{tmp_path}/client1.csv", "destination": "age"})
-    publish_to_folder(spark.createDataFrame([(message,)], "value string"), "t", f"{tmp_path}/topic")
-    for checkpoint in ("one", "two"):  # a lost checkpoint: batch 0 comes again
-        start_file_loads(
-            folder_topics(spark, f"{tmp_path}/topic"), FileLoad(spark, targets),
-            f"again_{targets.results}", f"{tmp_path}/{checkpoint}",
-        ).awaitTermination()
+    for part, numbers in (("one", range(3)), ("two", range(10, 13))):
+        messages = [(m,) for m in one_line_files(tmp_path, numbers)]
+        publish_to_folder(spark.createDataFrame(messages, "value string"), "t", f"{tmp_path}/{part}")
+        run_file_loads(spark, targets, f"{tmp_path}/{part}", f"again_{targets.results}", f"{tmp_path}/cp_{part}")
+    names = {r[0] for r in spark.table(targets.result("age")).select("NAME").collect()}
+    assert names == {f"n{n}" for n in [*range(3), *range(10, 13)]}
+
+
+def test_a_repeated_batch_of_one_checkpoint_is_not_loaded_twice(spark, targets, tmp_path):
+    create_load_tables(spark, targets, DEFAULT_REGISTRY)
+    messages = [(m,) for m in one_line_files(tmp_path, [1])]
+    publish_to_folder(spark.createDataFrame(messages, "value string"), "t", f"{tmp_path}/topic")
+    checkpoint = tmp_path / "cp"
+    for _ in range(2):
+        run_file_loads(spark, targets, f"{tmp_path}/topic", f"repeat_{targets.results}", str(checkpoint))
+        for commit in (checkpoint / "commits").iterdir():  # as after a crash before the commit
+            commit.unlink()
     assert spark.table(targets.result("age")).count() == 1
     assert spark.table(targets.monitoring).count() == 2
 
@@ -143,3 +163,18 @@ def test_dispatch_by_size(spark, targets, tmp_path):
     ).awaitTermination()
     assert spark.table(targets.result("age")).filter("NAME = 'small'").count() == 1
     assert spark.table(targets.result("age")).count() == 51
+
+
+def test_dead_letters_of_json_keep_id_and_time(spark, targets):
+    from waybill import JsonRouting as Routing
+
+    made = Targets(targets.results, targets.rejects, create=True)
+    rows = [('{"k":1,"target_table":"a"}', "m1"), ("{", "m2"), ('{"k":2,"target_table":"click\\n"}', "m3"), ('{"k":3}', "m4")]
+    frame = spark.createDataFrame(rows, "value string, message_id string").selectExpr(
+        "value", "'t' AS topic", "message_id", "timestamp'2024-01-01 00:00:00' AS message_ts"
+    )
+    Routing(spark, made, struct(k="INTEGER")).run(frame)
+    letters = {r["message_id"]: r for r in spark.table(made.dead_letters).collect()}
+    assert sorted(letters) == ["m2", "m3", "m4"]
+    assert {r["timestamp"] for r in letters.values()} == {"2024-01-01 00:00:00"}
+    assert spark.table(made.result("a")).count() == 1

@@ -101,3 +101,8 @@ def list_text(line: Column) -> Column:
         F.lit("["), F.array_join(F.transform(split_fields(line), _quoted), ", "), F.lit("]")
     )
     return F.when(line.rlike(_NEEDS_CARE), careful).otherwise(plain)
+
+
+def identifier(name: str) -> str:
+    """A name as SQL takes it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

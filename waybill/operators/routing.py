@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from waybill import layouts
 from waybill.functions.payload import CORRUPT, decode_event, parse_json, payload_text
+from waybill.functions.text import utc_text
 from waybill.layouts import BATCH_SIZE_THRESHOLD, JSON_LOG_SCHEMA, MESSAGE_SCHEMA
 
 STREAM, BATCH = "stream", "batch"
-TABLE_NAME = "^[A-Za-z0-9_]+$"
+ORIGIN = ("_message_id", "_message_ts")
+TABLE_NAME = r"\A[A-Za-z0-9_]+\z"
 
 
 def size_route(length: Column, threshold: int = BATCH_SIZE_THRESHOLD) -> Column:
@@ -49,20 +51,35 @@ def event_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def origin_of(envelopes: DataFrame) -> list[Column]:
+    """The columns ``ORIGIN``; NULL where the envelopes have no such column."""
+    kinds = dict(envelopes.dtypes)
+    number = F.col("message_id") if "message_id" in kinds else F.lit(None)
+    time = F.lit(None)
+    if "message_ts" in kinds:
+        time = F.col("message_ts")
+        if kinds["message_ts"] != "string":
+            time = utc_text(time, kinds["message_ts"] == "timestamp")
+    return [number.cast("string").alias(ORIGIN[0]), time.cast("string").alias(ORIGIN[1])]
+
+
 def rows_with_target(
     envelopes: DataFrame,
     schema: T.StructType = JSON_LOG_SCHEMA,
     field: str = "target_table",
     keep_field: bool = False,
+    with_origin: bool = False,
 ) -> DataFrame:
     """JSON payloads to rows of ``schema`` plus ``target`` (the table named inside) and
     ``problem``; the routing field is no column of the row unless ``keep_field``.
+    ``with_origin`` adds the envelope's id and time (see ``ORIGIN``).
 
     Tables are told apart like the catalog does, whatever the case of their names.
     """
     text = payload_text(F.col("value"))
     with_target = T.StructType([*schema.fields, T.StructField(field, T.StringType())])
-    parsed = envelopes.select(text.alias("message"), parse_json(text, with_target).alias("_r"))
+    origin = origin_of(envelopes) if with_origin else []
+    parsed = envelopes.select(*origin, text.alias("message"), parse_json(text, with_target).alias("_r"))
     target = F.col(f"_r.{field}")
     problem = (
         F.when(F.col(f"_r.{CORRUPT}").isNotNull() | target.isNull(), layouts.INVALID_MESSAGE)
@@ -74,11 +91,15 @@ def rows_with_target(
         F.lower(target).alias("target"),
         "message",
         problem.alias("problem"),
+        *(ORIGIN if with_origin else ()),
     )
 
 
 def rows_by_topic(
-    envelopes: DataFrame, roads: Mapping[str, str], schema: T.StructType = JSON_LOG_SCHEMA
+    envelopes: DataFrame,
+    roads: Mapping[str, str],
+    schema: T.StructType = JSON_LOG_SCHEMA,
+    with_origin: bool = False,
 ) -> DataFrame:
     """JSON payloads to rows plus ``target``, the table of their topic; messages of other
     topics are not on any road and are left out."""
@@ -87,6 +108,7 @@ def rows_by_topic(
     for topic, table in roads.items():
         target = F.when(F.col("topic") == topic, F.lit(table)).otherwise(target)
     parsed = envelopes.filter(F.col("topic").isin(*roads)).select(
+        *(origin_of(envelopes) if with_origin else []),
         text.alias("message"), parse_json(text, schema).alias("_r"), target.alias("target")
     )
     return parsed.select(
@@ -94,4 +116,5 @@ def rows_by_topic(
         "target",
         "message",
         F.when(F.col(f"_r.{CORRUPT}").isNotNull(), layouts.INVALID_MESSAGE).otherwise("").alias("problem"),
+        *(ORIGIN if with_origin else ()),
     )

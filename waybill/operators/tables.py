@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waybill.functions.text import identifier
 from waybill.layouts import DEAD_LETTER_SCHEMA, MONITORING_SCHEMA, REJECT_SCHEMA, Registry, kind_of
 from waybill.operators.outputs import conform
 from waybill.storage import SharedFiles, shared_root
@@ -56,7 +57,7 @@ def create_table(
     spark: SparkSession, table: str, schema: T.StructType, source: str = "parquet", by_load: bool = False
 ) -> None:
     """Creates the table unless it is there. ``by_load`` adds the ``load_id`` partition."""
-    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+    columns = [f"{identifier(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
     if by_load:
         columns.append(f"`{LOAD_ID}` string")
     partition = f" PARTITIONED BY (`{LOAD_ID}`)" if by_load else ""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.layouts import DEAD_LETTER_SCHEMA, JSON_LOG_SCHEMA
-from waybill.operators.routing import rows_by_topic, rows_with_target
+from waybill.operators.routing import ORIGIN, rows_by_topic, rows_with_target
 from waybill.operators.tables import LoadFolder, Targets, append
 
 
@@ -34,12 +34,14 @@ class JsonRouting:
 
     def run(self, envelopes: DataFrame, load_id: str | None = None) -> str:
         """Every row goes to the table its ``target_table`` names."""
-        rows = rows_with_target(envelopes, self.schema, self.table_field, self.keep_table_field)
+        rows = rows_with_target(
+            envelopes, self.schema, self.table_field, self.keep_table_field, with_origin=True
+        )
         return self._write(rows, load_id)
 
     def run_roads(self, envelopes: DataFrame, roads: Mapping[str, str], load_id: str | None = None) -> str:
         """Every row goes to the table of its topic."""
-        return self._write(rows_by_topic(envelopes, roads, self.schema), load_id)
+        return self._write(rows_by_topic(envelopes, roads, self.schema, with_origin=True), load_id)
 
     def _write(self, rows: DataFrame, load_id: str | None) -> str:
         load_id = load_id or uuid.uuid4().hex
@@ -49,7 +51,7 @@ class JsonRouting:
         lost = F.col("problem") != ""
         rows = rows.withColumn("target", F.when(~lost, F.col("target"))).withColumn("lost", lost)
         stored = folder.store(rows.hint("rebalance", "target"), "rows", ("lost", "target"))
-        columns = [f for f in rows.schema.fields if f.name not in ("target", "problem", "message", "lost")]
+        columns = [f for f in rows.schema.fields if f.name not in ("target", "problem", "message", "lost", *ORIGIN)]
         good = stored.filter(~F.col("lost"))
         table_schema = T.StructType(columns)
 
@@ -72,6 +74,9 @@ class JsonRouting:
         return load_id
 
     def _dead_letters(self, lost: DataFrame) -> None:
-        letters = lost.select(F.col("problem").alias("reason"), "message")
+        number, time = ORIGIN
+        letters = lost.select(
+            F.col(time).alias("timestamp"), F.col("problem").alias("reason"), F.col(number).alias("message_id"), "message"
+        )
         if not letters.isEmpty():
             append(letters, self.targets.dead_letters, DEAD_LETTER_SCHEMA, self.targets.source)

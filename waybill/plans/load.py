@@ -140,7 +140,7 @@ class FileLoad:
                 done.result()
             if slices:
                 folder.once("end", lambda: self._write_ends(folder, stored))
-        folder.finish(() if self.keep_stored_frames else ("messages", "missing", "lines", "over_limit"))
+        folder.finish(() if self.keep_stored_frames else ("messages", "settings", "missing", "lines", "over_limit"))
         return load_id
 
     # --- reading -----------------------------------------------------------------
@@ -149,7 +149,10 @@ class FileLoad:
         """Reads all files, a bounded number of URLs at a time, into the judged store.
         Gives back the number of slices and whether some URL has no file."""
         slices, missing = 0, False
-        for number, part, urls in url_slices(messages, self.urls_per_slice):
+        # The slices of a load that is continued are those it began with.
+        settings = self.spark.createDataFrame([(self.urls_per_slice,)], "urls_per_slice int")
+        urls_per_slice = folder.store(settings, "settings").first()[0]
+        for number, part, urls in url_slices(messages, urls_per_slice):
             missing |= self._store_slice(folder, part, urls, number)
             slices += 1
         return slices, missing
@@ -237,8 +240,11 @@ class FileLoad:
         if self.emit_empty_end:
             loaded = messages.filter(F.col("problem") == "").select(*MESSAGE_KEY).distinct()
             zero = F.lit(0).cast("bigint")
-            counts = loaded.join(counts, list(MESSAGE_KEY), "left").select(
-                *MESSAGE_KEY,
+            same = F.lit(True)
+            for name in MESSAGE_KEY:
+                same = same & loaded[name].eqNullSafe(counts[name])
+            counts = loaded.join(counts, same, "left").select(
+                *[loaded[name] for name in MESSAGE_KEY],
                 F.coalesce("number_inserted_rows", zero).alias("number_inserted_rows"),
                 F.coalesce("number_rejected_rows", zero).alias("number_rejected_rows"),
             )

@@ -70,13 +70,19 @@ def _is_hidden(status: FileStatus) -> bool:
 
 
 def match_url(files: SharedFiles, url: str) -> list[MatchedFile]:
-    """All files of one URL; folders stand for the part files in them."""
-    found = []
-    for status in files.glob(url):
+    """All files of one URL; folders stand for the part files in them and in their subfolders.
+
+    Names that begin with ``_`` or ``.`` are no data to Spark's readers. They are no match, so that
+    a URL of such a file alone counts as one without a file.
+    """
+    found, waiting = [], [s for s in files.glob(url) if not _is_hidden(s)]
+    while waiting:
+        status = waiting.pop()
         if status.is_folder:
-            found += [s for s in files.children(status.path) if not s.is_folder and not _is_hidden(s)]
-        elif not _is_hidden(status) or status.name == url.rsplit("/", 1)[-1]:
+            waiting += [s for s in files.children(status.path) if not _is_hidden(s)]
+        else:
             found.append(status)
+    found.sort(key=lambda s: s.path)
     return [MatchedFile(url, s) for s in found]
 
 

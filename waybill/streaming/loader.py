@@ -1,12 +1,14 @@
 """Plans run per micro-batch.
 
 A file is read as a whole in the batch of its message, so its counts are complete without
-any state. Each batch's load id is made of the stream's name and the batch number: a
-batch that Spark repeats after a failure continues its load instead of doubling it.
+any state. Each batch's load id is made of the stream's name, the query's own id (which lives
+in its checkpoint) and the batch number: a batch that Spark repeats after a failure continues
+its load instead of doubling it, and a new checkpoint begins new loads.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,11 @@ def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when it made the checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def run_per_batch(
     stream: DataFrame,
     name: str,
@@ -34,14 +41,20 @@ def run_per_batch(
     load: Callable[[DataFrame, str], object],
     every: str | None = None,
 ) -> StreamingQuery:
-    """Starts a query that gives every non-empty micro-batch, with its load id, to ``load``."""
+    """Starts a query that gives every non-empty micro-batch, with its load id, to ``load``.
+
+    Started again with a new checkpoint, a stream loads all it finds again, also under the same name.
+    """
+    own: list[str] = []
 
     def on_batch(batch: DataFrame, number: int) -> None:
+        if not own:
+            own.append(query_id(batch.sparkSession, checkpoint))
         if not batch.isEmpty():
-            load(batch, f"{name}-{number}")
+            load(batch, f"{name}-{own[0]}-{number}")
         # Spark never goes back further than the last batch.
         if number >= _KEPT_BATCHES:
-            old = LoadFolder(batch.sparkSession, f"{name}-{number - _KEPT_BATCHES}")
+            old = LoadFolder(batch.sparkSession, f"{name}-{own[0]}-{number - _KEPT_BATCHES}")
             old.files.remove(old.path)
 
     writer = stream.writeStream.queryName(name).option("checkpointLocation", checkpoint)
