@@ -27,7 +27,7 @@ BITS = 26
 BLOCK_BITS = 16
 LOOKED_THROUGH = 1.5
 LARGEST_SMALL = 64
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 BROADCAST_BYTES = 32 << 20
 
 
@@ -140,7 +140,8 @@ def common_bits(counted: DataFrame) -> np.ndarray:
 
 
 def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_below: int) -> DataFrame:
-    """One row per distinct set: ``node`` (a number of its own), ``digest, first_id, n, keys``.
+    """One row per distinct set: ``node`` (a number of its own), ``digest, first_id, n, keys``;
+    the first ``subsets`` of the keys are those of subsets, the rest shingles in order.
 
     Of the documents with equal sets (``known``: see ``members``) the one with the smallest id stands
     for all. Shingles in the bitmap ``common`` come last in the order, before and after it goes by hash.
@@ -153,7 +154,7 @@ def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_bel
     shared = texts.sparkSession.sparkContext.broadcast(common)  # of fixed size
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        digests, sizes, keys = [], [], []
+        digests, sizes, keys, subsets = [], [], [], []
         last = shared.value
         for _, shingles in sets_of(batch):
             n = len(shingles)
@@ -161,6 +162,7 @@ def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_bel
             sizes.append(n)
             if n < 4:  # similar to nothing but an equal set
                 keys.append(np.zeros(0, np.int64))
+                subsets.append(0)
                 continue
             bits = bit_of(shingles)
             is_common = (last[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
@@ -173,6 +175,7 @@ def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_bel
             if n >= needed(small_below):
                 found.append(shingles[:first])
             keys.append(np.concatenate(found).view(np.int64))
+            subsets.append(len(found[0]) if n < small_below else 0)
         flat = np.concatenate(keys)
         offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -180,23 +183,25 @@ def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_bel
                 batch.column("doc_id"),
                 pa.array(digests, pa.binary()),
                 pa.array(sizes, pa.int64()),
+                pa.array(subsets, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
             ],
-            names=["doc_id", "digest", "n", "keys"],
+            names=["doc_id", "digest", "n", "subsets", "keys"],
         )
 
-    rows = by_batch(texts, work, "doc_id long, digest binary, n long, keys array<long>")
+    rows = by_batch(texts, work, "doc_id long, digest binary, n long, subsets long, keys array<long>")
     distinct = rows.where("doc_id IS NOT NULL").join(others, ["doc_id", "digest"], "left_anti")
     # Numbers are made when the table is written and read from it ever after. A row that repeats id
     # and text gets a number of its own, which is linked like any equal set.
     return stored(
-        distinct.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("doc_id").alias("first_id"), "n", "keys"),
+        distinct.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("doc_id").alias("first_id"), "n", "subsets", "keys"),
         "keyed-sets",
     )
 
 
 def shared_lists(keyed: DataFrame) -> DataFrame:
-    """The lists (``key, node, n``) of keys that several sets have.
+    """The lists (``key, node, n, place``) of keys that several sets have. ``place``: the shingle's
+    number in its set's order, from 1; 1 for keys of subsets.
 
     Entries are sorted by key, dealt out by range and node, so that long lists go to many tasks, and
     each task drops those that differ from both neighbours. At the ends of a partition, where a
@@ -221,9 +226,11 @@ def shared_lists(keyed: DataFrame) -> DataFrame:
         if held is not None:
             yield from held.to_batches()
 
-    entries = keyed.select(F.explode("keys").alias("key"), "node", "n")
+    entries = keyed.select(F.posexplode("keys").alias("at", "key"), "node", "n", "subsets")
+    place = F.greatest(F.col("at") - F.col("subsets") + 1, F.lit(1)).cast("int").alias("place")
+    entries = entries.select("key", "node", "n", place)
     ranged = entries.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    return stored(ranged.mapInArrow(work, "key long, node long, n long"), "lists")
+    return stored(ranged.mapInArrow(work, "key long, node long, n long, place int"), "lists")
 
 
 def candidate_sets(texts: DataFrame, keyed: DataFrame, lists: DataFrame) -> DataFrame:
@@ -267,16 +274,19 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _fitting(n: str, m: str):
-    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
+def _fitting(n: str, place: str, m: str, other_place: str):
+    """Whether sets of n and m that first meet in this list can be similar: no more than the shingles
+    from here on are common. Of the lists that two similar sets share, at least the first says so."""
+    common = F.least(F.col(n) - F.col(place), F.col(m) - F.col(other_place)) + 1
+    return common * (100 + PERCENT) >= (F.col(n) + F.col(m)) * PERCENT
 
 
 def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """``node, component`` by all links between the members of each list (``key, node, n``).
+    """``node, component`` by all links between the members of each list (``key, node, n, place``).
 
     Comparing all members of a list with each other would grow with its square. First, some times
-    over, every list is compared with one of its members, the same for most lists that a group of
-    similar sets shares. What is connected by then needs no more comparing; the rest (members outside
+    over, every list is compared with one of its members: the one with the fewest rarer shingles, in a
+    group of near copies that which the others were made from. What is connected by then needs no more comparing; the rest (members outside
     the list's largest component against all others) is compared in full, so that no link between
     components is lost.
     """
@@ -286,7 +296,7 @@ def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT
     for turn in range(pivot_rounds + 1):
         if turn:
             lists = lists.drop("component").join(labels, "node", "left")
-            lists = lists.select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+            lists = lists.select("key", "node", "n", "place", F.coalesce("component", "node").alias("component"))
         else:
             lists = lists.withColumn("component", F.col("node"))
         mixed = lists.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
@@ -294,9 +304,9 @@ def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT
         if lists.isEmpty():
             break
         if turn < pivot_rounds:
-            pivot = F.min(F.struct(F.xxhash64("node").alias("rank"), "node", "n", "component"))
+            pivot = F.min(F.struct("place", F.xxhash64("node").alias("rank"), "node", "n", "component"))
             against = lists.groupBy("key").agg(pivot.alias("p")).select(
-                "key", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.component").alias("opposite")
+                "key", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.place").alias("other_place"), F.col("p.component").alias("opposite")
             )
             near = lists
         else:
@@ -305,10 +315,10 @@ def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT
             against = (
                 lists.join(largest, "key")
                 .where(F.col("component") != F.col("top.component"))
-                .select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("opposite"))
+                .select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("place").alias("other_place"), F.col("component").alias("opposite"))
             )
             near = lists
-        pairs = near.join(against, "key").where((F.col("component") != F.col("opposite")) & _fitting("n", "m"))
+        pairs = near.join(against, "key").where((F.col("component") != F.col("opposite")) & _fitting("n", "place", "m", "other_place"))
         pairs = stored(pairs.select(*_ordered("node", "other")).distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
         links = stored(links.unionByName(similar(pairs, sets)), "similar")
         checked = checked.unionByName(pairs)
