@@ -166,6 +166,16 @@ def test_repeated_passages_equal_brute_force(spark, seed):
     assert 700 in firsts and 701 not in firsts
 
 
+@pytest.mark.parametrize("size", [50, 55, 60])
+def test_one_first_in_a_large_group(spark, size):
+    texts = Texts(size)
+    shared = texts.make(size)
+    rows = [(i, " ".join(texts.make(20) + shared + texts.make(80))) for i in range(1000)]
+    spans = repeated_passages(frame(spark, rows)).collect()
+    assert {r.doc_id for r in spans} == set(range(1000))
+    assert [r.doc_id for r in spans if r.first] == [0]
+
+
 def test_minimisers_depend_on_content_alone():
     texts = Texts(3)
     passage = texts.make(80)

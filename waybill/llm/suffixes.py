@@ -2,8 +2,8 @@
 
 Suffixes are kept where they begin with a minimiser: the smallest hash of a run of five words among
 ``WINDOW`` neighbouring ones. Content alone decides, so that two copies of a passage keep the same
-suffixes. Sorted by their first ``SHARED`` words and what follows, suffixes that share most are
-neighbours; matches of neighbours are chained and extended left and right word by word.
+suffixes. Around suffixes whose first ``SHARED`` words stand in two documents or more, every run of
+``MIN_WORDS`` words is looked up in all documents: whole groups are aggregated, none is compared in pairs.
 """
 
 from __future__ import annotations
@@ -12,18 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.frames import by_batch, ship, stored, texts_of
-from waybill.llm.neighbours import neighbours
 from waybill.llm.words import SHINGLE, Words, mix, rolling, run_hashes, words_of
 
 MIN_WORDS = 50
 WINDOW = 11
 SHARED = MIN_WORDS - WINDOW + 1
-FOLLOWING = 24
-CONTEXT = 16
 BROADCAST_BYTES = 32 << 20
 
 
@@ -47,101 +44,84 @@ def minimisers(words: Words, size: int = SHINGLE, window: int = WINDOW) -> np.nd
 
 
 def suffixes(texts: DataFrame, shared: int = SHARED) -> DataFrame:
-    """``key`` (hash of the first ``shared`` words), ``following`` (of the next), ``doc_id, pos``. Of
-    suffixes of one text with the same key the first is kept."""
+    """``key`` (hash of the first ``shared`` words), ``doc_id, pos``. Of suffixes of one text with the
+    same key the first is kept."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for begin, words in words_of(batch.column("text")):
             at = minimisers(words)
             text = np.searchsorted(words.first, at, "right") - 1
-            end = words.first[text + 1]
-            fits = at + shared <= end
-            at, text, end = at[fits], text[fits], end[fits]
+            fits = at + shared <= words.first[text + 1]
+            at, text = at[fits], text[fits]
             if not len(at):
                 continue
             key = run_hashes(words.hashes, at, shared)
             _, once = np.unique(mix(key ^ mix(text.astype(np.uint64) + np.uint64(1))), return_index=True)
             once.sort()
-            at, text, end, key = at[once], text[once], end[once], key[once]
-            following = run_hashes(words.hashes, at + shared, np.minimum(FOLLOWING, end - at - shared))
+            at, text, key = at[once], text[once], key[once]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(key.view(np.int64)),
-                    pa.array(following.view(np.int64)),
                     pa.array(ids[begin + text].astype(np.int64)),
                     pa.array((at - words.first[text]).astype(np.int32)),
                 ],
-                names=["key", "following", "doc_id", "pos"],
+                names=["key", "doc_id", "pos"],
             )
 
-    return by_batch(texts, work, "key long, following long, doc_id long, pos int")
+    return by_batch(texts, work, "key long, doc_id long, pos int")
 
 
-def chains(pairs: DataFrame, shared: int = SHARED) -> DataFrame:
-    """Matches of two documents at the same distance, joined where they overlap or touch:
-    ``a, b, shift`` (place in b minus place in a), places ``low`` to ``high`` of the first and last
-    suffix in a."""
-    pairs = pairs.where("a_doc_id <> b_doc_id").select(
-        F.least("a_doc_id", "b_doc_id").alias("a"),
-        F.greatest("a_doc_id", "b_doc_id").alias("b"),
-        F.when(F.col("a_doc_id") < F.col("b_doc_id"), F.col("a_pos")).otherwise(F.col("b_pos")).alias("pos"),
-        F.when(F.col("a_doc_id") < F.col("b_doc_id"), F.col("b_pos") - F.col("a_pos"))
-        .otherwise(F.col("a_pos") - F.col("b_pos"))
-        .alias("shift"),
-    )
-    along = Window.partitionBy("a", "b", "shift").orderBy("pos")
-    begins = F.coalesce(F.col("pos") - F.lag("pos").over(along) > shared, F.lit(True))
-    numbered = pairs.withColumn("begins", begins.cast("int")).withColumn("chain", F.sum("begins").over(along))
-    return numbered.groupBy("a", "b", "shift", "chain").agg(F.min("pos").alias("low"), F.max("pos").alias("high"))
+def in_two_documents(rows: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` two documents or more have, with the smallest of these, ``least_doc``."""
+    owners = rows.groupBy("key").agg(F.min("doc_id").alias("least_doc"), F.max("doc_id").alias("greatest_doc"))
+    return rows.join(owners.where("least_doc < greatest_doc").drop("greatest_doc"), "key")
 
 
-def contexts(texts: DataFrame, places: DataFrame, shared: int = SHARED) -> DataFrame:
-    """``doc_id, pos, left, right``: hashes of the up to ``CONTEXT`` words before ``pos`` (nearest
-    first) and from ``pos + shared`` on, for all ``places``."""
+def runs_around(texts: DataFrame, places: DataFrame, size: int, before: int) -> DataFrame:
+    """``key`` (hash), ``doc_id, start`` of all runs of ``size`` words that begin at one of the
+    ``places`` (``doc_id, pos``) or up to ``before`` words earlier."""
     by_doc = stored(places.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("places")), "places")
     if (by_doc.agg(F.sum(F.size("places") + 4)).first()[0] or 0) * 4 <= BROADCAST_BYTES:
         by_doc = F.broadcast(by_doc)
+    earlier = np.arange(before + 1)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, places_of = batch.column("doc_id").to_pylist(), batch.column("places").to_pylist()
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        places_of = batch.column("places")
         for begin, words in words_of(batch.column("text")):
-            out = []
+            at, text = [], []
             for i in range(len(words)):
-                own = words.hashes[words.first[i] : words.first[i + 1]]
-                for pos in places_of[begin + i]:
-                    left = own[max(0, pos - CONTEXT) : pos][::-1]
-                    right = own[pos + shared : pos + shared + CONTEXT]
-                    out.append((ids[begin + i], pos, left.view(np.int64), right.view(np.int64)))
-            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            if out:
+                pos = places_of[begin + i].values.to_numpy(zero_copy_only=False)
+                starts = np.unique(pos[:, None] - earlier)
+                starts = starts[(starts >= 0) & (starts + size <= words.first[i + 1] - words.first[i])]
+                at.append(starts + words.first[i])
+                text.append(np.full(len(starts), i))
+            at, text = np.concatenate(at).astype(np.int64), np.concatenate(text).astype(np.int64)
+            if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "pos", "left", "right"]
+                    [
+                        pa.array(run_hashes(words.hashes, at, size).view(np.int64)),
+                        pa.array(ids[begin + text]),
+                        pa.array((at - words.first[text]).astype(np.int32)),
+                    ],
+                    names=["key", "doc_id", "start"],
                 )
 
     joined = texts.join(by_doc, "doc_id").select("doc_id", "text", "places")
-    found = by_batch(joined, work, "doc_id long, pos int, left array<long>, right array<long>")
-    return stored(found.dropDuplicates(["doc_id", "pos"]), "contexts")
-
-
-def _agreeing(one: str, other: str) -> Column:
-    """How many leading elements of two arrays are equal."""
-    same = F.zip_with(one, other, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    return F.when(F.size(same) == 0, 0).otherwise(
-        F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(same))
-    )
+    return stored(by_batch(joined, work, "key long, doc_id long, start int"), "runs")
 
 
 def repeated_passages(
     docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``doc_id, start, end, words, first``: the spans of words (``end`` excluded) that also stand in
-    another document, at least ``min_words`` long; overlapping ones are joined. ``first``: in none of
-    its matches is the other document's id smaller, so that the passage may stay there.
+    another document, at least ``min_words`` long; overlapping ones are joined. ``first``: no run of
+    ``min_words`` words in it stands in a document of a smaller id, so that the passage may stay there.
 
-    Every repeat of at least ``min_words`` words keeps a suffix with ``min_words - WINDOW + 1`` or more
-    of them to its right, which finds the longest such repeat; a shorter one is missed only where the
-    part to the right of all its suffixes stands elsewhere with more words following and fewer before.
+    Every run of ``min_words`` words has a suffix among its first ``WINDOW`` places, the same in all its
+    copies, with ``min_words - WINDOW + 1`` or more of its words to the right. So all runs that stand in
+    two documents lie around suffixes that do, and each is looked up by the hash of all its words.
     Repeats inside one document alone, also by rows that repeat its id, are not reported; rows without
     an id can't be named and are left out; null, empty and short texts have none. An empty table gives
     no rows.
@@ -149,24 +129,13 @@ def repeated_passages(
     ship(docs.sparkSession)
     shared = min_words - WINDOW + 1
     texts = texts_of(docs, id_column, text_column).where("doc_id IS NOT NULL")
-    pairs = neighbours(suffixes(texts, shared), ["key", "following", "doc_id", "pos"], "neighbours")
-    chained = stored(chains(pairs, shared), "chains")
-    ends = [
-        (F.col("a"), F.col("low")), (F.col("a"), F.col("high")),
-        (F.col("b"), F.col("low") + F.col("shift")), (F.col("b"), F.col("high") + F.col("shift")),
-    ]
-    places = chained.select(F.explode(F.array(*[F.struct(d.alias("doc_id"), p.alias("pos")) for d, p in ends])).alias("e"))
-    known = contexts(texts, places.select("e.*").distinct(), shared)
-    for (side, end), (doc, pos) in zip((("left", "a1"), ("right", "a2"), ("left", "b1"), ("right", "b2")), ends):
-        context = known.select(F.col("doc_id").alias(f"d_{end}"), F.col("pos").alias(f"p_{end}"), F.col(side).alias(end))
-        chained = chained.join(context, (doc == F.col(f"d_{end}")) & (pos == F.col(f"p_{end}"))).drop(f"d_{end}", f"p_{end}")
-    start = F.col("low") - _agreeing("a1", "b1")
-    end = F.col("high") + shared + _agreeing("a2", "b2")
-    matches = chained.select("a", "b", "shift", start.alias("start"), end.alias("end")).where(F.col("end") - F.col("start") >= min_words)
-    spans = matches.select(F.col("a").alias("doc_id"), "start", "end", F.lit(False).alias("later")).unionByName(
-        matches.select(F.col("b").alias("doc_id"), (F.col("start") + F.col("shift")).alias("start"), (F.col("end") + F.col("shift")).alias("end"), F.lit(True).alias("later"))
+    places = in_two_documents(stored(suffixes(texts, shared), "suffixes")).select("doc_id", "pos")
+    runs = in_two_documents(runs_around(texts, places, min_words, WINDOW - 1))
+    return joined_spans(
+        runs.groupBy("doc_id", "start")
+        .agg(F.max(F.col("doc_id") > F.col("least_doc")).alias("later"))
+        .select("doc_id", "start", (F.col("start") + min_words).alias("end"), "later")
     )
-    return joined_spans(spans.groupBy("doc_id", "start", "end").agg(F.max("later").alias("later")))
 
 
 def joined_spans(spans: DataFrame) -> DataFrame:
