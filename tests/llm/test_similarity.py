@@ -176,6 +176,16 @@ def test_one_first_in_a_large_group(spark, size):
     assert [r.doc_id for r in spans if r.first] == [0]
 
 
+def test_all_places_of_a_passage_are_found(spark):
+    texts = Texts(31)
+    shared, longer = texts.make(52), texts.make(45)
+    rows = [
+        (1, " ".join(texts.make(30) + shared + texts.make(20) + shared + longer + texts.make(10) + shared)),
+        (2, " ".join(texts.make(7) + shared + longer + texts.make(9))),
+    ]
+    assert covered(repeated_passages(frame(spark, rows)).collect()) == repeated(rows)
+
+
 def test_minimisers_depend_on_content_alone():
     texts = Texts(3)
     passage = texts.make(80)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.frames import by_batch, ship, stored, texts_of
-from waybill.llm.words import SHINGLE, Words, mix, rolling, run_hashes, words_of
+from waybill.llm.words import SHINGLE, Words, rolling, run_hashes, words_of
 
 MIN_WORDS = 50
 WINDOW = 11
@@ -44,8 +44,7 @@ def minimisers(words: Words, size: int = SHINGLE, window: int = WINDOW) -> np.nd
 
 
 def suffixes(texts: DataFrame, shared: int = SHARED) -> DataFrame:
-    """``key`` (hash of the first ``shared`` words), ``doc_id, pos``. Of suffixes of one text with the
-    same key the first is kept."""
+    """``key`` (hash of the first ``shared`` words), ``doc_id, pos`` of all suffixes."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -57,9 +56,6 @@ def suffixes(texts: DataFrame, shared: int = SHARED) -> DataFrame:
             if not len(at):
                 continue
             key = run_hashes(words.hashes, at, shared)
-            _, once = np.unique(mix(key ^ mix(text.astype(np.uint64) + np.uint64(1))), return_index=True)
-            once.sort()
-            at, text, key = at[once], text[once], key[once]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(key.view(np.int64)),
