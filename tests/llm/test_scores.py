@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import Texts, crowded, frame
 from waybill.llm.frames import held_out, training_rows
 from waybill.llm.quality import Machine, Rows, learnt_machine, quality_scores
-from waybill.llm.toxicity import Lexicon, fold, learnt_lexicon, matched, toxicity_scores, without_toxic
+from waybill.llm.toxicity import Lexicon, counted, fold, learnt_lexicon, matched, toxicity_scores, without_toxic
 
 LABELS = "doc_id long, quality int, toxic int"
 ODD = [(9001, None), (9002, ""), (9003, " \n"), (None, "idle words"), (9004, "word " * 60_000), (9004, "again")]
@@ -58,6 +58,18 @@ def test_toxicity_on_the_test_fold(spark, toxic_table):
     assert clean.count() == scores.where("predicted = 0").count()
 
 
+def test_exceptions_need_texts_that_differ_and_none_that_is_toxic(spark):
+    texts, rows = Texts(41), []
+    for i in range(900):
+        before = "you" if i % 2 else texts.make(1)[0]
+        rows.append((" ".join(texts.make(8) + [before, "zorgish"] + texts.make(8)), 1) if i < 300 else (" ".join(texts.make(17)), 0))
+    rows += [(" ".join(texts.make(8) + [word, "zorgish"] + texts.make(8)), 0) for word in ("you", "quoted") for _ in range(3)]
+    rows += [(" ".join(texts.make(8) + ["mild", "zorgish"] + texts.make(8)), 0)] * 3
+    _, _, phrases = counted(spark.createDataFrame(rows, "text string, label int"), [" zorgish "])
+    assert phrases[" quoted zorgish "] == 3
+    assert " you zorgish " not in phrases and " mild zorgish " not in phrases
+
+
 def test_training_never_sees_the_test_fold(toxic_table):
     docs, labels = toxic_table
     assert training_rows(docs, labels, "toxic", 10_000).where(held_out()).isEmpty()

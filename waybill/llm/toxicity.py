@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
@@ -185,8 +186,9 @@ def candidates(training: DataFrame, min_support: int, min_weight: float, limit:
 
 
 def counted(training: DataFrame, entries: list[str]) -> tuple[dict[str, list[int]], list[int], Counter]:
-    """For each entry the texts that have it, by label; the texts by label; and by label the texts
-    that have an entry with its next or previous word."""
+    """For each entry the texts that have it, by label; the texts by label; and for entries with their
+    next or previous word that no toxic text has the other texts that have them, if 3 at least.
+    Copies of one text count once for these."""
     plain = Lexicon({e: 1.0 for e in entries})
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -199,29 +201,39 @@ def counted(training: DataFrame, entries: list[str]) -> tuple[dict[str, list[int
         counts: Counter = Counter()
         for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
             folded = fold(text.as_py())
-            counts["texts", "", label] += 1
+            counts["texts", "", label, ""] += 1
             seen = set()
+            content = hashlib.sha256(" ".join(folded.split()).encode()).hexdigest()
             for end, entry in machine.iter(folded):
-                seen.add(("entry", entry))
-                if not label:
-                    start = end - len(entry) + 1
-                    word_end = folded.find(" ", start + 1)
-                    if after := folded[word_end:].split(None, 1)[:1]:
-                        seen.add(("phrase", f"{folded[start:word_end]} {after[0]} "))
-                    if before := folded[:start].rsplit(None, 1)[-1:]:
-                        seen.add(("phrase", f" {before[0]}{folded[start:word_end]} "))
-            counts.update((kind, value, label) for kind, value in seen)
-        kinds, values, labels = zip(*counts)
+                seen.add(("entry", entry, ""))
+                start = end - len(entry) + 1
+                word_end = folded.find(" ", start + 1)
+                if after := folded[word_end:].split(None, 1)[:1]:
+                    seen.add(("phrase", f"{folded[start:word_end]} {after[0]} ", content))
+                if before := folded[:start].rsplit(None, 1)[-1:]:
+                    seen.add(("phrase", f" {before[0]}{folded[start:word_end]} ", content))
+            counts.update((kind, value, label, content) for kind, value, content in seen)
+        kinds, values, labels, contents = zip(*counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds), pa.array(values), pa.array(labels, pa.int32()), pa.array(list(counts.values()), pa.int64())],
-            names=["kind", "value", "label", "n"],
-        )
-
+            [
+                pa.array(kinds), pa.array(values), pa.array(labels, pa.int32()), pa.array(contents),
+                pa.array(list(counts.values()), pa.int64()),
+            ],
+            names=["kind", "value", "label", "content", "n"],
+        )
+
+    found = by_batch(training.select("text", "label"), work, "kind string, value string, label int, content string, n long")
+    phrases_of_others = (
+        found.where("kind = 'phrase'")
+        .groupBy("kind", "value")
+        .agg(F.max("label").alias("label"), F.count_distinct("content").alias("n"))
+        .where("label = 0 AND n >= 3")
+    )
     sums = (
-        by_batch(training.select("text", "label"), work, "kind string, value string, label int, n long")
+        found.where("kind <> 'phrase'")
         .groupBy("kind", "value", "label")
         .agg(F.sum("n").alias("n"))
-        .where("kind <> 'phrase' OR n >= 3")
+        .unionByName(phrases_of_others)
         .collect()
     )
     by_entry: dict[str, list[int]] = defaultdict(lambda: [0, 0])
@@ -262,7 +274,7 @@ def learnt_lexicon(
     """A lexicon from labelled rows outside the test fold, at most ``sample`` of them.
 
     An entry's weight is its log odds ratio between toxic and other texts. A phrase of other texts
-    that would be a false match (in 3 of them at least, and none that is toxic) becomes an exception.
+    that would be a false match (in 3 different ones at least, and none that is toxic) becomes an exception.
     Without any toxic text the lexicon is empty and all scores are equal.
     """
     training = training_rows(docs, labels, "toxic", sample)
