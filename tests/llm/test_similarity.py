@@ -257,6 +257,22 @@ def test_near_repeated_passages(spark):
     assert all(set(range(50, 170)) <= got[i] for i in exact)
 
 
+def test_partners_far_apart_in_a_large_group(spark):
+    texts = Texts(51)
+    base, rows = texts.make(80), []
+    families = [texts.edited(base, 6) for _ in range(100)]
+    for copy in range(2):
+        for i, family in enumerate(families):
+            rows.append((100 * copy + i, " ".join(texts.make(30) + texts.edited(family, copy) + texts.make(30))))
+    runs = {i: shingles(" ".join(t.split()[30:110])) for i, t in rows}
+    near = {i: [k for k in runs if k != i and 100 * len(runs[i] & runs[k]) >= 80 * len(runs[i] | runs[k])] for i in runs}
+    expected = {i for i in runs if near[i]}
+    spans = near_repeated_passages(frame(spark, rows)).collect()
+    assert len(expected) > 150 and len(expected - {r.doc_id for r in spans}) <= 0.03 * len(expected)
+    later = {i for i in expected if min(near[i]) < i}
+    assert len(later & {r.doc_id for r in spans if r.first}) <= 0.03 * len(later)
+
+
 def test_words_of_batches_and_null(spark):
     import pyarrow as pa
 
