@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm.chat import formatted_conversations, learnt_texts, read_back
 from waybill.llm.contamination import contained_items
-from waybill.llm.damage import damaged_conversations
+from waybill.llm.damage import damaged_conversations, with_planted_runs
 from waybill.llm.exact import exact_groups
 from waybill.llm.frames import table
 from waybill.llm.jaccard import similar_documents
@@ -15,6 +15,7 @@ from waybill.llm.labelled_pages import labelled_pages
 from waybill.llm.main_text import LABELLED_PAGES, learnt_model, main_texts
 from waybill.llm.packing import pack
 from waybill.llm.passages import near_repeated_passages
+from waybill.llm.periods import periodic_runs
 from waybill.llm.quality import learnt_machine, quality_scores
 from waybill.llm.repair import repair_digests
 from waybill.llm.shard import shard_rows
@@ -64,6 +65,28 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, learnt_machine(docs, table(spark, sf_dir, "labels"), ("n_chars",)), ("n_chars",))
 
 
+def op11_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+
+    def greatest_first(a: Column, b: Column) -> Column:
+        # Exact: length / period is compared by cross-multiplication.
+        mine, other = a["length"] * b["period"], b["length"] * a["period"]
+        earlier = (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] < b["period"]))
+        return F.when(mine > other, -1).when(mine < other, 1).when(earlier, -1).otherwise(1)
+
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.get(F.array_sort("runs", greatest_first), F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are full of marks, formatted and read back."""
     columns = ("conv_id", "turn", "role", "text")
@@ -109,6 +132,7 @@ QUERIES = {
         op8_best_fit_packing,
         op9_substring_dedup,
         op10_quality_classifier,
+        op11_periodic_run_detection,
         op12_chat_formatting,
         op13_conversation_repair,
     )
