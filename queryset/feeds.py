@@ -116,19 +116,19 @@ def write_lineitem_files(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-def write_raw(lines: DataFrame, path: str, header: bool = True) -> None:
+def write_raw(lines: DataFrame, path: str, header: bool = True, compression: str = "none") -> None:
     """A one-column frame as lines: one column needs no separator, and nothing is quoted.
     The name of the column is the header of each part file."""
-    lines.write.options(header=header, sep="\u0001", quote="", escape="", emptyValue="").csv(path)
+    lines.write.options(header=header, sep="\u0001", quote="", escape="", emptyValue="", compression=compression).csv(path)
 
 
-def write_feed_files(spark: SparkSession, sf_dir: str, header: bool = True) -> str:
+def write_feed_files(spark: SparkSession, sf_dir: str, header: bool = True, compression: str = "none") -> str:
     """The feed as three CSV files (folders of part files) with a header line in each part."""
     folder = fresh_folder(spark, "feed")
     lines = feed(spark, sf_dir)
     for name, message in FEED_FILES.items():
         part = lines.filter(F.col("source_file") == name).select(F.col("line").alias(message["header"]))
-        write_raw(part, f"{folder}/{name}", header)
+        write_raw(part, f"{folder}/{name}", header, compression)
     return folder
 
 

@@ -81,6 +81,11 @@ _HEADER_FREE = _FEED + "SELECT source_file, line FROM feed"
 
 _EXACT = """SELECT line_no, CASE WHEN id = 'm0' THEN 'tabledata2.csv' ELSE source_file END AS source_file, f FROM parsed"""
 
+_EXACT_ROWS = """
+SELECT 'colors' AS table_name, c_name AS name, CAST(c_nationkey AS BIGINT) AS age, CAST(c_custkey AS VARCHAR) AS color,
+  CAST(NULL AS DOUBLE) AS height FROM customer
+UNION ALL SELECT 'heights', c_name, CAST(c_nationkey AS BIGINT), NULL, CAST(c_custkey AS DOUBLE) FROM customer"""
+
 ORACLES = {
     "load_monitoring": _FEED + "SELECT * FROM ends",
     "load_start_events": """
@@ -221,8 +226,49 @@ WITH typed AS (SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nation
 SELECT * FROM typed UNION ALL SELECT * FROM typed""",
     "schema_checked_append": """SELECT o_orderkey, o_orderstatus FROM orders
       UNION ALL SELECT o_orderkey, o_orderstatus FROM orders""",
-    "exact_name_load": """
-SELECT 'colors' AS table_name, c_name AS name, CAST(c_nationkey AS BIGINT) AS age, CAST(c_custkey AS VARCHAR) AS color,
-  CAST(NULL AS DOUBLE) AS height FROM customer
-UNION ALL SELECT 'heights', c_name, CAST(c_nationkey AS BIGINT), NULL, CAST(c_custkey AS DOUBLE) FROM customer""",
+    "exact_name_load": _EXACT_ROWS,
+    "inferred_many_files": """
+WITH people AS (SELECT n_nationkey, c_custkey, c_name FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey)
+SELECT CAST(NULL AS VARCHAR) AS message_id, CAST(NULL AS VARCHAR) AS reason, c_custkey AS custkey, c_name AS name,
+  c_custkey + CAST(0.5 AS DOUBLE) AS score
+FROM people WHERE c_custkey IS NOT NULL AND n_nationkey NOT BETWEEN 7 AND 10
+UNION ALL SELECT DISTINCT printf('m%02d', n_nationkey),
+  CASE WHEN n_nationkey = 9 THEN 'empty_file' WHEN n_nationkey = 10 OR c_custkey IS NULL THEN 'file_not_found'
+       WHEN n_nationkey = 8 THEN 'no_declared_kind: score'
+       ELSE 'schema_mismatch: score: STRING in the file, FLOAT in the table' END,
+  CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)
+FROM people WHERE n_nationkey BETWEEN 7 AND 10 OR c_custkey IS NULL""",
+    "stream_exact_name_load": _EXACT_ROWS
+    + """
+UNION ALL SELECT 'dead_letters', '3', NULL, 'file_not_found', NULL
+UNION ALL SELECT 'dead_letters', '4', NULL, 'invalid_message_format', NULL""",
+    "stream_cogroup_counts": """
+WITH k AS (SELECT date_trunc('second', ts) AS window_start, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT window_start, event_type, count(*) FILTER (WHERE k % 3 <> 0) AS number_inserted_rows,
+  count(*) FILTER (WHERE k % 3 = 0) AS number_rejected_rows
+FROM k GROUP BY 1, 2""",
+    "stream_late_rows": """
+WITH w AS (SELECT date_trunc('minute', ts) AS window_start, event_id % 2 = 1
+    AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 10 DAY AS late
+  FROM events)
+SELECT window_start, count(*) FILTER (WHERE NOT late) AS n, count(*) FILTER (WHERE late) AS n_late FROM w GROUP BY 1""",
+    "compressed_load": _MONITORING,
+    "glob_load": """
+WITH lines AS (SELECT l_orderkey % 10 IN (7, 8) AS bad FROM lineitem)
+SELECT '2024-01-01 00:00:00' AS "timestamp", 'START' AS event, CAST(0 AS BIGINT) AS number_inserted_rows, CAST(0 AS BIGINT) AS number_rejected_rows
+UNION ALL SELECT '2024-01-01 00:00:00', CASE WHEN count(*) FILTER (WHERE bad) > 0 THEN 'WARNING' ELSE 'SUCCESS' END,
+  count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE bad) FROM lines""",
+    "load_dead_letters": """
+SELECT CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS "timestamp",
+  CASE event_id % 5 WHEN 0 THEN 'file_not_found' WHEN 1 THEN 'no_structure' WHEN 2 THEN 'unknown_destination'
+    WHEN 3 THEN 'unknown_partition_key' ELSE 'invalid_message_format' END AS reason,
+  CAST(event_id AS VARCHAR) AS message_id FROM events""",
+    "dispatch_by_size": _FEED
+    + """, sizes AS (SELECT id, sum(strlen(line) + 1) AS size FROM feed GROUP BY id)
+    SELECT event, number_inserted_rows, number_rejected_rows FROM ends JOIN sizes ON id = message_id
+      WHERE size >= (SELECT size FROM sizes WHERE id = 'm1')
+    UNION ALL SELECT 'to the stream: ' || id, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM sizes
+      WHERE size < (SELECT size FROM sizes WHERE id = 'm1')""",
+    "publish_file": _ROUTED,
 }

@@ -31,14 +31,26 @@ from waybill.layouts import DEFAULT_EXACT_NAME, EXACT_NAME_LAYOUTS, OUT_OF_RANGE
 from waybill.operators import outputs
 from waybill.operators.joins import attach, beside_list
 from waybill.operators.lines import named_fields, outside, typed_columns
-from waybill.operators.messages import layout_of, with_text_time
+from waybill.operators.messages import layout_of, messages_frame, with_text_time
 from waybill.operators.routing import event_messages, route_by_size, rows_by_topic, rows_with_target
 from waybill.operators.tables import append, append_compatible, row_count
-from waybill.sources.files import file_sizes, read_paths, read_text_file
-from waybill.sources.topics import folder_topics, publish_to_folder
+from waybill.plans.router import dispatch
+from waybill.sources.files import read_paths, read_text_file
+from waybill.sources.listing import file_sizes
+from waybill.sources.topics import ENVELOPE, folder_topics, publish_file_to_folder, publish_to_folder
 from waybill.storage import fresh_folder
+from waybill.streaming.arrivals import start_loads_on_arrival
 from waybill.streaming.loader import start_file_loads, start_json_routing, start_roads
-from waybill.streaming.windows import latest_counts, start_windowed_counts, windowed_counts
+from waybill.streaming.windows import (
+    counts_in_time,
+    late_rows,
+    latest_counts,
+    start_appended,
+    start_counts_with_late_rows,
+    start_windowed_counts,
+    windowed_cogroup,
+    windowed_counts,
+)
 
 K_SCHEMA = struct(k="INTEGER")
 ROADS = {"click": "output1", "view": "output2", "purchase": "output3"}
@@ -156,7 +168,7 @@ def message_broadcast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def list_beside(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nation with the list of all regions beside it."""
-    regions = table(spark, sf_dir, "region").orderBy("r_regionkey")
+    regions = table(spark, sf_dir, "region")
     beside = beside_list(table(spark, sf_dir, "nation"), regions, "regions")
     names = F.array_join(F.transform("regions", lambda r: r["r_name"]), "|")
     return beside.select("n_nationkey", names.alias("region_names"))
@@ -480,6 +492,10 @@ def exact_name_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "message_id string, fileURL string, destination string",
     )
     ExactNameLoad(spark, targets).run(messages)
+    return _exact_named_rows(spark, targets)
+
+
+def _exact_named_rows(spark: SparkSession, targets) -> DataFrame:
     colors = spark.table(targets.result("colors"))
     heights = spark.table(targets.result("heights"))
     return colors.select(
@@ -492,6 +508,182 @@ def exact_name_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inferred_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per nation, loaded by one run into one table: of four nations one has text where the
+    others have numbers, one truth values, one nothing but a blank line and one no file."""
+    folder = fresh_folder(spark, "nations")
+    nation, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")
+    score = F.when(nation == 7, "none yet").when(nation == 8, "true").otherwise(F.concat(key, F.lit(".5")))
+    customers = table(spark, sf_dir, "customer").select("c_nationkey", key.alias("custkey"), F.col("c_name").alias("name"), score.alias("score"))
+    customers.filter(~nation.isin(9, 10)).repartition("c_nationkey").write.partitionBy("c_nationkey").option("header", True).csv(folder)
+    customers.filter(nation == 9).agg(F.lit("").alias("value")).write.text(f"{folder}/c_nationkey=9")
+    messages = table(spark, sf_dir, "nation").select(
+        F.to_json(
+            F.struct(F.concat(F.lit(f"{folder}/c_nationkey="), "n_nationkey").alias("fileURL"), F.lit("people").alias("destination"))
+        ).alias("value"),
+        F.format_string("m%02d", "n_nationkey").alias("message_id"),
+        F.lit(TIMESTAMP).alias("message_ts"),
+    )
+    targets = scratch_targets(spark)
+    InferredLoad(spark, targets).run(messages)
+    people, letters = spark.table(targets.result("people")), spark.table(targets.dead_letters)
+    none = F.lit(None)
+    return people.select(
+        none.cast("string").alias("message_id"), none.cast("string").alias("reason"), "custkey", "name", "score"
+    ).unionByName(
+        letters.select(
+            "message_id", "reason", none.cast("bigint").alias("custkey"), none.cast("string").alias("name"), none.cast("double").alias("score")
+        )
+    )
+
+
+def stream_exact_name_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and the arrivals of their files as two streams; one file never arrives."""
+    folder = fresh_folder(spark, "arrivals")
+    customers = table(spark, sf_dir, "customer")
+    lines = customers.select(F.concat_ws(",", "c_name", "c_nationkey", "c_custkey", "c_mktsegment").alias("h"))
+    for name in ("tabledata2.csv", "other.csv"):
+        write_raw(lines, f"{folder}/{name}")
+
+    def envelopes(*rows: tuple) -> DataFrame:
+        frame = spark.createDataFrame(rows, "value string, message_id string, at string")
+        return frame.select("value", "message_id", F.to_timestamp(F.concat("at", F.lit("Z"))).alias("message_ts"))
+
+    def message(name: str, destination: str) -> str:
+        return json.dumps({"address": f"{folder}/{name}", "destination": destination})
+
+    end = "2024-01-02 00:00:00"  # a day later, all that is still alone stays so
+    publish_to_folder(
+        envelopes(
+            (message("tabledata2.csv", "colors"), "1", "2024-01-01 00:00:00"), (message("other.csv", "heights"), "2", "2024-01-01 00:00:05"),
+            (message("none.csv", "heights"), "3", "2024-01-01 00:00:06"), ("{", "4", "2024-01-01 00:00:07"), (message("end", "x"), "5", end),
+        ), "messages", f"{folder}/messages",
+    )
+    publish_to_folder(
+        envelopes(
+            (json.dumps({"file": f"{folder}/tabledata2.csv"}), "a", "2024-01-01 00:01:00"),
+            (json.dumps({"file": f"{folder}/other.csv"}), "b", "2023-12-31 23:59:00"), (json.dumps({"file": f"{folder}/last"}), "c", end),
+        ), "files", f"{folder}/files",
+    )
+    targets = scratch_targets(spark)
+    start_loads_on_arrival(
+        folder_topics(spark, f"{folder}/messages"), folder_topics(spark, f"{folder}/files"), ExactNameLoad(spark, targets),
+        "arrive_" + targets.results, f"{folder}/checkpoint",
+    ).awaitTermination()
+    letters = spark.table(targets.dead_letters).select(
+        F.lit("dead_letters").alias("table_name"), F.col("message_id").alias("name"), F.lit(None).cast("bigint").alias("age"),
+        F.col("reason").alias("color"), F.lit(None).cast("double").alias("height"),
+    )
+    return _exact_named_rows(spark, targets).unionByName(letters)
+
+
+def _event_stream(spark: SparkSession, events: DataFrame, folder: str, files_per_batch: int = 1_000) -> DataFrame:
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+
+
+def stream_cogroup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose number is no multiple of three as valid, the others as rejected: two streams, counted
+    per second and type and brought together."""
+    folder = fresh_folder(spark, "cogroup")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type", parse_json(F.col("props"), K_SCHEMA)["k"].alias("k")
+    )
+    rows.write.parquet(f"{folder}/events")
+    # A row of a later day on both sides closes all windows before it, and is in none that closes.
+    after = rows.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    last = after.select("ts", F.lit("end").alias("event_type"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"))).alias("k"))
+    last.write.mode("append").parquet(f"{folder}/events")
+    stream = _event_stream(spark, rows, f"{folder}/events")
+    counts = windowed_cogroup(stream.filter("k % 3 <> 0"), stream.filter("k % 3 = 0"), "ts", ["event_type"])
+    start_appended(counts, f"{folder}/counts", f"{folder}/checkpoint", "cogroup_" + folder[-12:]).awaitTermination()
+    found = spark.read.parquet(f"{folder}/counts/batch=*")
+    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of even ids, then those of odd ids, of which many come too late: per minute the rows counted
+    and the late ones, which together are all events."""
+    folder = fresh_folder(spark, "late")
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    for rest in (0, 1):
+        events.filter(F.pmod("event_id", F.lit(2)) == rest).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    stream = _event_stream(spark, events, f"{folder}/events", 1)
+    settings = {"window": "60 seconds", "lateness": "10 days"}
+    start_counts_with_late_rows(
+        stream, "ts", f"{folder}/out", f"{folder}/checkpoint", "late_" + folder[-12:], **settings
+    ).awaitTermination()
+    late = windowed_counts(late_rows(spark, f"{folder}/out", events.schema), "ts", window="60 seconds", count="n_late")
+    counted = counts_in_time(spark, f"{folder}/out", **settings)
+    zero = F.lit(0).cast("bigint")
+    return counted.join(late, "window_start", "full_outer").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.coalesce("n", zero).alias("n"),
+        F.coalesce("n_late", zero).alias("n_late"),
+    )
+
+
+def compressed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring table after a load of gzip files."""
+    folder = write_feed_files(spark, sf_dir, compression="gzip")
+    targets = scratch_targets(spark, DEFAULT_REGISTRY)
+    FileLoad(spark, targets).run(feed_messages(spark, folder))
+    return spark.table(targets.monitoring)
+
+
+def glob_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring table after a load of all files of one pattern by one message."""
+    folder = write_lineitem_files(spark, sf_dir)
+    targets = scratch_targets(spark, LINEITEM_REGISTRY)
+    message = {"fileURL": f"{folder}/lineitem_*.csv", "destination": "lineitem", "id": "all", "timestamp": TIMESTAMP}
+    FileLoad(spark, targets, LINEITEM_REGISTRY).run(messages_frame(spark, [message]))
+    return spark.table(targets.monitoring)
+
+
+def load_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of messages made from the events, which name no file or are no messages."""
+    url = "'{\"fileURL\": \"" + fresh_folder(spark, "nothing") + "/'"
+    envelopes = table(spark, sf_dir, "events").selectExpr(
+        f"""CASE event_id % 5
+              WHEN 0 THEN concat({url}, 'client', event_id, '.csv", "destination": "age"}}')
+              WHEN 1 THEN concat({url}, 'unknown', event_id, '.csv", "destination": "age"}}')
+              WHEN 2 THEN concat({url}, 'client', event_id, '.csv", "destination": "nowhere"}}')
+              WHEN 3 THEN concat({url}, 'client', event_id, '.csv", "destination": "age", "partition_key": "SIZE", "partition_depth": [1, 2]}}')
+              ELSE concat({url}, event_id) END AS value""",
+        "CAST(event_id AS STRING) AS message_id",
+        "CAST(ts AS TIMESTAMP) AS message_ts",
+    )
+    targets = scratch_targets(spark, DEFAULT_REGISTRY)
+    FileLoad(spark, targets).run(parse_messages(envelopes))
+    return spark.table(targets.dead_letters).select("timestamp", "reason", "message_id")
+
+
+def dispatch_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed files by their size: of those at or above the size of the file for ``telephone`` the load's
+    end records, of the others the messages that went to the topic of small files."""
+    folder = write_feed_files(spark, sf_dir, header=False)
+    threshold = file_sizes(spark, [f"{folder}/telephone2.csv"]).agg(F.sum("length")).first()[0]
+    targets = scratch_targets(spark, DEFAULT_REGISTRY)
+    dispatch(
+        feed_messages(spark, folder), lambda rows: publish_to_folder(rows, "small", f"{folder}/topic"),
+        FileLoad(spark, targets, skip_header_lines=0), threshold,
+    )
+    loaded = spark.table(targets.monitoring).filter("event <> 'START'")
+    published = spark.read.schema(ENVELOPE).json(f"{folder}/topic")
+    none = F.lit(None).cast("bigint")
+    return loaded.select("event", "number_inserted_rows", "number_rejected_rows").unionByName(
+        published.select(F.concat(F.lit("to the stream: "), "message_id").alias("event"), none.alias("number_inserted_rows"), none.alias("number_rejected_rows"))
+    )
+
+
+def publish_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lines of a text file, each sent to a topic as a message and routed from there."""
+    folder = fresh_folder(spark, "publish")
+    event_payloads(spark, sf_dir).select("value").write.text(f"{folder}/messages.json")
+    publish_file_to_folder(spark, f"{folder}/messages.json", "rows", f"{folder}/topic")
+    rows = rows_with_target(spark.read.schema(ENVELOPE).json(f"{folder}/topic"), K_SCHEMA)
+    return rows.filter("problem = ''").groupBy("target").agg(F.count("*").alias("n"), F.sum("k").alias("sum_k"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -503,6 +695,8 @@ QUERIES = {
         tumbling_1s, tumbling_60s, header_skip, path_collection_lines, feed_file_sizes, batch_load_monitoring,
         batch_load_rows, batch_load_rejects, load_table_counts, lineitem_file_load, batch_load_limited, stream_load_monitoring,
         dynamic_route_tables, three_road_tables, stream_tumbling_1s, append_create_if_needed,
-        append_create_never, inferred_schema_load, schema_checked_append, exact_name_load,
+        append_create_never, inferred_schema_load, schema_checked_append, exact_name_load, inferred_many_files,
+        stream_exact_name_load, stream_cogroup_counts, stream_late_rows, compressed_load, glob_load, load_dead_letters,
+        dispatch_by_size, publish_file,
     )
 }

@@ -43,7 +43,10 @@ def test_tables_by_load_replace_their_part(spark, targets):
     append(spark.sql("SELECT 1 AS a"), table, load_id="one")
     append(spark.sql("SELECT 2 AS a"), table, load_id="two")
     append(spark.sql("SELECT 3 AS a"), table, load_id="one")
-    assert rows(spark, table) == [(2, "two"), (3, "one")]
+    assert rows(spark, table) == [(2, "two", "rows"), (3, "one", "rows")]
+    append(spark.sql("SELECT 4 AS a"), table, load_id="it's", step="a\\b")
+    append(spark.sql("SELECT 5 AS a"), table, load_id="it's", step="a\\b")
+    assert spark.table(table).filter("a > 3").count() == 1
 
 
 def test_schema_gaps():
@@ -88,7 +91,7 @@ def test_a_broken_load_continues(spark, targets, tmp_path, monkeypatch):
     load.run(frame, f"broken-{targets.results}")
     assert [r[:2] for r in rows(spark, targets.result("age"))] == [("Ann", 20)]
     assert spark.table(targets.reject("age")).count() == 1
-    assert rows(spark, targets.monitoring) == [("t", "START", 0, 0), ("t", "WARNING", 1, 1)]
+    assert [r[:4] for r in rows(spark, targets.monitoring)] == [("t", "START", 0, 0), ("t", "WARNING", 1, 1)]
     folder = LoadFolder(spark, f"broken-{targets.results}")
     assert [s.name for s in SharedFiles(spark).children(folder.path)] == ["done"]
 
@@ -141,8 +144,13 @@ def test_inferred_load(spark, targets, tmp_path):
     reasons = sorted((r["message_id"], r["reason"]) for r in spark.table(made.dead_letters).collect())
     assert reasons == [("2", "file_not_found"), ("3", "invalid_message_format"), ("4", "invalid_message_format")]
     (tmp_path / "c.csv").write_text("name,age,height\nDan,x,1\n")
+    wrong = envelope(spark, {"fileURL": f"{tmp_path}/c.csv", "destination": "people"})
+    load.run(wrong)
+    reasons = [r["reason"] for r in spark.table(made.dead_letters).filter("message_id = '0'").collect()]
+    assert reasons == ["schema_mismatch: age: STRING in the file, INTEGER in the table"]
     with pytest.raises(SchemaMismatch, match="age: STRING"):
-        load.run(envelope(spark, {"fileURL": f"{tmp_path}/c.csv", "destination": "people"}))
+        InferredLoad(spark, made, strict=True).run(wrong)
+    assert spark.table(made.result("people")).count() == 3
 
 
 def test_exact_name_load(spark, targets, tmp_path):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,20 +33,32 @@ def json_field(text: Column, name: str) -> Column:
     return F.get_json_object(text, f"$.{name}")
 
 
-def is_json_string(text: Column, name: str) -> Column:
-    """True if the top-level field is there and is a JSON string (``from_json`` alone
+def parsed_once(df: DataFrame, column: Column, name: str) -> DataFrame:
+    """The frame with a parsed value that is worked out once a row, however often its parts are used.
+
+    The one-element explode is what the optimizer does not look through: without it, every use of a
+    field becomes a parse of its own.
+    """
+    return df.withColumn(name, F.explode(F.array(column)))
+
+
+def json_value(text: Column) -> Column:
+    """The text as a VARIANT, NULL if it is no JSON."""
+    return F.try_parse_json(text)
+
+
+def string_field(value: Column, name: str) -> Column:
+    """A top-level field of a parsed object if it is a JSON string, else NULL (``from_json`` alone
     would turn a number into text)."""
-    found = F.try_variant_get(F.try_parse_json(text), f"$.{name}", "variant")
-    return F.coalesce(F.schema_of_variant(found) == "STRING", F.lit(False))
+    found = F.try_variant_get(value, f"$.{name}", "variant")
+    return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(value, f"$.{name}", "string"))
 
 
-def has_only_keys(text: Column, required: Iterable[str], optional: Iterable[str] = ()) -> Column:
-    """True if the object has every required key and no key outside the two lists."""
+def has_only_keys(value: Column, required: Iterable[str], optional: Iterable[str] = ()) -> Column:
+    """True if the parsed object has every required key and no key outside the two lists."""
     required, optional = list(required), list(optional)
-    keys = F.json_object_keys(text)
+    keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+    needed = F.array(*[F.lit(k) for k in required])
     allowed = F.array(*[F.lit(k) for k in required + optional])
-    return F.coalesce(
-        (F.size(F.array_except(F.array(*[F.lit(k) for k in required]), keys)) == 0)
-        & (F.size(F.array_except(keys, allowed)) == 0),
-        F.lit(False),
-    )
+    only = (F.size(F.array_except(needed, keys)) == 0) & (F.size(F.array_except(keys, allowed)) == 0)
+    return F.coalesce(only, F.lit(False))

@@ -28,11 +28,6 @@ def base_name(url: Column) -> Column:
     return last_part(url, "/")
 
 
-def bare_table_name(table: Column) -> Column:
-    """Table name without project, catalog or database."""
-    return last_part(table, ".")
-
-
 def bucket_of(url: Column) -> Column:
     return F.regexp_extract(url, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/]*)", 1)
 

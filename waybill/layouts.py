@@ -30,6 +30,10 @@ UNKNOWN_DESTINATION = "unknown_destination"
 UNKNOWN_KEY = "unknown_partition_key"
 INVALID_BOUNDS = "invalid_partition_bounds"
 FILE_NOT_FOUND = "file_not_found"
+HIDDEN_FILE = "hidden_file"
+EMPTY_FILE = "empty_file"
+NO_KIND = "no_declared_kind"
+SCHEMA_MISMATCH = "schema_mismatch"
 INVALID_TABLE_NAME = "invalid_table_name"
 
 # A file of this many bytes or more goes to the batch load (fixed value).
@@ -49,15 +53,31 @@ def kind_of(data_type: T.DataType) -> str:
     raise ValueError(f"no declared kind for type {data_type.simpleString()}")
 
 
+DEFAULT_ENCODING = "utf-8"
+# Encodings in which a line end is the one byte that lines are split at.
+ENCODINGS = (DEFAULT_ENCODING, "us-ascii", "iso-8859-1")
+LINE_END = "\r\n"
+"""Lines end at ``\\n``; a ``\\r`` before it belongs to the line end."""
+
+
 @dataclass(frozen=True)
 class SourceLayout:
-    """Fields of a source file, found by file-name prefix (a regular expression)."""
+    """Fields of a source file, found by file-name prefix (a regular expression).
+
+    ``encoding`` is one of ``ENCODINGS``; ``delimiter``, the line end, can only be ``LINE_END``.
+    """
 
     prefix: str
     schema: T.StructType
     max_bad_rows: int = 0
-    delimiter: str = "\r\n"
-    encoding: str = "utf-8"
+    delimiter: str = LINE_END
+    encoding: str = DEFAULT_ENCODING
+
+    def __post_init__(self) -> None:
+        if self.delimiter != LINE_END:
+            raise ValueError(f"line end {self.delimiter!r}: only {LINE_END!r} is read")
+        if self.encoding not in ENCODINGS:
+            raise ValueError(f"encoding {self.encoding!r}: not one of {ENCODINGS}")
 
     def position(self, column: str) -> int | None:
         names = self.schema.names

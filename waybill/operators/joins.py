@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -57,13 +56,13 @@ def attach(
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def beside_list(df: DataFrame, side: DataFrame, name: str = "side") -> DataFrame:
-    """Every row with the whole list of another frame's rows beside it.
+def beside_list(df: DataFrame, side: DataFrame, name: str = "side", salts: int = LINE_SALTS) -> DataFrame:
+    """Every row with the list of another frame's rows beside it, sorted by their columns in order.
 
-    The list becomes a constant of the plan, so it must be within the broadcast bound.
+    The list is one value of each row by its nature; it is made and handed out by Spark, once per
+    salt, and meets the rows in a join on the salt.
     """
-    size = measure(side)
-    if not size.fits:
-        raise ValueError(f"side frame has {size.rows} rows, {size.bytes} bytes: too big for a list")
-    texts = "[" + ",".join(side.toJSON().collect()) + "]"
-    return df.withColumn(name, F.from_json(F.lit(texts), T.ArrayType(side.schema)))
+    values = side.agg(F.sort_array(F.collect_list(F.struct(*side.columns))).alias(name))
+    dealt = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return salted.join(dealt, "_salt").drop("_salt")

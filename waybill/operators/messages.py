@@ -6,7 +6,9 @@ Frames of messages carry ``message_id``, ``message_ts``, the message fields and
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+import json
+import re
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 import pyarrow as pa
@@ -17,12 +19,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from waybill import layouts
 from waybill.functions.casts import to_float
-from waybill.functions.payload import CORRUPT, has_only_keys, is_json_string, parse_json, payload_text
+from waybill.functions.payload import (
+    CORRUPT,
+    has_only_keys,
+    json_value,
+    parse_json,
+    parsed_once,
+    payload_text,
+    string_field,
+)
 from waybill.functions.text import base_name, utc_text
-from waybill.layouts import MESSAGE_SCHEMA, Registry, SourceLayout
+from waybill.layouts import MESSAGE_SCHEMA, Registry
 
 REQUIRED_KEYS = ("fileURL", "destination")
 PREDICATE_KEYS = ("partition_depth", "partition_key")
+ALIASED_KEYS = ("address", "destination")
+TABLE_NAME = r"\A[A-Za-z0-9_]+\z"
 
 _LONG_MAX = 2**63 - 1
 _LONG_MIN = -(2**63)
@@ -36,33 +48,22 @@ MESSAGES_FRAME_SCHEMA = T.StructType(
 )
 
 
-def is_valid_message(text: Column, optional_keys: Iterable[str] = ()) -> Column:
-    """True for an object with exactly the required keys (plus optional ones), all text."""
-    checks = [has_only_keys(text, REQUIRED_KEYS, optional_keys)]
-    checks += [is_json_string(text, key) for key in REQUIRED_KEYS]
-    return reduce(Column.__and__, checks)
-
-
 def parse_messages(envelopes: DataFrame, strict_keys: bool = False) -> DataFrame:
     """Envelopes (``value, message_id, message_ts``) to messages.
 
     A message that is no JSON object, or whose URL or destination is missing or not text,
     gets the problem ``invalid_message_format``; with ``strict_keys`` so does one with a
-    key nobody knows.
+    key nobody knows. Each message is parsed once as it is declared and once as it is written.
     """
     text = payload_text(F.col("value"))
-    valid = is_valid_message(text, PREDICATE_KEYS) if strict_keys else reduce(
-        Column.__and__, [is_json_string(text, key) for key in REQUIRED_KEYS]
-    )
-    parsed = envelopes.select(
-        F.col("message_id").cast("string").alias("message_id"),
-        "message_ts",
-        text.alias("message"),
-        parse_json(text, MESSAGE_SCHEMA).alias("_m"),
-        valid.alias("_valid"),
-    )
-    well_formed = F.col("_valid") & F.col(f"_m.{CORRUPT}").isNull()
-    return parsed.select(
+    parsed = envelopes.select(F.col("message_id").cast("string").alias("message_id"), "message_ts", text.alias("message"))
+    parsed = parsed_once(parsed, parse_json(F.col("message"), MESSAGE_SCHEMA), "_m")
+    value = F.col("_v")
+    valid = reduce(Column.__and__, [string_field(value, key).isNotNull() for key in REQUIRED_KEYS])
+    if strict_keys:
+        valid &= has_only_keys(value, REQUIRED_KEYS, PREDICATE_KEYS)
+    well_formed = F.coalesce(valid, F.lit(False)) & F.col(f"_m.{CORRUPT}").isNull()
+    return parsed_once(parsed, json_value(F.col("message")), "_v").select(
         "message_id",
         "message_ts",
         "message",
@@ -71,6 +72,27 @@ def parse_messages(envelopes: DataFrame, strict_keys: bool = False) -> DataFrame
     )
 
 
+def located_messages(envelopes: DataFrame, also: Iterable[str] = ()) -> DataFrame:
+    """Messages of exactly a URL (``fileURL``, or ``address``) and a destination, all text, parsed
+    once: ``message_id, message_ts, message, fileURL, destination, problem``, and the columns
+    ``also`` of the envelopes."""
+    text = payload_text(F.col("value"))
+    number = F.col("message_id").cast("string").alias("message_id")
+    own = with_text_time(envelopes).select(number, "message_ts", text.alias("message"), *also)
+    value = F.col("_v")
+    url = F.when(has_only_keys(value, REQUIRED_KEYS), string_field(value, "fileURL")).when(
+        has_only_keys(value, ALIASED_KEYS), string_field(value, "address")
+    )
+    read = parsed_once(own, json_value(F.col("message")), "_v").select(
+        "message_id", "message_ts", "message", url.alias("fileURL"), string_field(value, "destination").alias("destination"), *also
+    )
+    complete = F.col("fileURL").isNotNull() & F.col("destination").isNotNull()
+    problem = F.when(~complete, layouts.INVALID_MESSAGE).when(
+        ~F.col("destination").rlike(TABLE_NAME), layouts.INVALID_TABLE_NAME
+    )
+    return read.withColumn("problem", F.coalesce(problem, F.lit("")))
+
+
 def messages_frame(spark: SparkSession, messages: Iterable[Mapping]) -> DataFrame:
     """Messages given as parameters (``fileURL, destination, timestamp, id`` and, if wanted,
     ``partition_depth, partition_key``), for batch loads."""
@@ -90,6 +112,16 @@ def messages_frame(spark: SparkSession, messages: Iterable[Mapping]) -> DataFram
     )
 
 
+def with_problem(messages: DataFrame) -> DataFrame:
+    """Messages given as parameters with the columns of parsed ones: their text, and no problem."""
+    if "problem" not in messages.columns:
+        messages = messages.withColumn("problem", F.lit(""))
+    if "message" not in messages.columns:
+        fields = F.struct(*[F.col(n) for n in MESSAGE_SCHEMA.names if n in messages.columns])
+        messages = messages.withColumn("message", F.to_json(fields))
+    return messages
+
+
 def with_text_time(messages: DataFrame) -> DataFrame:
     """``message_ts`` as the text that the tables store; text given by the caller stays."""
     kind = messages.schema["message_ts"].dataType
@@ -98,30 +130,47 @@ def with_text_time(messages: DataFrame) -> DataFrame:
     return messages.withColumn("message_ts", utc_text(F.col("message_ts"), kind == T.TimestampType()))
 
 
-def layout_of(file_name: Column, registry: Registry) -> Column:
-    """Prefix of the first layout that matches the start of a file name, or NULL."""
-    choice = F.lit(None).cast("string")
-    for layout in reversed(registry.sources):
-        choice = F.when(file_name.rlike(f"^(?:{layout.prefix})"), F.lit(layout.prefix)).otherwise(choice)
-    return choice
+_ENTRY = T.StructType(
+    [
+        T.StructField("prefix", T.StringType()),
+        T.StructField("is_text", T.BooleanType()),
+        T.StructField("names", T.ArrayType(T.StringType())),
+        T.StructField("kinds", T.ArrayType(T.StringType())),
+    ]
+)
+_PATTERN_CHARACTER = re.compile(r"[\\^$.|?*+()\[\]{}]")
+
+
+def layout_entries(registry: Registry) -> Column:
+    """The layouts of a registry in their order, as one constant: a plan that looks layouts up does
+    not grow with their number."""
+    entries = [
+        {
+            "prefix": layout.prefix,
+            "is_text": not _PATTERN_CHARACTER.search(layout.prefix),
+            "names": layout.schema.names,
+            "kinds": [layouts.kind_of(f.dataType) for f in layout.schema.fields],
+        }
+        for layout in registry.sources
+    ]
+    return F.from_json(F.lit(json.dumps(entries)), T.ArrayType(_ENTRY))
+
 
+def entry_of(file_name: Column, registry: Registry) -> Column:
+    """The first layout that matches the start of a file name, as an entry, or NULL. Prefixes without
+    pattern characters are compared as text."""
 
-def _per_layout(layout: Column, registry: Registry, value: Callable[[SourceLayout], object]) -> Column:
-    """A value of the message's layout, NULL without a layout."""
-    choice = F.lit(None)
-    for source in registry.sources:
-        choice = F.when(layout == source.prefix, F.lit(value(source))).otherwise(choice)
-    return choice
+    def fits(entry: Column) -> Column:
+        return F.when(entry["is_text"], F.startswith(file_name, entry["prefix"])).otherwise(
+            F.regexp_like(file_name, F.concat(F.lit("^(?:"), entry["prefix"], F.lit(")")))
+        )
 
+    return F.get(F.filter(layout_entries(registry), fits), F.lit(0))
 
-def _per_key(layout: Column, key: Column, registry: Registry, value: Callable[[T.StructType, int], object]) -> Column:
-    """A value of the predicate column, NULL if the layout has no such column."""
-    choice = F.lit(None)
-    for source in registry.sources:
-        for i, column in enumerate(source.schema.names):
-            hit = (layout == source.prefix) & (key == column)
-            choice = F.when(hit, F.lit(value(source.schema, i))).otherwise(choice)
-    return choice
+
+def layout_of(file_name: Column, registry: Registry) -> Column:
+    """Prefix of the first layout that matches the start of a file name, or NULL."""
+    return entry_of(file_name, registry)["prefix"]
 
 
 def _lower_long(bound: Column) -> Column:
@@ -144,24 +193,20 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
 
     The range predicate is there only if both bounds and key are.
     """
-    if "problem" not in messages.columns:
-        messages = messages.withColumn("problem", F.lit(""))
-    if "message" not in messages.columns:
-        fields = F.struct(*[F.col(n) for n in MESSAGE_SCHEMA.names])
-        messages = messages.withColumn("message", F.to_json(fields))
-    messages = with_text_time(messages)
-
+    messages = with_text_time(with_problem(messages))
     key, bounds = F.col("partition_key"), F.col("partition_depth")
     messages = messages.withColumn("source_file", base_name(F.col("fileURL")))
-    messages = messages.withColumn("layout", layout_of(F.col("source_file"), registry))
+    messages = parsed_once(messages, entry_of(F.col("source_file"), registry), "_entry")
+    entry, layout = F.col("_entry"), F.col("layout")
+    messages = messages.withColumn("layout", entry["prefix"])
     has_predicate = key.isNotNull() & bounds.isNotNull()
-    layout = F.col("layout")
-    key_kind = _per_key(layout, key, registry, lambda schema, i: layouts.kind_of(schema[i].dataType))
+    place = F.array_position(entry["names"], key).cast("int") - 1
+    key_position = F.when(has_predicate & (place >= 0), place)
     messages = messages.withColumns(
         {
-            "n_fields": _per_layout(layout, registry, lambda source: len(source.schema.names)),
-            "key_kind": F.when(has_predicate, key_kind),
-            "key_position": F.when(has_predicate, _per_key(layout, key, registry, lambda _, i: i)),
+            "n_fields": F.when(layout.isNotNull(), F.size(entry["names"])),
+            "key_kind": F.get(entry["kinds"], key_position),
+            "key_position": key_position,
             "lower": F.when(has_predicate, F.get(bounds, F.lit(0))),
             "upper": F.when(has_predicate, F.get(bounds, F.lit(1))),
         }
@@ -187,7 +232,7 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
             "lower_double": F.when((kind == "FLOAT") & ~F.isnan(to_float(lower)), to_float(lower)),
             "upper_double": F.when((kind == "FLOAT") & ~F.isnan(to_float(upper)), to_float(upper)),
         }
-    )
+    ).drop("_entry")
 
 
 LINE_CONTEXT = (

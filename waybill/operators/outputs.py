@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
-from waybill.functions.text import list_text
+from waybill.functions.text import identifier, list_text
 from waybill.layouts import MONITORING_SCHEMA, REJECT_SCHEMA, Registry
 from waybill.operators.joins import LINE_SALTS, attach
 
@@ -105,7 +105,7 @@ def conform(df: DataFrame, schema: T.StructType, unknown: str = "drop") -> DataF
         raise ValueError(f"columns unknown to the table: {sorted(extra)}")
     return df.select(
         *[
-            (F.col(f"`{by_name[f.name.lower()]}`") if f.name.lower() in by_name else F.lit(None))
+            (F.col(identifier(by_name[f.name.lower()])) if f.name.lower() in by_name else F.lit(None))
             .cast(f.dataType)
             .alias(f.name)
             for f in schema.fields

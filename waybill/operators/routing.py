@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
-from waybill.functions.payload import CORRUPT, decode_event, parse_json, payload_text
+from waybill.functions.payload import CORRUPT, decode_event, parse_json, parsed_once, payload_text
 from waybill.functions.text import utc_text
 from waybill.layouts import BATCH_SIZE_THRESHOLD, JSON_LOG_SCHEMA, MESSAGE_SCHEMA
+from waybill.operators.messages import TABLE_NAME
 
 STREAM, BATCH = "stream", "batch"
 ORIGIN = ("_message_id", "_message_ts")
-TABLE_NAME = r"\A[A-Za-z0-9_]+\z"
 
 
 def size_route(length: Column, threshold: int = BATCH_SIZE_THRESHOLD) -> Column:
@@ -37,10 +37,8 @@ def route_by_size(messages: DataFrame, sizes: DataFrame, threshold: int = BATCH_
 
 def event_messages(events: DataFrame) -> DataFrame:
     """Base64 trigger events (``data, message_id, message_ts``) to messages."""
-    text = decode_event(F.col("data"))
-    return events.select(
-        "message_id", "message_ts", text.alias("message"), parse_json(text, MESSAGE_SCHEMA).alias("_m")
-    ).select(
+    decoded = events.select("message_id", "message_ts", decode_event(F.col("data")).alias("message"))
+    return parsed_once(decoded, parse_json(F.col("message"), MESSAGE_SCHEMA), "_m").select(
         "message_id",
         "message_ts",
         "message",
@@ -79,7 +77,7 @@ def rows_with_target(
     text = payload_text(F.col("value"))
     with_target = T.StructType([*schema.fields, T.StructField(field, T.StringType())])
     origin = origin_of(envelopes) if with_origin else []
-    parsed = envelopes.select(*origin, text.alias("message"), parse_json(text, with_target).alias("_r"))
+    parsed = parsed_once(envelopes.select(*origin, text.alias("message")), parse_json(F.col("message"), with_target), "_r")
     target = F.col(f"_r.{field}")
     problem = (
         F.when(F.col(f"_r.{CORRUPT}").isNotNull() | target.isNull(), layouts.INVALID_MESSAGE)
@@ -108,10 +106,9 @@ def rows_by_topic(
     for topic, table in roads.items():
         target = F.when(F.col("topic") == topic, F.lit(table)).otherwise(target)
     parsed = envelopes.filter(F.col("topic").isin(*roads)).select(
-        *(origin_of(envelopes) if with_origin else []),
-        text.alias("message"), parse_json(text, schema).alias("_r"), target.alias("target")
+        *(origin_of(envelopes) if with_origin else []), text.alias("message"), target.alias("target")
     )
-    return parsed.select(
+    return parsed_once(parsed, parse_json(F.col("message"), schema), "_r").select(
         *[F.col(f"_r.{n}").alias(n) for n in schema.names],
         "target",
         "message",

@@ -14,8 +14,9 @@ from waybill.layouts import DEAD_LETTER_SCHEMA, MONITORING_SCHEMA, REJECT_SCHEMA
 from waybill.operators.outputs import conform
 from waybill.storage import SharedFiles, shared_root
 
-LOAD_ID = "load_id"
-"""Name of an optional partition column; a table that has it is written idempotently."""
+LOAD_ID, STEP = "load_id", "step"
+"""Optional partition columns. What a step of a load writes to a table that has them replaces what
+the same step wrote before, so that a step repeated after a crash leaves no second copy."""
 
 
 class SchemaMismatch(ValueError):
@@ -37,6 +38,12 @@ class Targets:
     create: bool = False
     """False: a missing table is an error. True: it is created from its layout."""
     source: str = "parquet"
+    by_load: bool = False
+    """Tables that are created get the partition columns ``load_id`` and ``step``."""
+
+    def append(self, df: DataFrame, table: str, schema: T.StructType, load_id: str, step: str) -> None:
+        """What one step of a load writes to one table."""
+        append(df, table, schema if self.create else None, self.source, "drop", load_id, step, self.by_load)
 
     def result(self, table: str) -> str:
         return quoted(self.results, table)
@@ -56,11 +63,11 @@ class Targets:
 def create_table(
     spark: SparkSession, table: str, schema: T.StructType, source: str = "parquet", by_load: bool = False
 ) -> None:
-    """Creates the table unless it is there. ``by_load`` adds the ``load_id`` partition."""
+    """Creates the table unless it is there. ``by_load`` adds the partitions ``load_id, step``."""
     columns = [f"{identifier(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
     if by_load:
-        columns.append(f"`{LOAD_ID}` string")
-    partition = f" PARTITIONED BY (`{LOAD_ID}`)" if by_load else ""
+        columns += [f"`{name}` string" for name in (LOAD_ID, STEP)]
+    partition = f" PARTITIONED BY (`{LOAD_ID}`, `{STEP}`)" if by_load else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING {source}{partition}")
 
 
@@ -71,8 +78,8 @@ def create_load_tables(spark: SparkSession, targets: Targets, registry: Registry
     for name, schema in registry.tables.items():
         create_table(spark, targets.result(name), schema, targets.source, by_load)
         create_table(spark, targets.reject(name), REJECT_SCHEMA, targets.source, by_load)
-    create_table(spark, targets.monitoring, MONITORING_SCHEMA, targets.source)
-    create_table(spark, targets.dead_letters, DEAD_LETTER_SCHEMA, targets.source)
+    create_table(spark, targets.monitoring, MONITORING_SCHEMA, targets.source, by_load)
+    create_table(spark, targets.dead_letters, DEAD_LETTER_SCHEMA, targets.source, by_load)
 
 
 def append(
@@ -82,27 +89,32 @@ def append(
     source: str = "parquet",
     unknown: str = "drop",
     load_id: str | None = None,
+    step: str = "rows",
+    by_load: bool = False,
 ) -> None:
     """Appends a frame to a table, by column name.
 
-    Without ``create_as`` a missing table is an error; with it the table is created. A
-    table partitioned by ``load_id`` has that load's partition replaced, so that a
-    repeated load leaves no second copy.
+    Without ``create_as`` a missing table is an error; with it the table is created. In a table
+    partitioned by ``load_id`` (and ``step``) that part is replaced, so that a repeated step leaves
+    no second copy.
     """
     spark = df.sparkSession
     if create_as is not None:
-        create_table(spark, table, create_as, source)
+        create_table(spark, table, create_as, source, by_load)
     schema = spark.table(table).schema
-    if LOAD_ID in schema.names and load_id is not None and LOAD_ID not in df.columns:
-        data = T.StructType([f for f in schema.fields if f.name != LOAD_ID])
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (`{LOAD_ID}` = '{load_id}') SELECT * FROM {{rows}}",
-            rows=conform(df, data, unknown),
-        )
+    own = {name: value for name, value in ((LOAD_ID, load_id), (STEP, step)) if name in schema.names}
+    if LOAD_ID in own and load_id is not None and LOAD_ID not in df.columns:
+        data = T.StructType([f for f in schema.fields if f.name not in own])
+        part = ", ".join(f"`{name}` = {_text_literal(value)}" for name, value in own.items())
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) SELECT * FROM {{rows}}", rows=conform(df, data, unknown))
     else:
         conform(df, schema, unknown).write.insertInto(table)
 
 
+def _text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def row_count(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).agg(F.count("*").alias("n"))
 
@@ -115,7 +127,7 @@ def schema_gaps(table: T.StructType, file: T.StructType, exact: bool = False) ->
     kinds = {f.name: kind_of(f.dataType) for f in file.fields}
     gaps = []
     for f in table.fields:
-        if f.name == LOAD_ID:
+        if f.name in (LOAD_ID, STEP):
             continue
         if f.name not in kinds:
             gaps.append(f"{f.name}: not in the file")
@@ -127,7 +139,7 @@ def schema_gaps(table: T.StructType, file: T.StructType, exact: bool = False) ->
 
 
 def append_compatible(
-    df: DataFrame, table: str, source: str = "parquet", exact: bool = False, load_id: str | None = None
+    df: DataFrame, table: str, source: str = "parquet", exact: bool = False, load_id: str | None = None, step: str = "rows"
 ) -> None:
     """Appends to a table made from the frame's schema, or checked against it."""
     spark = df.sparkSession
@@ -135,7 +147,7 @@ def append_compatible(
         gaps = schema_gaps(spark.table(table).schema, df.schema, exact)
         if gaps:
             raise SchemaMismatch(f"{table}: " + "; ".join(gaps))
-    append(df, table, create_as=df.schema, source=source, load_id=load_id)
+    append(df, table, create_as=df.schema, source=source, load_id=load_id, step=step)
 
 
 class LoadFolder:
@@ -143,7 +155,7 @@ class LoadFolder:
 
     A step that has its marker is not run again when the load is repeated with the same
     id. A crash between a step's commit and its marker would repeat that one step; tables
-    partitioned by ``load_id`` are safe from that too.
+    partitioned by ``load_id`` and ``step`` are safe from that too.
     """
 
     def __init__(self, spark: SparkSession, load_id: str):

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from waybill.layouts import DEAD_LETTER_SCHEMA, JSON_LOG_SCHEMA
 from waybill.operators.routing import ORIGIN, rows_by_topic, rows_with_target
-from waybill.operators.tables import LoadFolder, Targets, append
+from waybill.operators.tables import LoadFolder, Targets
 
 
 @dataclass
@@ -57,26 +57,20 @@ class JsonRouting:
 
         def append_one(name: str) -> None:
             part = good.filter(F.col("target") == name).select(*table_schema.names)
-            append(
-                part,
-                self.targets.result(name),
-                table_schema if self.targets.create else None,
-                self.targets.source,
-                load_id=load_id,
-            )
+            self.targets.append(part, self.targets.result(name), table_schema, load_id, "rows")
 
         names = (row[0] for row in good.select("target").distinct().toLocalIterator())
         with ThreadPoolExecutor(self.parallel_writes) as pool:
             while some := list(islice(names, 256)):
                 list(pool.map(lambda n: folder.once(f"rows-{n}", lambda: append_one(n)), some))
-        folder.once("dead_letters", lambda: self._dead_letters(stored.filter(F.col("lost"))))
+        folder.once("dead_letters", lambda: self._dead_letters(stored.filter(F.col("lost")), load_id))
         folder.finish(("rows",))
         return load_id
 
-    def _dead_letters(self, lost: DataFrame) -> None:
+    def _dead_letters(self, lost: DataFrame, load_id: str) -> None:
         number, time = ORIGIN
         letters = lost.select(
             F.col(time).alias("timestamp"), F.col("problem").alias("reason"), F.col(number).alias("message_id"), "message"
         )
         if not letters.isEmpty():
-            append(letters, self.targets.dead_letters, DEAD_LETTER_SCHEMA, self.targets.source)
+            self.targets.append(letters, self.targets.dead_letters, DEAD_LETTER_SCHEMA, load_id, "dead_letters")

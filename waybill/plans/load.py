@@ -15,13 +15,13 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
 from waybill.layouts import DEAD_LETTER_SCHEMA, DEFAULT_REGISTRY, MONITORING_SCHEMA, REJECT_SCHEMA, Registry
-from waybill.operators.joins import Size, attach
+from waybill.operators.joins import attach
 from waybill.operators.lines import attach_messages, judge_lines, typed_columns
 from waybill.operators.messages import messages_frame, prepare_messages
 from waybill.operators.outputs import (
@@ -36,8 +36,9 @@ from waybill.operators.outputs import (
     files_over_limit,
     start_records,
 )
-from waybill.operators.tables import LoadFolder, Targets, append
-from waybill.sources.files import URL_SCHEMA, MatchedFile, match_files, matches_frame, read_lines, url_frame
+from waybill.operators.tables import LoadFolder, Targets
+from waybill.sources.files import read_lines
+from waybill.sources.listing import FEW_URLS, PROBLEM_SCHEMA, Listing, list_files
 
 VALID, REJECTED = "valid", "rejected"
 
@@ -54,37 +55,42 @@ _STORED_LINES = T.StructType(
 )
 
 
-def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int, DataFrame, list[Row]]]:
-    """Messages by slices of their URLs, so that the driver lists a bounded number at a
-    time: slice number, its messages, and ``fileURL, rows, bytes`` per URL of the slice.
+def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int, DataFrame, DataFrame]]:
+    """Messages by slices of their URLs, so that a bounded number is listed at a time: slice number,
+    its messages, and ``fileURL, rows, bytes`` per URL of the slice.
 
     All messages of a URL are in one slice. ``messages`` should be a stored frame.
     """
     row = F.octet_length(F.to_json(F.struct("*")))
     sized = messages.select("fileURL", row.alias("row"))
     urls = sized.groupBy("fileURL").agg(F.count("*").alias("rows"), F.sum("row").alias("bytes"))
-    some = urls.limit(urls_per_slice + 1).collect()
-    if len(some) <= urls_per_slice:
+    few = min(FEW_URLS, urls_per_slice)
+    some = urls.limit(few + 1).collect()
+    if len(some) <= few:
         if some:
-            yield 0, messages, some
+            yield 0, messages, messages.sparkSession.createDataFrame(some, urls.schema)
         return
     slices = math.ceil(urls.count() / urls_per_slice)
     for number in range(slices):
         own = F.pmod(F.xxhash64("fileURL"), F.lit(slices)) == number
-        yield number, messages.filter(own), urls.filter(own).collect()
+        yield number, messages.filter(own), urls.filter(own)
 
 
-def bridge_of(
-    spark: SparkSession, messages: DataFrame, urls: list[Row], matches: list[MatchedFile]
-) -> tuple[DataFrame, Size]:
-    """Messages with the ``file_path`` of each of their files, and the size of that."""
-    by_url = {row["fileURL"]: row for row in urls}
-    pairs = [(by_url[m.url], form) for m in matches for form in m.forms]
-    found = Size(len(pairs), sum(len(url["fileURL"]) + len(form) for url, form in pairs))
-    bridge = attach(messages, matches_frame(spark, matches), ["fileURL"], size=found)
-    return bridge, Size(
-        sum(url["rows"] for url, _ in pairs), sum(url["bytes"] + url["rows"] * len(form) for url, form in pairs)
-    )
+def kept_slice_size(folder: LoadFolder, spark: SparkSession, urls_per_slice: int) -> int:
+    """The slice size a load began with, whatever the settings of the run that continues it."""
+    settings = spark.createDataFrame([(urls_per_slice,)], "urls_per_slice int")
+    return folder.store(settings, "settings").first()[0]
+
+
+def list_slice(spark: SparkSession, folder: LoadFolder, urls: DataFrame, number: int) -> Listing:
+    """The files of a slice's URLs; what Spark has to list for it is stored with the load."""
+    return list_files(spark, urls, lambda frame, name: folder.store(frame, f"listing/slice={number}/{name}"))
+
+
+def problem_letters(messages: DataFrame, problems: DataFrame) -> DataFrame:
+    """Messages whose URL has a problem, with that problem instead of theirs."""
+    found = problems.select("fileURL", "problem")
+    return attach(messages.drop("problem"), found, ["fileURL"]).select(*messages.columns)
 
 
 def judged_lines(
@@ -99,10 +105,9 @@ def judged_lines(
     For looking at data. Messages with a problem and URLs without a file give no lines.
     """
     ready = prepare_messages(messages, registry).filter(F.col("problem") == "")
-    urls = [row[0] for row in ready.select("fileURL").distinct().toLocalIterator()]
-    matches = match_files(spark, urls)
-    bridge = ready.join(matches_frame(spark, matches), "fileURL")
-    lines = read_lines(spark, matches, skip_header_lines)
+    listing = list_files(spark, ready.select("fileURL").distinct())
+    bridge = attach(ready, listing.matches.select("fileURL", "file_path"), ["fileURL"])
+    lines = read_lines(spark, listing, skip_header_lines)
     return judge_lines(attach_messages(lines, bridge), registry, on_cast_error)
 
 
@@ -120,7 +125,7 @@ class FileLoad:
     emit_empty_end: bool = False
     """Write an end record for files without data lines as well."""
     urls_per_slice: int = 20_000
-    """URLs whose files are listed and scanned in one go."""
+    """URLs whose files are listed and scanned in one go; a load keeps the number it began with."""
     parallel_writes: int = 8
     keep_stored_frames: bool = False
 
@@ -132,39 +137,45 @@ class FileLoad:
             return load_id
         stored = folder.store(prepare_messages(messages, self.registry), "messages")
         with ThreadPoolExecutor(self.parallel_writes) as pool:
-            start = pool.submit(folder.once, "start", lambda: self._write_starts(stored))
-            slices, missing = self._store_lines(folder, stored.filter(F.col("problem") == ""))
+            start = pool.submit(folder.once, "start", lambda: self._write_starts(stored, load_id))
+            slices, problems = self._store_lines(folder, stored.filter(F.col("problem") == ""))
             start.result()
-            steps = self._steps(folder, stored, load_id, slices, missing)
+            steps = self._steps(folder, stored, load_id, slices, problems)
             for done in [pool.submit(folder.once, step, action) for step, action in steps.items()]:
                 done.result()
             if slices:
-                folder.once("end", lambda: self._write_ends(folder, stored))
-        folder.finish(() if self.keep_stored_frames else ("messages", "settings", "missing", "lines", "over_limit"))
+                folder.once("end", lambda: self._write_ends(folder, stored, load_id))
+        folder.finish(() if self.keep_stored_frames else ("messages", "settings", "listing", "problems", "lines", "over_limit"))
         return load_id
 
     # --- reading -----------------------------------------------------------------
 
     def _store_lines(self, folder: LoadFolder, messages: DataFrame) -> tuple[int, bool]:
         """Reads all files, a bounded number of URLs at a time, into the judged store.
-        Gives back the number of slices and whether some URL has no file."""
-        slices, missing = 0, False
-        # The slices of a load that is continued are those it began with.
-        settings = self.spark.createDataFrame([(self.urls_per_slice,)], "urls_per_slice int")
-        urls_per_slice = folder.store(settings, "settings").first()[0]
-        for number, part, urls in url_slices(messages, urls_per_slice):
-            missing |= self._store_slice(folder, part, urls, number)
-            slices += 1
-        return slices, missing
-
-    def _store_slice(self, folder: LoadFolder, messages: DataFrame, urls: list[Row], number: int) -> bool:
-        matches = match_files(self.spark, [row["fileURL"] for row in urls])
-        missing = {row["fileURL"] for row in urls} - {m.url for m in matches}
-        if missing:
-            folder.store(url_frame(self.spark, sorted(missing)), f"missing/slice={number}")
+        Gives back the number of slices and whether some URL has a problem."""
+        slices, problems = 0, False
+        size = kept_slice_size(folder, self.spark, self.urls_per_slice)
+        for encoding, part in self._by_encoding(messages):
+            for _, own, urls in url_slices(part, size):
+                problems |= self._store_slice(folder, own, urls, slices, encoding)
+                slices += 1
+        return slices, problems
+
+    def _by_encoding(self, messages: DataFrame) -> Iterator[tuple[str, DataFrame]]:
+        """Messages by the encoding of their files."""
+        encodings: dict[str, list[str]] = {}
+        for layout in self.registry.sources:
+            encodings.setdefault(layout.encoding, []).append(layout.prefix)
+        for encoding, prefixes in encodings.items():
+            yield encoding, messages if len(encodings) == 1 else messages.filter(F.col("layout").isin(prefixes))
+
+    def _store_slice(self, folder: LoadFolder, messages: DataFrame, urls: DataFrame, number: int, encoding: str) -> bool:
+        listing = list_slice(self.spark, folder, urls, number)
+        if listing.has_problems:
+            folder.store(listing.problems, f"problems/slice={number}")
         if not folder.stored(f"lines/slice={number}"):
-            bridge, size = bridge_of(self.spark, messages, urls, matches)
-            lines = read_lines(self.spark, matches, self.skip_header_lines)
+            bridge, size = listing.bridge(messages)
+            lines = read_lines(self.spark, listing, self.skip_header_lines, encoding)
             lines = attach_messages(lines, bridge, size)
             judged = judge_lines(lines, self.registry, self.on_cast_error)
             outcome = F.when(F.col("stacktrace") == "", VALID).otherwise(REJECTED)
@@ -175,23 +186,23 @@ class FileLoad:
                 # Lines hardly repeat: a dictionary of them would be built in vain.
                 {"parquet.enable.dictionary#line": "false"},
             )
-        return bool(missing)
+        return listing.has_problems
 
     # --- writing -----------------------------------------------------------------
 
-    def _append(self, df: DataFrame, table: str, schema: T.StructType, load_id: str | None = None) -> None:
-        append(df, table, schema if self.targets.create else None, self.targets.source, load_id=load_id)
+    def _append(self, df: DataFrame, table: str, schema: T.StructType, load_id: str, step: str) -> None:
+        self.targets.append(df, table, schema, load_id, step)
 
-    def _write_starts(self, messages: DataFrame) -> None:
+    def _write_starts(self, messages: DataFrame, load_id: str) -> None:
         well_formed = messages.filter(F.col("problem") != layouts.INVALID_MESSAGE)
         records = well_formed.transform(start_records).transform(as_monitoring)
-        self._append(records, self.targets.monitoring, MONITORING_SCHEMA)
+        self._append(records, self.targets.monitoring, MONITORING_SCHEMA, load_id, "start")
 
     def _steps(
-        self, folder: LoadFolder, messages: DataFrame, load_id: str, slices: int, missing: bool
+        self, folder: LoadFolder, messages: DataFrame, load_id: str, slices: int, problems: bool
     ) -> dict[str, Callable[[], None]]:
         """The appends that can run side by side, by name."""
-        steps = {"dead_letters": lambda: self._write_dead_letters(folder, messages, missing)}
+        steps = {"dead_letters": lambda: self._write_dead_letters(folder, messages, load_id, problems)}
         if slices:
             lines = self._lines(folder)
             names = messages.filter(F.col("problem") == "").select("destination").distinct()
@@ -219,7 +230,7 @@ class FileLoad:
             valid = lines.filter((F.col("destination") == name) & (F.col("outcome") == VALID))
             schema = self.registry.table_schema(name)
             typed = typed_columns(valid.filter(F.col("stacktrace") == ""), schema, self.registry)
-            self._append(typed, self.targets.result(name), schema, load_id)
+            self._append(typed, self.targets.result(name), schema, load_id, "results")
 
         return write
 
@@ -230,11 +241,11 @@ class FileLoad:
                 if not self._has_stored(folder, name, REJECTED):
                     return
                 rejected = rejected.filter(F.col("outcome") == REJECTED)
-            self._append(as_rejects(rejected), self.targets.reject(name), REJECT_SCHEMA, load_id)
+            self._append(as_rejects(rejected), self.targets.reject(name), REJECT_SCHEMA, load_id, "rejects")
 
         return write
 
-    def _write_ends(self, folder: LoadFolder, messages: DataFrame) -> None:
+    def _write_ends(self, folder: LoadFolder, messages: DataFrame, load_id: str) -> None:
         # Reads the message key and the reason; the text of the lines stays unread.
         counts = count_lines(self._lines(folder))
         if self.emit_empty_end:
@@ -248,17 +259,17 @@ class FileLoad:
                 F.coalesce("number_inserted_rows", zero).alias("number_inserted_rows"),
                 F.coalesce("number_rejected_rows", zero).alias("number_rejected_rows"),
             )
-        self._append(as_monitoring(end_records(counts)), self.targets.monitoring, MONITORING_SCHEMA)
+        self._append(as_monitoring(end_records(counts)), self.targets.monitoring, MONITORING_SCHEMA, load_id, "end")
 
-    def _write_dead_letters(self, folder: LoadFolder, messages: DataFrame, missing: bool) -> None:
+    def _write_dead_letters(self, folder: LoadFolder, messages: DataFrame, load_id: str, problems: bool) -> None:
         letters = messages.filter(F.col("problem") != "")
-        if missing:
-            urls = self.spark.read.schema(URL_SCHEMA).parquet(folder.at("missing"))
-            lost = attach(messages.filter(F.col("problem") == ""), urls, ["fileURL"], "left_semi")
-            letters = letters.unionByName(lost.withColumn("problem", F.lit(layouts.FILE_NOT_FOUND)))
-        letters = dead_letters(letters)
-        if missing or not letters.isEmpty():
-            self._append(conform(letters, DEAD_LETTER_SCHEMA), self.targets.dead_letters, DEAD_LETTER_SCHEMA)
+        if problems:
+            found = self.spark.read.schema(PROBLEM_SCHEMA).parquet(folder.at("problems"))
+            lost = problem_letters(messages.filter(F.col("problem") == ""), found)
+            letters = letters.unionByName(lost)
+        letters = conform(dead_letters(letters), DEAD_LETTER_SCHEMA)
+        if problems or not letters.isEmpty():
+            self._append(letters, self.targets.dead_letters, DEAD_LETTER_SCHEMA, load_id, "dead_letters")
 
 
 def load_file(

@@ -1,23 +1,18 @@
 """Delimited files with a header line, typed by what they contain.
 
-A column is INTEGER if every value is an integer, FLOAT if every value is a number or
-missing, STRING otherwise. One aggregate over the file decides for all columns.
+A column is INTEGER if every value is an integer, FLOAT if every value is a number or missing, STRING
+otherwise. The kinds form a lattice, INTEGER < FLOAT < STRING, so that what is known of parts of a
+file, or of several files, is put together by taking the greater kind: one aggregate judges any
+number of columns of any number of files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waybill.functions.casts import to_float
 from waybill.functions.text import identifier
-from waybill.layouts import SPARK_TYPES
-
-CORRUPT = "_corrupt_line"
 
 # Texts that stand for a missing value (fixed values).
 MISSING_TEXTS = (
@@ -27,13 +22,8 @@ MISSING_TEXTS = (
 INTEGER_TEXT = r"\A\s*[+-]?[0-9]+\s*\z"
 TRUTH_TEXTS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
-
-@dataclass(frozen=True)
-class InferredFile:
-    rows: DataFrame
-    rejects: DataFrame
-    """Lines with another number of fields than the header, as ``line``."""
-    schema: T.StructType
+LATTICE = ("INTEGER", "FLOAT", "STRING")
+"""Kinds from the least to the greatest."""
 
 
 def _is_missing(text: Column) -> Column:
@@ -49,69 +39,74 @@ def _is_number(text: Column) -> Column:
     return to_float(text).isNotNull() & ~F.contains(text, F.lit("_"))
 
 
+def rank_of(text: Column) -> Column:
+    """The least kind of the lattice that holds a value, by its place."""
+    return (
+        F.when(_is_missing(text), 1)  # no integer can be missing
+        .when(_is_integer(text), 0)
+        .when(_is_number(text), 1)
+        .otherwise(2)
+    )
+
+
+def column_facts(text: Column, number: int) -> list[Column]:
+    """What an aggregate has to know of a column: the greatest rank, and whether it can be told that
+    all its values are truth values (which have no declared kind)."""
+    return [
+        F.max(rank_of(text)).alias(f"rank{number}"),
+        F.bool_and(text.isin(*TRUTH_TEXTS)).alias(f"truths{number}"),
+    ]
+
+
+def kind_of_facts(rank: Column) -> Column:
+    """The kind of a column; one without any value is text."""
+    kinds = F.array(*[F.lit(k) for k in LATTICE])
+    return F.get(kinds, F.coalesce(rank, F.lit(len(LATTICE) - 1)))
+
+
 def infer_kinds(strings: DataFrame) -> dict[str, str]:
     """Declared kind per text column; a column of truth values has none and is an error."""
-    tests = []
-    for i, name in enumerate(strings.columns):
-        text = F.col(identifier(name))
-        present = ~_is_missing(text)
-        tests += [
-            F.count_if(present).alias(f"present{i}"),
-            F.count_if(present & _is_integer(text)).alias(f"integers{i}"),
-            F.count_if(present & _is_number(text)).alias(f"numbers{i}"),
-            F.count_if(text.isin(*TRUTH_TEXTS)).alias(f"truths{i}"),
-        ]
-    found = strings.agg(F.count("*").alias("rows"), *tests).first()
-    kinds = {}
-    for i, name in enumerate(strings.columns):
-        present = found[f"present{i}"]
-        if found["rows"] == 0:
-            kinds[name] = "STRING"
-        elif found[f"truths{i}"] == found["rows"]:
+    names = strings.columns
+    facts = [fact for i, n in enumerate(names) for fact in column_facts(F.col(identifier(n)), i)]
+    found = strings.agg(*facts).first()
+    for i, name in enumerate(names):
+        if found[f"truths{i}"]:
             raise ValueError(f"column {name}: truth values have no declared kind")
-        elif found[f"integers{i}"] == found["rows"]:
-            kinds[name] = "INTEGER"
-        elif found[f"numbers{i}"] == present:
-            kinds[name] = "FLOAT"
-        else:
-            kinds[name] = "STRING"
-    return kinds
+    return {n: LATTICE[found[f"rank{i}"] if found[f"rank{i}"] is not None else -1] for i, n in enumerate(names)}
 
 
-def _value(name: str, kind: str) -> Column:
-    text = F.col(identifier(name))
+def value_of(text: Column, kind: str) -> Column:
+    """A text as the value of a column of this kind."""
     if kind == "STRING":
-        value = F.coalesce(text, F.lit(""))
-    elif kind == "INTEGER":
-        value = F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
-    else:
-        value = F.when(~_is_missing(text), to_float(text))
-    return value.alias(name)
-
-
-def read_delimited(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files that share one header as text columns named by it, plus ``_corrupt_line``:
-    the line, if it has another number of fields than the header."""
-    paths = list(paths)
-    options = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
-    names = spark.read.options(**options).csv(paths[0]).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    options.update(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=False)
-    return spark.read.options(**options).schema(schema).csv(paths)
-
-
-def typed_by_content(texts: DataFrame) -> InferredFile:
-    """``read_delimited`` output, stored in the meantime, as typed rows and rejects.
-
-    (It must be stored: Spark does not query corrupt lines alone straight from a file, and
-    three reads of a stored column are cheaper than three parses of the file.)
-    """
-    names = [n for n in texts.columns if n != CORRUPT]
-    corrupt = F.col(CORRUPT)
-    good = texts.filter(corrupt.isNull()).select(*[F.col(identifier(n)) for n in names])
-    kinds = infer_kinds(good)
-    return InferredFile(
-        rows=good.select(*[_value(n, kinds[n]) for n in names]),
-        rejects=texts.filter(corrupt.isNotNull()).select(corrupt.alias("line")),
-        schema=T.StructType([T.StructField(n, SPARK_TYPES[kinds[n]]) for n in names]),
-    )
+        return F.coalesce(text, F.lit(""))
+    if kind == "INTEGER":
+        return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+    return F.when(~_is_missing(text), to_float(text))
+
+
+_QUOTED = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'
+
+
+def delimited_fields(line: Column) -> Column:
+    """The fields of a line, where a field in double quotes may hold commas and doubled quotes."""
+    parts = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_QUOTED), F.lit(1))
+
+    def plain(part: Column) -> Column:
+        quoted = F.startswith(part, F.lit('"')) & F.endswith(part, F.lit('"')) & (F.length(part) > 1)
+        inside = F.substr(part, F.lit(2), F.length(part) - 2)
+        return F.when(quoted, F.replace(inside, F.lit('""'), F.lit('"'))).otherwise(part)
+
+    return F.when(F.contains(line, F.lit('"')), F.transform(parts, plain)).otherwise(F.split(line, ","))
+
+
+def header_names(fields: Column) -> Column:
+    """Column names of a header line: an empty one is named by its place, and of names that are the
+    same but for their case each gets its place added."""
+    lower = F.transform(fields, F.lower)
+
+    def named(name: Column, i: Column) -> Column:
+        again = F.size(F.filter(lower, lambda other: other == F.lower(name))) > 1
+        place = i.cast("string")
+        return F.when(name == "", F.concat(F.lit("_c"), place)).when(again, F.concat(name, place)).otherwise(name)
+
+    return F.transform(fields, named)

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -19,9 +19,10 @@ def shared_root(spark: SparkSession) -> str:
     the life of the Spark context; a cluster session must say where its folder is.
     """
     setting = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    local = re.match(r"local(\[|$)", spark.sparkContext.master)
     if setting:
         return setting.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+    if not local:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="waybill-"))
     return spark.sparkContext.getCheckpointDir()
@@ -32,6 +33,13 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/waybill/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written below the shared root and read again, under its own session."""
+    path = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class FileStatus:
     path: str
@@ -66,6 +74,15 @@ class SharedFiles:
         hadoop_path, fs = self._open(path)
         return fs.exists(hadoop_path)
 
+    def text(self, path: str) -> str:
+        """The whole of a small text file."""
+        hadoop_path, fs = self._open(path)
+        stream = fs.open(hadoop_path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
     def mark(self, path: str) -> None:
         """Creates an empty file, folders included."""
         hadoop_path, fs = self._open(path)
@@ -75,10 +92,26 @@ class SharedFiles:
         hadoop_path, fs = self._open(path)
         fs.delete(hadoop_path, True)
 
-    def glob(self, pattern: str) -> list[FileStatus]:
+    def _statuses(self, found, limit: int | None) -> list[FileStatus] | None:
+        if limit is not None and found is not None and len(found) > limit:
+            return None
+        return [self._status(s) for s in (found or [])]
+
+    def glob(self, pattern: str, limit: int | None = None, named: str | None = None) -> list[FileStatus] | None:
+        """What a pattern matches, of the names that fit ``named`` if given; None if that is more
+        than ``limit`` (nothing is converted then)."""
+        hadoop_path, fs = self._open(pattern)
+        if named is None:
+            return self._statuses(fs.globStatus(hadoop_path), limit)
+        names = self._jvm.org.apache.hadoop.fs.GlobFilter(named)
+        return self._statuses(fs.globStatus(hadoop_path, names), limit)
+
+    def any(self, pattern: str) -> bool:
+        """Whether a pattern matches something."""
         hadoop_path, fs = self._open(pattern)
-        return [self._status(s) for s in (fs.globStatus(hadoop_path) or [])]
+        found = fs.globStatus(hadoop_path)
+        return found is not None and len(found) > 0
 
-    def children(self, folder: str) -> list[FileStatus]:
+    def children(self, folder: str, limit: int | None = None) -> list[FileStatus] | None:
         hadoop_path, fs = self._open(folder)
-        return [self._status(s) for s in fs.listStatus(hadoop_path)]
+        return self._statuses(fs.listStatus(hadoop_path), limit)

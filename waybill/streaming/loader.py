@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from waybill.operators.messages import parse_messages
+from waybill.operators.messages import located_messages, parse_messages
 from waybill.operators.tables import LoadFolder
 from waybill.plans.dynamic import JsonRouting
+from waybill.plans.exact_name import ExactNameLoad
 from waybill.plans.inferred import InferredLoad
 from waybill.plans.load import FileLoad
+from waybill.storage import SharedFiles
 
 _KEPT_BATCHES = 2
 
@@ -31,7 +33,7 @@ def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave the query when it made the checkpoint."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return json.loads(SharedFiles(spark).text(f"{checkpoint}/metadata"))["id"]
 
 
 def run_per_batch(
@@ -105,6 +107,16 @@ def start_inferred_loads(
     return run_per_batch(envelopes, name, checkpoint, load.run, every)
 
 
+def start_exact_name_loads(
+    envelopes: DataFrame, load: ExactNameLoad, name: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Loads the files named by a stream, with the layouts of their exact names."""
+    return run_per_batch(
+        envelopes, name, checkpoint,
+        lambda batch, load_id: load.run(located_messages(batch), load_id), every,
+    )
+
+
 def stored_batches(spark: SparkSession, name: str) -> list[str]:
     """Load folders a stream still keeps."""
     root = LoadFolder(spark, "_")
