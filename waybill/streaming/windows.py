@@ -76,8 +76,8 @@ def start_counts_with_late_rows(
 ) -> StreamingQuery:
     """Counts a stream by window and keeps the rows that come too late for theirs.
 
-    The watermark of a batch is the greatest time of the batches before it less ``lateness``, as
-    Spark's own is; a row whose window ends at or before it is late. Late rows, with all their
+    The watermark of a batch is the greatest time of the batches before it less ``lateness``; a row
+    whose window ends at or before it is late (Spark's own filter lags one batch behind that). Late rows, with all their
     columns, go to ``folder/late`` instead of being dropped: counted and late rows together are the
     rows of the stream. Each batch is counted for itself, so there is no state but the watermark, which
     is stored with the batch; a repeated batch overwrites what it wrote.
