@@ -61,7 +61,7 @@ class ExactNameLoad:
         if folder.complete:
             return load_id
         stored = folder.store(complete_messages(messages), "messages")
-        size = kept_slice_size(folder, self.spark, self.urls_per_slice)
+        size = kept_slice_size(folder, self.urls_per_slice)
         slices, problems = 0, False
         for number, part, urls in url_slices(stored.filter(F.col("problem") == ""), size):
             listing = list_slice(self.spark, folder, urls, number)

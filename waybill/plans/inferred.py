@@ -76,13 +76,13 @@ class InferredLoad:
             lines = self.spark.read.schema(_LINES).parquet(folder.at("lines")).drop("slice")
             bridge = self.spark.read.schema(_BRIDGE).parquet(folder.at("bridge")).drop("slice")
             headers = folder.store(self._headers(lines), "headers")
-            judged = folder.store(self._judged(folder, lines, headers, bridge, fine), "judged")
+            judged = folder.store(self._judged(lines, headers, bridge, fine), "judged")
             if self.strict:
                 self._raise_mismatch(judged)
             letters.append(judged.filter(F.col("problem") != "").select(*fine.columns))
             self._write(folder, lines, headers, bridge, judged.filter(F.col("problem") == ""), load_id)
         folder.once("dead_letters", lambda: self._write_dead_letters(reduce(DataFrame.unionByName, letters), load_id))
-        folder.finish(("messages", "settings", "listing", "problems", "lines", "bridge", "headers", "tables", "facts", "judged"))
+        folder.finish(("messages", "settings", "listing", "problems", "lines", "bridge", "headers", "judged"))
         return load_id
 
     # --- reading -----------------------------------------------------------------
@@ -90,7 +90,7 @@ class InferredLoad:
     def _read(self, folder: LoadFolder, messages: DataFrame) -> tuple[int, bool]:
         """Stores the lines of all files once, and which message names which file."""
         slices, problems = 0, False
-        size = kept_slice_size(folder, self.spark, self.urls_per_slice)
+        size = kept_slice_size(folder, self.urls_per_slice)
         for number, part, urls in url_slices(messages, size):
             listing = list_slice(self.spark, folder, urls, number)
             if listing.has_problems:
@@ -137,10 +137,10 @@ class InferredLoad:
         return found.select("file_path", F.inline(each))
 
     def _judged(
-        self, folder: LoadFolder, lines: DataFrame, headers: DataFrame, bridge: DataFrame, messages: DataFrame
+        self, lines: DataFrame, headers: DataFrame, bridge: DataFrame, messages: DataFrame
     ) -> DataFrame:
         """The messages with a file, with ``columns`` (name, kind) and the problem with them, if any."""
-        facts = folder.store(self._facts(lines, headers), "facts")
+        facts = self._facts(lines, headers)
         named = headers.select("file_path", F.posexplode("header").alias("position", "name"))
         columns = named.join(facts, ["file_path", "position"], "left")
         own = bridge.select("message_id", "fileURL", "destination", "file_path").distinct()
@@ -167,17 +167,17 @@ class InferredLoad:
             F.col("truths").isNotNull(), F.concat(F.lit(layouts.NO_KIND + ": "), "truths")
         )
         found = found.withColumn("problem", F.coalesce(problem, F.lit(""))).drop("truths")
-        tables = folder.store(self._tables(found), "tables")
+        tables = self._tables(found, messages)
         fits = found.join(tables, "table", "left").withColumn("gaps", self._gaps())
         wrong = (F.col("problem") == "") & (F.col("gaps") != "")
         return fits.withColumn(
             "problem", F.when(wrong, F.concat(F.lit(layouts.SCHEMA_MISMATCH + ": "), "gaps")).otherwise(F.col("problem"))
         ).select(*messages.columns, "columns", "known", "gaps")
 
-    def _tables(self, found: DataFrame) -> DataFrame:
+    def _tables(self, found: DataFrame, messages: DataFrame) -> DataFrame:
         """``table, known``: the columns of the tables that are there, and of the first good message of
         those that are not."""
-        names = [r[0] for r in found.select("table").distinct().toLocalIterator()]
+        names = [r[0] for r in messages.select("table").distinct().collect()]
         there = []
         for name in names:
             if self.spark.catalog.tableExists(self.targets.result(name)):
@@ -228,17 +228,19 @@ class InferredLoad:
         self, folder: LoadFolder, lines: DataFrame, headers: DataFrame, bridge: DataFrame, good: DataFrame, load_id: str
     ) -> None:
         """One append of rows and one of rejects per table."""
-        own = bridge.join(good.select("message_id", "fileURL", "destination", "table"), ["message_id", "fileURL", "destination"])
-        named = own.join(headers, "file_path")
-        pairs: dict[str, list] = {}
-        for row in named.select("table", "header").distinct().toLocalIterator():
+        key = ["message_id", "fileURL", "destination"]
+        named = bridge.join(good.select(*key, "table", "known"), key).join(headers, "file_path")
+        # As many rows as there are tables and different headers among their files.
+        pairs, known = {}, {}
+        for row in named.select("table", "known", "header").distinct().collect():
             pairs.setdefault(row["table"], []).append(row["header"])
-        known = {r["table"]: r["known"] for r in good.select("table", "known").distinct().toLocalIterator()}
+            known[row["table"]] = row["known"]
+        named = named.drop("known")
         data = attach(lines, named, ["file_path"], salts=LINE_SALTS).filter(F.struct("split_start", "row") != F.col("first"))
 
         def write(name: str) -> None:
             rows = data.filter(F.col("table") == name)
-            folder.once(f"rows-{name}", lambda: self._write_rows(rows, name, pairs.get(name, []), known[name], load_id))
+            folder.once(f"rows-{name}", lambda: self._write_rows(rows, name, pairs[name], known[name], load_id))
             folder.once(f"rejects-{name}", lambda: self._write_rejects(rows, name, load_id))
 
         with ThreadPoolExecutor(self.parallel_tables) as pool:

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,9 +55,9 @@ _STORED_LINES = T.StructType(
 )
 
 
-def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int, DataFrame, DataFrame]]:
+def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int, DataFrame, DataFrame | list[Row]]]:
     """Messages by slices of their URLs, so that a bounded number is listed at a time: slice number,
-    its messages, and ``fileURL, rows, bytes`` per URL of the slice.
+    its messages, and ``fileURL, rows, bytes`` per URL of the slice (as rows if there are few).
 
     All messages of a URL are in one slice. ``messages`` should be a stored frame.
     """
@@ -68,7 +68,7 @@ def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int,
     some = urls.limit(few + 1).collect()
     if len(some) <= few:
         if some:
-            yield 0, messages, messages.sparkSession.createDataFrame(some, urls.schema)
+            yield 0, messages, some
         return
     slices = math.ceil(urls.count() / urls_per_slice)
     for number in range(slices):
@@ -76,13 +76,15 @@ def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int,
         yield number, messages.filter(own), urls.filter(own)
 
 
-def kept_slice_size(folder: LoadFolder, spark: SparkSession, urls_per_slice: int) -> int:
+def kept_slice_size(folder: LoadFolder, urls_per_slice: int) -> int:
     """The slice size a load began with, whatever the settings of the run that continues it."""
-    settings = spark.createDataFrame([(urls_per_slice,)], "urls_per_slice int")
-    return folder.store(settings, "settings").first()[0]
+    path = folder.at("settings")
+    if not folder.files.exists(path):
+        folder.files.write_text(path, str(urls_per_slice))
+    return int(folder.files.text(path) or urls_per_slice)
 
 
-def list_slice(spark: SparkSession, folder: LoadFolder, urls: DataFrame, number: int) -> Listing:
+def list_slice(spark: SparkSession, folder: LoadFolder, urls: DataFrame | list[Row], number: int) -> Listing:
     """The files of a slice's URLs; what Spark has to list for it is stored with the load."""
     return list_files(spark, urls, lambda frame, name: folder.store(frame, f"listing/slice={number}/{name}"))
 
@@ -154,7 +156,7 @@ class FileLoad:
         """Reads all files, a bounded number of URLs at a time, into the judged store.
         Gives back the number of slices and whether some URL has a problem."""
         slices, problems = 0, False
-        size = kept_slice_size(folder, self.spark, self.urls_per_slice)
+        size = kept_slice_size(folder, self.urls_per_slice)
         for encoding, part in self._by_encoding(messages):
             for _, own, urls in url_slices(part, size):
                 problems |= self._store_slice(folder, own, urls, slices, encoding)
@@ -169,7 +171,7 @@ class FileLoad:
         for encoding, prefixes in encodings.items():
             yield encoding, messages if len(encodings) == 1 else messages.filter(F.col("layout").isin(prefixes))
 
-    def _store_slice(self, folder: LoadFolder, messages: DataFrame, urls: DataFrame, number: int, encoding: str) -> bool:
+    def _store_slice(self, folder: LoadFolder, messages: DataFrame, urls: DataFrame | list[Row], number: int, encoding: str) -> bool:
         listing = list_slice(self.spark, folder, urls, number)
         if listing.has_problems:
             folder.store(listing.problems, f"problems/slice={number}")

@@ -34,7 +34,7 @@ def dispatch(
     if folder.complete:
         return load_id
     stored = folder.store(with_problem(messages), "messages")
-    size = kept_slice_size(folder, load.spark, load.urls_per_slice)
+    size = kept_slice_size(folder, load.urls_per_slice)
     for number, part, urls in url_slices(stored.filter(F.col("problem") == ""), size):
         sizes = file_sizes(load.spark, urls)
         routed = folder.store(route_by_size(part, sizes, threshold), f"routed/slice={number}")

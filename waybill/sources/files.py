@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waybill.functions.text import identifier, strip_carriage_return
@@ -181,7 +181,7 @@ def numbered_lines(spark: SparkSession, listing: Listing) -> DataFrame:
 
 def read_text_file(spark: SparkSession, url: str, skip_header_lines: int = 1) -> DataFrame:
     """``file_path, line`` of one file, glob or folder; no match is an error."""
-    listing = list_files(spark, spark.createDataFrame([(url,)], "fileURL string"))
+    listing = list_files(spark, [Row(fileURL=url)])
     if listing.empty:
         raise FileNotFoundError(url)
     return read_lines(spark, listing, skip_header_lines)

@@ -83,6 +83,15 @@ class SharedFiles:
         finally:
             stream.close()
 
+    def write_text(self, path: str, text: str) -> None:
+        """Writes a small text file, folders included."""
+        hadoop_path, fs = self._open(path)
+        stream = fs.create(hadoop_path, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
     def mark(self, path: str) -> None:
         """Creates an empty file, folders included."""
         hadoop_path, fs = self._open(path)
