@@ -147,7 +147,7 @@ def test_inferred_load(spark, targets, tmp_path):
     wrong = envelope(spark, {"fileURL": f"{tmp_path}/c.csv", "destination": "people"})
     load.run(wrong)
     reasons = [r["reason"] for r in spark.table(made.dead_letters).filter("message_id = '0'").collect()]
-    assert reasons == ["schema_mismatch: age: STRING in the file, INTEGER in the table"]
+    assert len(reasons) == 1 and reasons[0].startswith("schema_mismatch: age: STRING in the file, INTEGER in the table")
     with pytest.raises(SchemaMismatch, match="age: STRING"):
         InferredLoad(spark, made, strict=True).run(wrong)
     assert spark.table(made.result("people")).count() == 3
