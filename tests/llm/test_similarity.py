@@ -65,6 +65,56 @@ def test_no_boundary_and_no_order_loses_links(spark, small_below):
         assert sorted(sorted(g) for g in groups.values() if len(g) > 1) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
+def near_threshold(count, seed=9):
+    """Edited versions of one text, most pairs of which are a little less similar than it takes."""
+    texts = Texts(seed)
+    base = texts.make(90)
+    return [(i, " ".join(texts.edited(base, texts.random.randint(0, 5)))) for i in range(count)]
+
+
+@pytest.mark.parametrize("longest", [8, 10_000])
+def test_long_lists_are_compared_in_cells(spark, monkeypatch, longest):
+    from waybill.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "LONGEST_PAIRED", longest)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 30)
+    rows = near_threshold(160) + [(1000 + i, " ".join(Texts(50 + i).make(40))) for i in range(20)]
+    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, rows)).collect()}
+    assert got == components(rows)
+    assert 1 < len(set(got.values())) < 180
+
+
+def test_a_cell_of_two_blocks(monkeypatch):
+    from waybill.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "COLUMNS", 16)
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[draw.random(60) < 0.93], draw.integers(0, 2**63, draw.integers(0, 8), dtype=np.uint64)])) for _ in range(40)]
+
+    def expected(pairs):
+        label = list(range(40))
+        for i, j in pairs:
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+        return label
+
+    every = [(i, j) for i in range(40) for j in range(i)]
+    assert jaccard._linked_in_cell(sets, None).tolist() == expected(every)
+    across = [(i, j) for i in range(15) for j in range(15, 40)]
+    assert jaccard._linked_in_cell(sets[:15], sets[15:]).tolist() == expected(across)
+    assert len(set(expected(every))) > 1
+
+
+def test_an_id_used_for_two_texts_loses_the_copy_alone(spark):
+    a, u, z = (" ".join(Texts(60 + i).make(30)) for i in range(3))
+    rows = [(3, a), (5, a), (5, u), (9, z), (9, z), (None, z), (None, "of its own words here now"), (10, ""), (5, None)]
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in one_of_each_group(crowded(spark, rows)).collect()))
+    assert kept == sorted([(3, a), (5, u), (9, z), (9, z), (0, "of its own words here now"), (10, ""), (5, "")])
+
+
 def test_boundary_follows_the_cost():
     sets = np.full(65, 10)
     assert boundary(sets, np.zeros(65), np.zeros(65)) == 4

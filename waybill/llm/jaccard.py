@@ -28,6 +28,11 @@ BLOCK_BITS = 16
 LOOKED_THROUGH = 1.5
 LARGEST_SMALL = 64
 PIVOT_ROUNDS = 2
+LONGEST_PAIRED = 128
+"""Members of longer lists are compared block by block instead of pair by pair."""
+BLOCK_SETS = 512
+BLOCK_BYTES = 8 << 20
+COLUMNS = 8192  # shingles in one product of matrices
 BROADCAST_BYTES = 32 << 20
 
 
@@ -281,6 +286,73 @@ def _fitting(n: str, place: str, m: str, other_place: str):
     return common * (100 + PERCENT) >= (F.col(n) + F.col(m)) * PERCENT
 
 
+def _linked_in_cell(low: list[np.ndarray], high: list[np.ndarray] | None) -> np.ndarray:
+    """For the sets of a block with each other, or of two blocks: the smallest position that each set
+    is connected with by links in this cell. Intersections are counted for all at once, as products
+    of 0/1 matrices over slices of the shingles."""
+    sets = low + (high or [])
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    first = len(low) if high else 0
+    common = np.zeros((len(low), len(sets) - first), np.float32)
+    edges = np.searchsorted(column, np.arange(0, column[-1] + COLUMNS + 1, COLUMNS))
+    for part, (start, end) in enumerate(zip(edges, edges[1:])):
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[start:end], column[start:end] - part * COLUMNS] = 1
+        common += held[: len(low)] @ held[first:].T
+    union = size[: len(low), None] + size[None, first:] - common
+    near = 100 * common >= PERCENT * union
+    linked = np.zeros((len(sets), len(sets)), bool)
+    linked[: len(low), first:] = near
+    linked |= linked.T
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(sets))
+    while True:
+        nearest = np.where(linked, label[None, :], len(sets)).min(1)
+        if (nearest == label).all():
+            return label
+        label = nearest
+
+
+def linked_in_cells(hot: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` that connect all similar sets among the members of long lists (``key, node``).
+
+    Lists that share members are one group. Its sets are dealt into blocks of a bounded number and
+    size, and each pair of blocks is one cell, where all its sets are compared at once: a set is
+    sent once to a cell, not once per pair, and of a cell's links those of a spanning forest come out.
+    """
+    lowest = hot.groupBy("key").agg(F.min("node").alias("b"))
+    stars = hot.select("key", F.col("node").alias("a")).join(lowest, "key").select("a", "b").distinct()
+    groups = components(stars).select("node", F.col("component").alias("group"))
+    held = stored(groups.join(sets, "node"), "hot-sets")
+    weight = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_BYTES))
+    blocks = held.groupBy("group").agg(weight.cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = held.join(blocks, "group").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = dealt.select(
+        "group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "shingles"
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, blocks = table.column("node").to_numpy(), table.column("own").to_numpy()
+        order = np.argsort(blocks, kind="stable")
+        shingles = table.column("shingles").combine_chunks()
+        found = [np.frombuffer(shingles[int(i)].as_buffer(), np.uint64) for i in order]
+        nodes, in_low = nodes[order], int(np.count_nonzero(blocks == blocks.min()))
+        same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        if not same and in_low == len(nodes):  # the other block is empty
+            label = np.arange(len(nodes))
+        else:
+            label = _linked_in_cell(found if same else found[:in_low], None if same else found[in_low:])
+        moved = label != np.arange(len(nodes))
+        return pa.table({"a": nodes[label[moved]], "b": nodes[moved]})
+
+    return cells.groupBy("group", "low", "high").applyInArrow(compare, "a long, b long")
+
+
 def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """``node, component`` by all links between the members of each list (``key, node, n, place``).
 
@@ -288,7 +360,7 @@ def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT
     over, every list is compared with one of its members: the one with the fewest rarer shingles, in a
     group of near copies that which the others were made from. What is connected by then needs no more comparing; the rest (members outside
     the list's largest component against all others) is compared in full, so that no link between
-    components is lost.
+    components is lost: pair by pair where the list is short, in cells of blocks where it is long.
     """
     spark = lists.sparkSession
     links = checked = spark.createDataFrame([], "a long, b long")
@@ -310,6 +382,12 @@ def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT
             )
             near = lists
         else:
+            length = lists.groupBy("key").agg(F.count("*").alias("members"))
+            longest = stored(length.where(F.col("members") > LONGEST_PAIRED).select("key"), "long-lists")
+            if not longest.isEmpty():
+                hot = lists.join(longest, "key", "left_semi").select("key", "node")
+                links = stored(links.unionByName(linked_in_cells(hot, sets)), "similar")
+                lists = lists.join(longest, "key", "left_anti")
             shares = lists.groupBy("key", "component").agg(F.count("*").alias("share"))
             largest = shares.groupBy("key").agg(F.max(F.struct("share", "component")).alias("top"))
             against = (
@@ -328,14 +406,8 @@ def node_components(lists: DataFrame, sets: DataFrame, pivot_rounds: int = PIVOT
     return components(links)
 
 
-def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
-
-    ``component_id`` is the smallest id reachable by links. Equal sets are linked; null and empty
-    texts and those without words have no shingles and stand alone. A row without an id gets the
-    component of an equal set, if there is one, else null. Rows that repeat are returned each.
-    An empty table gives no rows.
-    """
+def grouped_documents(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``similar_documents`` with the ``digest`` of each row's set."""
     ship(docs.sparkSession)
     texts = texts_of(docs, id_column, text_column)
     known = stored(members(texts), "members")
@@ -355,26 +427,54 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "digest",
     )
 
 
+def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row.
+
+    ``component_id`` is the smallest id reachable by links. Equal sets are linked; null and empty
+    texts and those without words have no shingles and stand alone. A row without an id gets the
+    component of an equal set, if there is one, else null. Rows that repeat are returned each.
+    An empty table gives no rows.
+    """
+    return grouped_documents(docs, id_column, text_column).drop("digest")
+
+
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose id is the smallest of their component; rows without an
-    id stay if they are equal to no document that has one."""
-    groups = stored(similar_documents(docs, id_column, text_column), "components")
-    lost = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_lost")).distinct()
-    kept = docs.join(lost, docs[id_column].cast("long") == F.col("_lost"), "left_anti")
-    if groups.where("doc_id IS NULL AND component_id IS NOT NULL").isEmpty():
-        return kept
-    equal = members(texts_of(docs, id_column, text_column).where("doc_id IS NOT NULL")).where("n > 0").select("digest").distinct()
+    """The rows, with all their columns, whose id is the smallest of their component.
+
+    A row goes by its id and its text: of an id that is used for several texts only those go that
+    have a smaller id in their component. Rows without an id stay if they are equal to no document
+    that has one; texts without words stay. Rows that repeat id and text stay or go together.
+    """
+    groups = stored(grouped_documents(docs, id_column, text_column).where("n_shingles > 0"), "components")
+    own_id = docs[id_column].cast("long")
+    gone = groups.where("doc_id <> component_id").select("doc_id", "digest").distinct()
+    # Most ids stand for one text. The texts are looked at again only where that does not settle it.
+    texts = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count_distinct("digest").alias("texts"))
+    settled = stored(
+        gone.join(texts, "doc_id").select(F.col("doc_id").alias("_gone"), (F.col("texts") == 1).alias("_alone")).distinct(), "gone"
+    )
+    kept = docs.join(settled.select("_gone"), own_id == F.col("_gone"), "left_anti").where(own_id.isNotNull())
+    unsettled = docs.join(settled.where("NOT _alone").select("_gone"), own_id == F.col("_gone"), "left_semi")
+    nameless = docs.where(own_id.isNull())
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column(batch.schema.get_field_index(text_column)).cast(pa.string()).fill_null("")
-        rows = pa.RecordBatch.from_arrays([texts], names=["text"])
-        digests = pa.array([digest_of(s) for _, s in sets_of(rows)], pa.binary())
+        found = [s for _, s in sets_of(pa.RecordBatch.from_arrays([texts], names=["text"]))]
+        # A text without words has no digest, as it is linked with nothing.
+        digests = pa.array([digest_of(s) if len(s) else None for s in found], pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*batch.schema.names, "_digest"])
 
-    nameless = docs.where(docs[id_column].isNull())
     schema = T.StructType([*docs.schema.fields, T.StructField("_digest", T.BinaryType())])
-    alone = by_batch(nameless, work, schema).join(equal.withColumnRenamed("digest", "_digest"), "_digest", "left_anti")
-    return kept.where(docs[id_column].isNotNull()).unionByName(alone.select(*docs.columns))
+    named = groups.where("doc_id IS NOT NULL").select(F.col("digest").alias("_digest")).distinct()
+    if not settled.where("NOT _alone").isEmpty():
+        marks = gone.select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_own"))
+        again = by_batch(unsettled, work, schema)
+        same = (again[id_column].cast("long") == marks["_gone"]) & (again["_digest"] == marks["_own"])
+        kept = kept.unionByName(again.join(marks, same, "left_anti").select(*docs.columns))
+    if not nameless.isEmpty():
+        kept = kept.unionByName(by_batch(nameless, work, schema).join(named, "_digest", "left_anti").select(*docs.columns))
+    return kept
