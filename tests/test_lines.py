@@ -192,3 +192,40 @@ def test_conform_can_reject_unknown_columns(spark):
     assert outputs.conform(frame, struct(A="INTEGER")).columns == ["A"]
     with pytest.raises(ValueError, match="unknown"):
         outputs.conform(frame, struct(A="INTEGER"), unknown="reject")
+
+
+def many_layouts(count):
+    sources = [SourceLayout(f"kind{i}_", struct(name="STRING", age="INTEGER"), max_bad_rows=i % 3) for i in range(count)]
+    return Registry(tuple(sources), {"t": struct(name="STRING", age="INTEGER")})
+
+
+def test_plans_do_not_grow_with_layouts(spark):
+    from waybill import messages_frame
+    from waybill.operators.lines import attach_messages, judge_lines, typed_columns
+    from waybill.operators.messages import prepare_messages
+
+    def planned(count):
+        registry = many_layouts(count)
+        message = {"fileURL": f"/x/kind{count - 1}_a.csv", "destination": "t", "id": "1", "timestamp": "t"}
+        bridge = prepare_messages(messages_frame(spark, [message]), registry).withColumn("file_path", F.lit("f"))
+        lines = spark.createDataFrame([("f", "Ann,20"), ("f", "Bob,x"), ("f", "Cid")], "file_path string, line string")
+        judged = judge_lines(attach_messages(lines, bridge), registry)
+        return bridge, judged, typed_columns(judged.filter("stacktrace = ''"), registry.tables["t"], registry)
+
+    def branches(frame):
+        return frame._jdf.queryExecution().analyzed().toString().upper().count("CASE WHEN")
+
+    few, many = planned(3), planned(500)
+    assert [branches(f) for f in few] == [branches(f) for f in many]
+    assert many[0].first()["layout"] == "kind499_"
+    assert [tuple(r) for r in many[2].collect()] == [("Ann", 20)]
+    assert sorted(r["stacktrace"] for r in many[1].collect()) == ["", "error_cast", "error_line_index"]
+
+
+def test_prefixes_are_patterns_or_text(spark):
+    from waybill.operators.messages import layout_of
+
+    registry = Registry((SourceLayout("a.c", struct(x="STRING")), SourceLayout("ab", struct(x="STRING")), SourceLayout("(?:x|y)z", struct(x="STRING"))))
+    names = {"abc1": "a.c", "abd": "ab", "yz": "(?:x|y)z", "z": None, "": None}
+    frame = spark.createDataFrame([(n,) for n in names], "n string")
+    assert {r[0]: r[1] for r in frame.select("n", layout_of(F.col("n"), registry)).collect()} == names

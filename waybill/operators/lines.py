@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill import layouts
-from waybill.functions.casts import cast_text, plain_line, to_float, to_integer
-from waybill.functions.text import SEPARATOR, split_fields
+from waybill.functions.casts import cast_text, to_float, to_integer
+from waybill.functions.text import split_fields
 from waybill.layouts import Registry
 from waybill.operators.joins import LINE_SALTS, Size, attach
 from waybill.operators.messages import LINE_CONTEXT
@@ -32,31 +32,25 @@ def _field(position: int) -> Column:
     return F.get("fields", F.lit(position))
 
 
-def _is_plain(registry: Registry) -> Column:
-    """True for lines with the right number of fields that all cast, where one pattern per
-    line can tell without taking it apart. False decides nothing.
+def _is_plain() -> Column:
+    """True for lines with the right number of fields that all cast, where the message knows one
+    pattern that can tell without taking them apart. False decides nothing.
 
     It does not pay where the fields are needed anyway (there is a predicate) or where
     counting them is enough (all of them are text).
     """
-    plain = F.lit(False)
-    for layout in registry.sources:
-        kinds = [layouts.kind_of(column.dataType) for column in layout.schema.fields]
-        if set(kinds) != {"STRING"}:
-            pattern = plain_line(kinds, SEPARATOR)
-            plain |= (F.col("layout") == layout.prefix) & F.col("line").rlike(pattern)
-    return F.col("key_position").isNull() & plain
+    return F.coalesce(F.regexp_like("line", F.col("plain_line")), F.lit(False))
 
 
 def _bad_cast(registry: Registry) -> Column:
-    """True where some declared field does not cast."""
-    layouts_with = defaultdict(list)
-    for layout in registry.sources:
-        for i, column in enumerate(layout.schema.fields):
-            layouts_with[i, layouts.kind_of(column.dataType)].append(layout.prefix)
+    """True where some declared field does not cast. The line knows its kinds by their initials, so
+    there is a test per position and kind, however many layouts there are."""
+    places = {
+        (i, layouts.kind_of(column.dataType)) for layout in registry.sources for i, column in enumerate(layout.schema.fields)
+    }
     tests = [
-        F.col("layout").isin(prefixes) & cast_text(_field(i), kind).isNull()
-        for (i, kind), prefixes in layouts_with.items()
+        (F.substr("kinds", F.lit(i + 1), F.lit(1)) == kind[0]) & cast_text(_field(i), kind).isNull()
+        for i, kind in sorted(places)
         if kind != "STRING"
     ]
     return reduce(Column.__or__, tests, F.lit(False))
@@ -114,7 +108,7 @@ def judge_lines(lines: DataFrame, registry: Registry, on_cast_error: str = "reje
         .otherwise(F.lit(""))
     )
     return (
-        lines.withColumn("_plain", _is_plain(registry))
+        lines.withColumn("_plain", _is_plain())
         .withColumn("fields", F.when(unsettled, split_fields(F.col("line"))))
         .transform(_with_key)
         # The one-element explode keeps later filters on the reason above it. Pushed below,
@@ -139,11 +133,15 @@ def typed_columns(valid: DataFrame, schema: T.StructType, registry: Registry) ->
     columns = []
     for target in schema.fields:
         value = F.lit(None).cast(target.dataType)
-        for layout in reversed(registry.sources):
-            for i, source in enumerate(layout.schema.fields):
-                if source.name.lower() == target.name.lower():
-                    typed = _known_to_cast(_field(i), layouts.kind_of(source.dataType)).cast(target.dataType)
-                    value = F.when(F.col("layout") == layout.prefix, typed).otherwise(value)
+        # A branch per place and kind of the column, however many layouts have it there.
+        places = defaultdict(list)
+        for layout in registry.sources:
+            own = {source.name.lower(): (i, layouts.kind_of(source.dataType)) for i, source in enumerate(layout.schema.fields)}
+            if target.name.lower() in own:
+                places[own[target.name.lower()]].append(layout.prefix)
+        for (i, kind), prefixes in places.items():
+            typed = _known_to_cast(_field(i), kind).cast(target.dataType)
+            value = F.when(F.col("layout").isin(prefixes), typed).otherwise(value)
         columns.append(value.alias(target.name))
     return valid.withColumn("fields", split_fields(F.col("line"))).select(*columns)
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from waybill import layouts
-from waybill.functions.casts import to_float
+from waybill.functions.casts import plain_line, to_float
 from waybill.functions.payload import (
     CORRUPT,
     has_only_keys,
@@ -28,7 +28,7 @@ from waybill.functions.payload import (
     payload_text,
     string_field,
 )
-from waybill.functions.text import base_name, utc_text
+from waybill.functions.text import SEPARATOR, base_name, utc_text
 from waybill.layouts import MESSAGE_SCHEMA, Registry
 
 REQUIRED_KEYS = ("fileURL", "destination")
@@ -136,6 +136,7 @@ _ENTRY = T.StructType(
         T.StructField("is_text", T.BooleanType()),
         T.StructField("names", T.ArrayType(T.StringType())),
         T.StructField("kinds", T.ArrayType(T.StringType())),
+        T.StructField("plain", T.StringType()),
     ]
 )
 _PATTERN_CHARACTER = re.compile(r"[\\^$.|?*+()\[\]{}]")
@@ -144,15 +145,18 @@ _PATTERN_CHARACTER = re.compile(r"[\\^$.|?*+()\[\]{}]")
 def layout_entries(registry: Registry) -> Column:
     """The layouts of a registry in their order, as one constant: a plan that looks layouts up does
     not grow with their number."""
-    entries = [
-        {
+    entries = []
+    for layout in registry.sources:
+        kinds = [layouts.kind_of(f.dataType) for f in layout.schema.fields]
+        entry = {
             "prefix": layout.prefix,
             "is_text": not _PATTERN_CHARACTER.search(layout.prefix),
             "names": layout.schema.names,
-            "kinds": [layouts.kind_of(f.dataType) for f in layout.schema.fields],
+            "kinds": kinds,
         }
-        for layout in registry.sources
-    ]
+        if set(kinds) != {"STRING"}:
+            entry["plain"] = plain_line(kinds, SEPARATOR)
+        entries.append(entry)
     return F.from_json(F.lit(json.dumps(entries)), T.ArrayType(_ENTRY))
 
 
@@ -205,6 +209,9 @@ def prepare_messages(messages: DataFrame, registry: Registry) -> DataFrame:
     messages = messages.withColumns(
         {
             "n_fields": F.when(layout.isNotNull(), F.size(entry["names"])),
+            "kinds": F.array_join(F.transform(entry["kinds"], lambda k: F.left(k, F.lit(1))), ""),
+            # One pattern per line pays where there is no predicate and some field has to cast.
+            "plain_line": F.when(key_position.isNull(), entry["plain"]),
             "key_kind": F.get(entry["kinds"], key_position),
             "key_position": key_position,
             "lower": F.when(has_predicate, F.get(bounds, F.lit(0))),
@@ -242,6 +249,8 @@ LINE_CONTEXT = (
     "destination",
     "layout",
     "n_fields",
+    "kinds",
+    "plain_line",
     "key_position",
     "key_kind",
     "lower",

@@ -125,8 +125,11 @@ def as_monitoring(records: DataFrame) -> DataFrame:
 def max_bad_rows(registry: Registry) -> Column:
     """The bad-row limit of the line's layout."""
     limit = F.lit(None).cast("int")
+    by_limit: dict[int, list[str]] = {}
     for layout in registry.sources:
-        limit = F.when(F.col("layout") == layout.prefix, F.lit(layout.max_bad_rows)).otherwise(limit)
+        by_limit.setdefault(layout.max_bad_rows, []).append(layout.prefix)
+    for rows, prefixes in by_limit.items():
+        limit = F.when(F.col("layout").isin(prefixes), F.lit(rows)).otherwise(limit)
     return limit
 
 

@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,7 +64,7 @@ class InferredLoad:
         if folder.complete:
             return load_id
         messages = folder.store(
-            located_messages(envelopes).withColumn("table", F.lower("destination")), "messages"
+            located_messages(envelopes).withColumn("table", F.lower("destination")).fillna("", ["message_id"]), "messages"
         )
         fine = messages.filter(F.col("problem") == "")
         slices, problems = self._read(folder, fine)
@@ -76,13 +76,13 @@ class InferredLoad:
             lines = self.spark.read.schema(_LINES).parquet(folder.at("lines")).drop("slice")
             bridge = self.spark.read.schema(_BRIDGE).parquet(folder.at("bridge")).drop("slice")
             headers = folder.store(self._headers(lines), "headers")
-            judged = folder.store(self._judged(lines, headers, bridge, fine), "judged")
+            judged = folder.store(self._judged(folder, lines, headers, bridge, fine), "judged")
             if self.strict:
                 self._raise_mismatch(judged)
             letters.append(judged.filter(F.col("problem") != "").select(*fine.columns))
             self._write(folder, lines, headers, bridge, judged.filter(F.col("problem") == ""), load_id)
         folder.once("dead_letters", lambda: self._write_dead_letters(reduce(DataFrame.unionByName, letters), load_id))
-        folder.finish(("messages", "settings", "listing", "problems", "lines", "bridge", "headers", "judged"))
+        folder.finish(("messages", "settings", "listing", "problems", "lines", "bridge", "headers", "found", "judged"))
         return load_id
 
     # --- reading -----------------------------------------------------------------
@@ -137,36 +137,33 @@ class InferredLoad:
         return found.select("file_path", F.inline(each))
 
     def _judged(
-        self, lines: DataFrame, headers: DataFrame, bridge: DataFrame, messages: DataFrame
+        self, folder: LoadFolder, lines: DataFrame, headers: DataFrame, bridge: DataFrame, messages: DataFrame
     ) -> DataFrame:
         """The messages with a file, with ``columns`` (name, kind) and the problem with them, if any."""
         facts = self._facts(lines, headers)
         named = headers.select("file_path", F.posexplode("header").alias("position", "name"))
         columns = named.join(facts, ["file_path", "position"], "left")
-        own = bridge.select("message_id", "fileURL", "destination", "file_path").distinct()
         # Files of one URL are one message's: the greater kind holds both, and the first file's order.
         key = ["message_id", "fileURL", "destination"]
         merged = (
-            own.join(columns, "file_path")
+            bridge.join(columns, "file_path", "left")
             .groupBy(*key, "name")
             .agg(
                 F.max("rank").alias("rank"), F.bool_and("truths").alias("truths"),
                 F.min(F.struct("file_path", "position")).alias("place"),
             )
         )
+        named = F.struct("place", "name", kind_of_facts(F.col("rank")).alias("kind"))
+        in_order = F.sort_array(F.collect_list(F.when(F.col("name").isNotNull(), named)))
         schema = merged.groupBy(*key).agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("place", "name", kind_of_facts(F.col("rank")).alias("kind")))),
-                lambda c: F.struct(c["name"].alias("name"), c["kind"].alias("kind")),
-            ).alias("columns"),
+            F.transform(in_order, lambda c: F.struct(c["name"].alias("name"), c["kind"].alias("kind"))).alias("columns"),
             F.min(F.when(F.col("truths"), F.col("name"))).alias("truths"),
         )
-        with_file = messages.join(own.select(*key).distinct(), key, "left_semi")
-        found = with_file.join(schema, key, "left")
-        problem = F.when(F.col("columns").isNull(), layouts.EMPTY_FILE).when(
+        problem = F.when(F.size("columns") == 0, layouts.EMPTY_FILE).when(
             F.col("truths").isNotNull(), F.concat(F.lit(layouts.NO_KIND + ": "), "truths")
         )
-        found = found.withColumn("problem", F.coalesce(problem, F.lit(""))).drop("truths")
+        found = messages.join(schema, key).withColumn("problem", F.coalesce(problem, F.lit(""))).drop("truths")
+        found = folder.store(found.select(*messages.columns, "columns"), "found")
         tables = self._tables(found, messages)
         fits = found.join(tables, "table", "left").withColumn("gaps", self._gaps())
         wrong = (F.col("problem") == "") & (F.col("gaps") != "")
@@ -184,14 +181,8 @@ class InferredLoad:
                 fields = [f for f in self.spark.table(self.targets.result(name)).schema.fields if f.name not in (LOAD_ID, STEP)]
                 there.append((name, [(f.name, _kind_name(f.dataType)) for f in fields]))
         existing = self.spark.createDataFrame(there, f"table string, known array<{_COLUMN}>")
-        first = Window.partitionBy("table").orderBy("message_ts", "message_id", "fileURL")
-        fresh = (
-            found.filter(F.col("problem") == "")
-            .select("table", "message_ts", "message_id", "fileURL", "columns")
-            .withColumn("nth", F.row_number().over(first))
-            .filter("nth = 1")
-            .select("table", F.col("columns").alias("known"))
-        )
+        first = F.min_by("columns", F.struct("message_ts", "message_id", "fileURL"))
+        fresh = found.filter(F.col("problem") == "").groupBy("table").agg(first.alias("known"))
         return existing.unionByName(fresh.join(existing.select("table"), "table", "left_anti"))
 
     def _gaps(self) -> Column:
