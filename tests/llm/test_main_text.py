@@ -1,9 +1,12 @@
+import random
+import re
+import time
 from collections import Counter
 
 import pytest
 
 from waybill.llm.labelled_pages import labelled_pages
-from waybill.llm.main_text import CONTENT, forest, learnt_model, main_texts, parsed
+from waybill.llm.main_text import CONTENT, Markup, forest, learnt_model, main_texts, parsed
 
 PAGES = "page_id long, url string, html string"
 
@@ -83,3 +86,26 @@ def test_structure_of_broken_markup():
 
 def test_empty_table(spark, model):
     assert main_texts(spark.createDataFrame([], PAGES), model).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<a " * 350_000, "<" + "a" * 1_000_000, "<a<a" * 250_000 + ' "', '<a "x>" ' * 120_000 + "'", "<a '" * 200_000 + ">", "</a " * 250_000, "<!--" * 250_000],
+)
+def test_broken_markup_of_a_million_characters_is_read_in_time(html):
+    start = time.perf_counter()
+    parsed(html)
+    assert time.perf_counter() - start < 5
+
+
+def test_tags_are_found_as_one_pattern_would():
+    pattern = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*+(?:"[^"]*"|'[^']*'|[^'">])*>""", re.S)
+    draw = random.Random(4)
+    parts = ["<a ", "<", ">", '"', "'", "<p>", "</p>", "x", '<b class="q>">', " ", "</", "<!--", "-->", "<1", "< a>", "<br/>", "<i t='>'>"]
+    for _ in range(4000):
+        html = "".join(draw.choice(parts) for _ in range(draw.randint(0, 25)))
+        markup, at, got = Markup(html), 0, []
+        while match := markup.next(at):
+            got.append(match.span())
+            at = match.end()
+        assert got == [m.span() for m in pattern.finditer(html)], html

@@ -9,6 +9,7 @@ run's marginal probability of being content.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,8 +43,9 @@ SAME_CLOSES = {
 SCOPES = frozenset("ul ol dl table select".split())
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>", re.S
 )
+_NAME_END, _QUOTE_OR_END = re.compile(r"[\s/>]"), re.compile(r"[\"'>]")
 _NAMES = re.compile(r"\b(class|id|role|aria-label|itemprop|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _LAST_SENTENCE = re.compile(r"[.!?:;\"”»]\s*\Z")
@@ -84,6 +86,60 @@ def _size_class(n: int) -> int:
     return min(n.bit_length(), 12)
 
 
+class Markup:
+    """The tags, comments and declarations of a page in order, in time that grows with its length.
+
+    A tag that is never closed would be looked for up to the page's end, and so would every other one
+    after it. So after the first of them it is worked out once, from the end of the page backwards,
+    behind which places a tag is closed at all.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.signs: list[int] | None = None
+
+    def _look_ahead(self) -> None:
+        self.name_ends = [m.start() for m in _NAME_END.finditer(self.html)]
+        found = [(m.start(), m[0]) for m in _QUOTE_OR_END.finditer(self.html)]
+        self.signs = [place for place, _ in found]
+        # Whether a tag is closed after each of these signs: outside quotes, inside either kind.
+        plain, double, single = False, False, False
+        closed = [False]
+        for _, sign in reversed(found):
+            if sign == ">":
+                plain = True
+            elif sign == '"':
+                plain, double = double, plain
+            else:
+                plain, single = single, plain
+            closed.append(plain)
+        self.closed = closed[::-1]
+
+    def _may_close(self, start: int) -> bool:
+        if start > self.last:
+            return False
+        if self.signs is None:
+            return True
+        end = bisect_left(self.name_ends, start + 2)  # behind "</" or the first letter
+        behind = self.name_ends[end] if end < len(self.name_ends) else len(self.html)
+        return self.closed[bisect_left(self.signs, behind)]
+
+    def next(self, at: int) -> re.Match | None:
+        html = self.html
+        while (at := html.find("<", at)) >= 0:
+            sign = html[at + 1 : at + 2]
+            if sign in ("!", "?") and sign:
+                return _MARKUP.match(html, at)
+            if (sign == "/" or sign.isalpha()) and self._may_close(at):
+                if match := _MARKUP.match(html, at):
+                    return match
+                if self.signs is None and sign != "/":
+                    self._look_ahead()
+            at += 1
+        return None
+
+
 def parsed(html: str) -> Page:
     """The tree of blocks and runs. Broken markup is mended as browsers do: paragraphs end where a
     block begins, unknown end tags are skipped, what is left open ends with the page."""
@@ -93,6 +149,7 @@ def parsed(html: str) -> Page:
     pieces: list[str] = []
     links = linked = 0
     at, size = 0, len(html)
+    markup = Markup(html)
 
     def end_run() -> None:
         nonlocal linked
@@ -111,7 +168,7 @@ def parsed(html: str) -> Page:
         linked = 0
 
     while at < size:
-        match = _MARKUP.search(html, at)
+        match = markup.next(at)
         stop = match.start() if match else size
         if stop > at:
             pieces.append(html[at:stop])
