@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import Texts, crowded, frame
 from waybill.llm.frames import held_out, training_rows
 from waybill.llm.quality import Machine, Rows, learnt_machine, quality_scores
-from waybill.llm.toxicity import Lexicon, counted, fold, learnt_lexicon, matched, toxicity_scores, without_toxic
+from waybill.llm.toxicity import Lexicon, counted, fold, learnt_lexicon, matched, toxicity_scores, without_toxic, word_after, word_before
 
 LABELS = "doc_id long, quality int, toxic int"
 ODD = [(9001, None), (9002, ""), (9003, " \n"), (None, "idle words"), (9004, "word " * 60_000), (9004, "again")]
@@ -114,3 +116,17 @@ def test_without_labels_or_rows(spark, one):
     none = frame(spark, [], LABELS)
     assert toxicity_scores(docs, learnt_lexicon(docs, none)).count() == docs.count()
     assert quality_scores(docs, learnt_machine(docs, none)).count() == docs.count()
+
+
+def test_many_matches_and_exceptions_take_little_time():
+    lexicon = Lexicon({" bad": 1.0, " worse ": 2.0}, (" not bad ", " bad bad "))
+    start = time.perf_counter()
+    assert matched(lexicon.automaton(), fold("not bad worse bad " * 60_000)) == 60_000 * 3
+    assert time.perf_counter() - start < 5
+
+
+def test_words_beside_a_place():
+    for text in (" a bc  d ", "", "   ", "x"):
+        for at in range(len(text) + 1):
+            assert word_after(text, at) == (text[at:].split(None, 1) or [""])[0]
+            assert word_before(text, at) == (text[:at].rsplit(None, 1) or [""])[-1]

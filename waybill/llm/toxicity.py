@@ -6,9 +6,11 @@ import hashlib
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,6 @@ from waybill.llm.frames import by_batch, held_out, ship, texts_of, training_rows
 SAMPLE = 6000
 MIN_SUPPORT = 5
 MIN_WEIGHT = 3.0
-MAX_ENTRIES = 5000
 STEM_LENGTHS = range(4, 13)
 
 # Letters of other scripts that look like Latin ones, and characters put for letters.
@@ -112,10 +113,34 @@ def matched(machine, folded: str) -> float:
         elif weight > best.get(start, (0, 0.0))[1]:
             best[start] = (end, weight)
     if spared:
-        best = {s: v for s, v in best.items() if not any(a <= s and v[0] <= b for a, b in spared)}
+        # Of the exceptions that begin at or before a match the one that reaches furthest decides.
+        spared.sort()
+        begins, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+        best = {s: v for s, v in best.items() if (i := bisect_right(begins, s)) == 0 or reach[i - 1] < v[0]}
     return sum(weight for _, weight in best.values())
 
 
+def word_after(text: str, at: int) -> str:
+    """The first word from a place on, empty if there is none."""
+    size = len(text)
+    while at < size and text[at].isspace():
+        at += 1
+    end = at
+    while end < size and not text[end].isspace():
+        end += 1
+    return text[at:end]
+
+
+def word_before(text: str, at: int) -> str:
+    """The last word before a place, empty if there is none."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    start = at
+    while start and not text[start - 1].isspace():
+        start -= 1
+    return text[start:at]
+
+
 def entries_of(words: Iterable[str]) -> Iterator[tuple[str, str]]:
     """(entry, word before) of all stems and whole words."""
     before = ""
@@ -141,7 +166,7 @@ def words_seen(training: DataFrame) -> DataFrame:
     return by_batch(training.where("label = 0").select("text"), work, "word string, n long")
 
 
-def candidates(training: DataFrame, min_support: int, min_weight: float, limit: int) -> dict[str, int]:
+def candidates(training: DataFrame, min_support: int, min_weight: float) -> dict[str, int]:
     """Entries of toxic texts by the number of texts, told apart by the word before the entry.
 
     Copies of one text show an entry after the same word, so that they count once. Entries that are
@@ -172,9 +197,7 @@ def candidates(training: DataFrame, min_support: int, min_weight: float, limit:
     found = (
         support.join(elsewhere, "entry", "left")
         .where(weight >= min_weight)
-        .orderBy(F.desc("support"), "entry")
-        .limit(limit)
-        .collect()
+        .collect()  # as many as the sample of labelled rows has
     )
     support_of = {r.entry: r.support for r in found}
     longest = dict(support_of)
@@ -208,10 +231,10 @@ def counted(training: DataFrame, entries: list[str]) -> tuple[dict[str, list[int
                 seen.add(("entry", entry, ""))
                 start = end - len(entry) + 1
                 word_end = folded.find(" ", start + 1)
-                if after := folded[word_end:].split(None, 1)[:1]:
-                    seen.add(("phrase", f"{folded[start:word_end]} {after[0]} ", content))
-                if before := folded[:start].rsplit(None, 1)[-1:]:
-                    seen.add(("phrase", f" {before[0]}{folded[start:word_end]} ", content))
+                if after := word_after(folded, word_end):
+                    seen.add(("phrase", f"{folded[start:word_end]} {after} ", content))
+                if before := word_before(folded, start):
+                    seen.add(("phrase", f" {before}{folded[start:word_end]} ", content))
             counts.update((kind, value, label, content) for kind, value, content in seen)
         kinds, values, labels, contents = zip(*counts)
         yield pa.RecordBatch.from_arrays(
@@ -269,7 +292,6 @@ def learnt_lexicon(
     sample: int = SAMPLE,
     min_support: int = MIN_SUPPORT,
     min_weight: float = MIN_WEIGHT,
-    max_entries: int = MAX_ENTRIES,
 ) -> Lexicon:
     """A lexicon from labelled rows outside the test fold, at most ``sample`` of them.
 
@@ -278,7 +300,7 @@ def learnt_lexicon(
     Without any toxic text the lexicon is empty and all scores are equal.
     """
     training = training_rows(docs, labels, "toxic", sample)
-    found = candidates(training, min_support, min_weight, max_entries)
+    found = candidates(training, min_support, min_weight)
     if not found:
         return Lexicon()
     by_entry, texts, phrases = counted(training, list(found))
