@@ -66,7 +66,9 @@ def test_stages_return_the_columns_of_documents(spark, tables):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet/*.parquet'" if Path(SF_DIR, "documents.parquet").is_dir() else f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        path = Path(SF_DIR, f"{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path / '*.parquet' if path.is_dir() else path}'")
     result = con.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     got = QUERIES[name](spark, SF_DIR).select(*columns).collect()
