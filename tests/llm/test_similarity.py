@@ -323,6 +323,49 @@ def test_partners_far_apart_in_a_large_group(spark):
     assert len(later & {r.doc_id for r in spans if r.first}) <= 0.03 * len(later)
 
 
+def near_words(rows: list[tuple], least: int = 46) -> dict:
+    """Words in windows of ``least`` shingles similar to one of another document, by brute force."""
+    found = {}
+    runs = {i: [tuple(words_of(t)[k : k + 5]) for k in range(len(words_of(t)) - 4)] for i, t in rows}
+    for a, x in runs.items():
+        for b, y in runs.items():
+            for i in range(len(x) - least + 1) if a != b else ():
+                one = set(x[i : i + least])
+                for k in range(len(y) - least + 1):
+                    both = len(one & set(y[k : k + least]))
+                    if 100 * both >= 80 * (len(one) + len(set(y[k : k + least])) - both):
+                        found.setdefault(a, set()).update(range(i, i + least + 4))
+                        break
+    return found
+
+
+@pytest.mark.parametrize("paired", [64, 1])
+def test_near_repeated_spans_equal_brute_force(spark, monkeypatch, paired):
+    """A passage that stands twice in a text, first with few and then with more of the common words, repeated
+    lines, an inserted word; in pairs and in cells."""
+    monkeypatch.setattr("waybill.llm.passages.PAIRED", paired)
+    texts = Texts(77)
+    passage, line, other = texts.make(60), texts.make(7), texts.make(55)
+    rows = [
+        (1, texts.make(9) + passage + texts.make(9)),
+        (2, passage[:52] + texts.make(8) + passage + texts.make(5)),
+        (3, texts.make(3) + passage[:30] + ["inserted"] + passage[30:] + texts.make(4)),
+        (4, line * 12 + texts.make(6)),
+        (5, texts.make(8) + line * 9),
+        (6, texts.make(4) + other[:20] + ["changed"] + other[21:] + texts.make(4)),
+        (7, other),
+        (8, other),
+        (9, texts.make(90)),
+    ]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    spans = near_repeated_passages(frame(spark, rows)).collect()
+    got, expected = covered(spans), near_words(rows)
+    # Longer runs may hold some words more.
+    assert got.keys() == expected.keys() and all(expected[i] <= set(got[i]) for i in got)
+    assert all(len(set(got[i]) - expected[i]) <= 10 for i in got)
+    assert {r.doc_id for r in spans if r.first} <= {1, 4, 6}
+
+
 def test_words_of_batches_and_null(spark):
     import pyarrow as pa
 
