@@ -198,3 +198,20 @@ def test_driver_sees_no_names_of_files_that_spark_lists(spark, tmp_path, by_spar
     monkeypatch.setattr(SharedFiles, "_status", lambda raw: pytest.fail("a file became a Python object"))
     got = list_files(spark, url_frame(spark, [f"{tmp_path}/*.csv"]))
     assert got.matches.count() == 50 and got.scans[0].files == 50
+
+
+def test_urls_without_a_file_take_no_slices(spark, targets, tmp_path, monkeypatch):
+    from waybill.plans import load
+
+    create_load_tables(spark, targets, DEFAULT_REGISTRY)
+    listed, list_slice = [], load.list_slice
+    monkeypatch.setattr(load, "list_slice", lambda *given: listed.append(given[-1]) or list_slice(*given))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "client0.csv").write_text("NAME,AGE\na,1\n")
+    names = ["in/client0.csv", *[f"gone/client{i}.csv" for i in range(600)], *[f"gone{i}/client.csv" for i in range(9)]]
+    messages = [{"fileURL": f"{tmp_path}/{n}", "destination": "age", "id": n, "timestamp": "t"} for n in names]
+    FileLoad(spark, targets, urls_per_slice=3).run(messages_frame(spark, messages))
+    assert listed == [0]
+    letters = {(r.message_id, r.reason) for r in spark.table(targets.dead_letters).collect()}
+    assert letters == {(n, "file_not_found") for n in names[1:]}
+    assert spark.table(targets.result("age")).count() == 1

@@ -21,7 +21,7 @@ from waybill.operators.lines import named_fields
 from waybill.operators.messages import with_problem, with_text_time
 from waybill.operators.outputs import conform, dead_letters
 from waybill.operators.tables import LoadFolder, Targets
-from waybill.plans.load import kept_slice_size, list_slice, problem_letters, url_slices
+from waybill.plans.load import kept_slice_size, list_slice, listed_slices, problem_letters
 from waybill.sources.files import read_lines
 from waybill.sources.listing import PROBLEM_SCHEMA
 
@@ -62,8 +62,9 @@ class ExactNameLoad:
             return load_id
         stored = folder.store(complete_messages(messages), "messages")
         size = kept_slice_size(folder, self.urls_per_slice)
-        slices, problems = 0, False
-        for number, part, urls in url_slices(stored.filter(F.col("problem") == ""), size):
+        slices = 0
+        found, problems = listed_slices(folder, stored.filter(F.col("problem") == ""), size)
+        for number, part, urls in found:
             listing = list_slice(self.spark, folder, urls, number)
             if listing.has_problems:
                 folder.store(listing.problems, f"problems/slice={number}")

@@ -25,7 +25,7 @@ from waybill.operators.joins import LINE_SALTS, attach
 from waybill.operators.messages import located_messages
 from waybill.operators.outputs import conform, dead_letters, reject_records
 from waybill.operators.tables import LOAD_ID, STEP, LoadFolder, SchemaMismatch, Targets
-from waybill.plans.load import kept_slice_size, list_slice, problem_letters, url_slices
+from waybill.plans.load import kept_slice_size, list_slice, listed_slices, problem_letters
 from waybill.sources.files import numbered_lines
 from waybill.sources.inferred import LATTICE, column_facts, delimited_fields, header_names, kind_of_facts, value_of
 from waybill.sources.listing import PROBLEM_SCHEMA
@@ -89,9 +89,10 @@ class InferredLoad:
 
     def _read(self, folder: LoadFolder, messages: DataFrame) -> tuple[int, bool]:
         """Stores the lines of all files once, and which message names which file."""
-        slices, problems = 0, False
+        slices = 0
         size = kept_slice_size(folder, self.urls_per_slice)
-        for number, part, urls in url_slices(messages, size):
+        found, problems = listed_slices(folder, messages, size)
+        for number, part, urls in found:
             listing = list_slice(self.spark, folder, urls, number)
             if listing.has_problems:
                 folder.store(listing.problems, f"problems/slice={number}")

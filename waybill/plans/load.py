@@ -38,7 +38,7 @@ from waybill.operators.outputs import (
 )
 from waybill.operators.tables import LoadFolder, Targets
 from waybill.sources.files import read_lines
-from waybill.sources.listing import FEW_URLS, PROBLEM_SCHEMA, Listing, list_files
+from waybill.sources.listing import FEW_URLS, PROBLEM_SCHEMA, Listing, list_files, missing_urls
 
 VALID, REJECTED = "valid", "rejected"
 
@@ -76,6 +76,27 @@ def url_slices(messages: DataFrame, urls_per_slice: int) -> Iterator[tuple[int,
         yield number, messages.filter(own), urls.filter(own)
 
 
+def listed_slices(
+    folder: LoadFolder, messages: DataFrame, urls_per_slice: int, part: int = 0
+) -> tuple[Iterator[tuple[int, DataFrame, DataFrame | list[Row]]], bool]:
+    """``url_slices``, and whether URLs without a file were left out. Each slice costs some jobs, so where there
+    would be several, URLs whose folders or neighbours aren't there are found for all slices at once and
+    stored as problems; ``part`` tells several sets of messages of a load apart."""
+    if messages.select("fileURL").distinct().limit(urls_per_slice + 1).count() <= urls_per_slice:
+        return url_slices(messages, urls_per_slice), False
+    spark = messages.sparkSession
+    name = f"problems/slice={-1 - part}"
+    if folder.stored(name):
+        missing = spark.read.schema(PROBLEM_SCHEMA).parquet(folder.at(name))
+    else:
+        found = missing_urls(spark, messages.select("fileURL"), lambda frame, label: folder.store(frame, f"listing/part={part}/{label}"))
+        missing = folder.store(found, name)
+    if missing.isEmpty():
+        return url_slices(messages, urls_per_slice), True
+    left = folder.store(messages.join(missing.select("fileURL"), "fileURL", "left_anti").select(*messages.columns), f"listing/part={part}/possible")
+    return (iter([(0, left, [])]) if left.isEmpty() else url_slices(left, urls_per_slice)), True
+
+
 def kept_slice_size(folder: LoadFolder, urls_per_slice: int) -> int:
     """The slice size a load began with, whatever the settings of the run that continues it."""
     path = folder.at("settings")
@@ -157,8 +178,10 @@ class FileLoad:
         Gives back the number of slices and whether some URL has a problem."""
         slices, problems = 0, False
         size = kept_slice_size(folder, self.urls_per_slice)
-        for encoding, part in self._by_encoding(messages):
-            for _, own, urls in url_slices(part, size):
+        for number, (encoding, part) in enumerate(self._by_encoding(messages)):
+            found, lost = listed_slices(folder, part, size, number)
+            problems |= lost
+            for _, own, urls in found:
                 problems |= self._store_slice(folder, own, urls, slices, encoding)
                 slices += 1
         return slices, problems
