@@ -380,3 +380,21 @@ def test_words_of_batches_and_null(spark):
 @pytest.mark.parametrize("operator", [similar_documents, repeated_passages, near_repeated_passages, one_of_each_group])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).count() == 0
+
+
+def test_words_of_a_large_batch_take_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from waybill.llm import words
+
+    draw = np.random.Generator(np.random.PCG64(5))
+    texts = pa.array([" ".join(map(str, draw.integers(0, 10**6, 300).tolist())) for _ in range(3000)], pa.string())
+    words._powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    tracemalloc.start()
+    for _ in batch_words(texts):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20

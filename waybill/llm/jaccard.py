@@ -32,7 +32,8 @@ LONGEST_PAIRED = 128
 """Members of longer lists are compared block by block instead of pair by pair."""
 BLOCK_SETS = 512
 BLOCK_BYTES = 8 << 20
-COLUMNS = 8192  # shingles in one product of matrices
+COLUMNS = 2048  # shingles in one product of matrices
+ROWS = 1024  # texts whose sets a task holds at once
 BROADCAST_BYTES = 32 << 20
 
 
@@ -63,7 +64,7 @@ def members(texts: DataFrame) -> DataFrame:
             names=["doc_id", "digest", "n"],
         )
 
-    return by_batch(texts, work, "doc_id long, digest binary, n long")
+    return by_batch(texts, work, "doc_id long, digest binary, n long", ROWS)
 
 
 def statistics(texts: DataFrame) -> DataFrame:
@@ -194,7 +195,7 @@ def keyed_sets(texts: DataFrame, known: DataFrame, common: np.ndarray, small_bel
             names=["doc_id", "digest", "n", "subsets", "keys"],
         )
 
-    rows = by_batch(texts, work, "doc_id long, digest binary, n long, subsets long, keys array<long>")
+    rows = by_batch(texts, work, "doc_id long, digest binary, n long, subsets long, keys array<long>", ROWS)
     distinct = rows.where("doc_id IS NOT NULL").join(others, ["doc_id", "digest"], "left_anti")
     # Numbers are made when the table is written and read from it ever after. A row that repeats id
     # and text gets a number of its own, which is linked like any equal set.
@@ -246,12 +247,10 @@ def candidate_sets(texts: DataFrame, keyed: DataFrame, lists: DataFrame) -> Data
         ids = F.broadcast(ids)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, shingles in sets_of(batch):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([digest_of(shingles)], pa.binary()), pa.array([shingles.tobytes()], pa.binary())], names=["digest", "shingles"]
-            )
+        rows = [(digest_of(s), s.tobytes()) for _, s in sets_of(batch)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)], names=["digest", "shingles"])
 
-    sets = by_batch(texts.join(ids, "doc_id", "left_semi").select("text"), work, "digest binary, shingles binary")
+    sets = by_batch(texts.join(ids, "doc_id", "left_semi").select("text"), work, "digest binary, shingles binary", ROWS)
     # Rows that share an id, but not the text, drop out here.
     return stored(sets.join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "shingles"), "sets")
 
