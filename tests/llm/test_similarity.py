@@ -398,3 +398,41 @@ def test_words_of_a_large_batch_take_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 24 << 20
+
+
+def test_pairs_compared_together_equal_one_by_one(monkeypatch):
+    from waybill.llm import passages
+
+    texts, pairs = Texts(91), []
+    line = texts.make(7)
+    for i in range(60):
+        base = texts.make(40 + 3 * i)
+        one = texts.make(i) + texts.edited(base, i % 7) + texts.make(5)
+        other = texts.make(9) + texts.edited(base[: 30 + i], i % 4) + texts.make(3) + base[10 + i :]
+        if i % 5 == 0:
+            one, other = one + line * 9, line * 4 + other + line * 8
+        pairs.append((one, other))
+    numbers = {}
+    xs, ys = ([np.array([numbers.setdefault(tuple(w[k : k + 5]), len(numbers)) for k in range(len(w) - 4)], np.uint64) for w in side] for side in zip(*pairs))
+    alone = []
+    slowly = passages.similar_places
+    monkeypatch.setattr(passages, "similar_places", lambda x, y, least: alone.append(1) or slowly(x, y, least))
+    for (x, y), got in zip(zip(xs, ys), passages.places_of_pairs(xs, ys, 46)):
+        expected = slowly(x, y, 46)
+        assert np.array_equal(got[0], expected[0]) and np.array_equal(got[1], expected[1])
+    assert len(alone) < 6
+
+
+def test_few_shingles_over_and_over_are_compared_as_sets(monkeypatch):
+    from waybill.llm import passages
+
+    texts = Texts(92)
+    line, other = texts.make(7), texts.make(11)
+    rows = [(1, line * 120 + texts.make(50)), (2, texts.make(9) + (line[:5] + ["x"]) * 3 + line * 40 + other * 5), (3, other * 30 + line * 3)]
+    runs = [[hash(tuple(w[k : k + 5])) % 2**63 for k in range(len(w) - 4)] for _, w in rows]
+    found = near_words([(i, " ".join(w)) for i, w in rows[:2]])
+    monkeypatch.setattr(passages, "_matches", None)  # places are not paired
+    got = passages.similar_windows(*[np.array(r, np.uint64) for r in runs[:2]], 46)
+    for (doc, words), held in zip(rows, got):
+        places = {i + k for i in np.flatnonzero(held).tolist() for k in range(5)}
+        assert places == found[doc]
