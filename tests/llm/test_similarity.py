@@ -1,9 +1,14 @@
+import os
+from pathlib import Path
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import Texts, components, crowded, frame, repeated, shingles, words_of
 from waybill.llm import contamination
 from waybill.llm.contamination import blocks_of, contained_items, without_items
+from waybill.llm.frames import by_batch
 from waybill.llm.graph import components as linked
 from waybill.llm.jaccard import boundary, keyed_sets, members, node_components, one_of_each_group, shared_lists, similar_documents
 from waybill.llm.neighbours import neighbours
@@ -436,3 +441,24 @@ def test_few_shingles_over_and_over_are_compared_as_sets(monkeypatch):
     for (doc, words), held in zip(rows, got):
         places = {i + k for i in np.flatnonzero(held).tolist() for k in range(5)}
         assert places == found[doc]
+
+
+def test_a_task_gives_its_memory_back():
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+    above = []
+
+    def work(batch):
+        held = [np.ones(1 << 13) for _ in range(4000)]  # 262 MB in small pieces
+        above.append(held[-1])  # stays above the others
+        yield pa.RecordBatch.from_arrays([pa.array([len(held)])], names=["n"])
+
+    before = resident()
+    rows = list(by_batch(Frame(), work, "n long")(iter([pa.RecordBatch.from_arrays([pa.array([1])], names=["n"])])))
+    assert rows[0].column("n").to_pylist() == [4000]
+    assert resident() - before < 100
