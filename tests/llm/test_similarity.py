@@ -12,7 +12,7 @@ from waybill.llm.frames import by_batch
 from waybill.llm.graph import components as linked
 from waybill.llm.jaccard import boundary, keyed_sets, members, node_components, one_of_each_group, shared_lists, similar_documents
 from waybill.llm.neighbours import neighbours
-from waybill.llm.passages import dense_runs, near_repeated_passages, similar_runs, sliding, tree_nodes
+from waybill.llm.passages import compact_windows, dense_runs, joined_windows, near_repeated_passages, shared_windows, similar_runs, sliding, tree_nodes
 from waybill.llm.suffixes import minimisers, repeated_passages
 from waybill.llm.words import Words, utf8, words_of as batch_words
 
@@ -462,3 +462,14 @@ def test_a_task_gives_its_memory_back():
     rows = list(by_batch(Frame(), work, "n long")(iter([pa.RecordBatch.from_arrays([pa.array([1])], names=["n"])])))
     assert rows[0].column("n").to_pylist() == [4000]
     assert resident() - before < 100
+
+
+def test_windows_of_a_run_are_one_stretch(spark):
+    texts = Texts(31)
+    rows = [(i, " ".join([*texts.make(30), *["to"] * (60 + i), *texts.make(60)])) for i in range(1, 6)]
+    windows = shared_windows(compact_windows(frame(spark, rows), 46, 1))
+    joined = [tuple(r) for r in joined_windows(windows, 46).select("key", "doc_id", "low", "high").collect()]
+    single = [tuple(r) for r in windows.select("key", "doc_id", "low", "high").collect()]
+    assert len(single) > 5 * len(joined)
+    assert all(any(k == key and d == doc and low <= a and b <= high for k, d, low, high in joined) for key, doc, a, b in single)
+    assert max(high - low for *_, low, high in joined) < 3 * 46
