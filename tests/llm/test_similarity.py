@@ -371,6 +371,83 @@ def test_near_repeated_spans_equal_brute_force(spark, monkeypatch, paired):
     assert {r.doc_id for r in spans if r.first} <= {1, 4, 6}
 
 
+def test_large_groups_are_dealt_out_without_what_has_no_partner(spark, monkeypatch):
+    """A line in many texts with nothing in common around it, a passage nearly repeated in some: the same spans as
+    from one cell a group, whatever the number of blocks and rounds."""
+    from waybill.llm import passages
+
+    texts = Texts(83)
+    line, passage = texts.make(14), texts.make(55)
+    rows = [texts.make(50) + line + texts.make(50) for _ in range(60)]
+    rows += [texts.make(30) + texts.edited(passage, i % 3) + line + texts.make(30) for i in range(30)]
+    docs = frame(spark, [(i, " ".join(words)) for i, words in enumerate(rows)])
+    monkeypatch.setattr(passages, "PAIRED", 1)
+    expected = sorted(near_repeated_passages(docs).collect())
+    near = {r.doc_id for r in expected}
+    assert near <= set(range(60, 90)) and len(near) > 20
+    counts, stored = {}, passages.stored
+
+    def counting(table, label):
+        out = stored(table, label)
+        counts.setdefault(label, []).append((out.count(), out))
+        return out
+
+    monkeypatch.setattr(passages, "stored", counting)
+    monkeypatch.setattr(passages, "BLOCK", 4)
+    monkeypatch.setattr(passages, "SENT_BYTES", 1)
+    assert sorted(near_repeated_passages(docs).collect()) == expected
+    ((_, left),), ((chosen, _),) = counts["partnered"], counts["compared-classes"]
+    assert {r.doc_id for r in left.collect()} <= set(range(60, 90))
+    assert 0 < left.count() < chosen and len(counts["similar-in-cells"]) > 1
+
+
+def test_near_repeated_spans_of_small_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr("waybill.llm.passages.PAIRED", 1)
+    monkeypatch.setattr("waybill.llm.passages.BLOCK", 1)
+    monkeypatch.setattr("waybill.llm.passages.SENT_BYTES", 1)
+    texts = Texts(78)
+    passage, line = texts.make(56), texts.make(7)
+    rows = [
+        (1, texts.make(9) + passage + texts.make(9)),
+        (2, passage[:30] + ["inserted"] + passage[30:] + texts.make(4)),
+        (3, line * 12 + texts.make(6)),
+        (4, texts.make(8) + line * 9),
+        (5, passage[:20] + texts.make(40)),
+        (6, line + texts.make(60)),
+    ]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    got, expected = covered(near_repeated_passages(frame(spark, rows)).collect()), near_words(rows)
+    assert got.keys() == expected.keys() == {1, 2, 3, 4} and all(expected[i] <= set(got[i]) for i in got)
+
+
+def test_passages_give_their_shuffle_files_back(spark):
+    """Once the steps are stored, the disk holds neither their shuffle files nor the stretches' shingles."""
+    import time
+
+    from waybill.llm.frames import FREED
+    from waybill.storage import SharedFiles, shared_root
+
+    texts = Texts(91)
+    passage = texts.make(80)
+    docs = frame(spark, [(i, " ".join(texts.make(20) + texts.edited(passage, i % 2) + texts.make(20))) for i in range(90)])
+
+    def on_disk():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    def folders():
+        return {f.name for f in SharedFiles(spark).children(f"{shared_root(spark)}/waybill")}
+
+    before, stored_before, setting = on_disk(), folders(), spark.conf.get(FREED, None)
+    found = near_repeated_passages(docs)
+    until = time.time() + 20
+    while (left := on_disk() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(FREED, None) == setting
+    assert not [f for f in folders() - stored_before if f.startswith(("stretches-", "compared-stretches-"))]
+    assert found.count() == found.count() == 90
+
+
 def test_words_of_batches_and_null(spark):
     import pyarrow as pa
 
